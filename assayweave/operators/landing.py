@@ -73,14 +73,14 @@ def resolve_capped(responses: DataFrame, code: str, payload: str, cap: int = 50)
     is planned with a group limit before the shuffle: at most ``cap`` rows per code
     leave a map task.
     """
-    objects = F.from_json(F.col(payload), "array<struct<pdb_id:string>>")
-    strings = F.from_json(F.col(payload), "array<string>")
     is_array = F.ltrim(F.col(payload)).startswith("[")
-    item = F.posexplode(F.when(is_array, strings)).alias("pos", "raw")
-    exploded = responses.where(F.col(code) != "").select(F.col(code).alias("ligand_code"), objects.alias("_o"), item)
-    as_object = F.ltrim(F.col("raw")).startswith("{")
-    pdb_id = F.lower(F.when(as_object, F.get(F.col("_o"), F.col("pos"))["pdb_id"]).otherwise(F.col("raw")))
-    ids = exploded.select("ligand_code", pdb_id.alias("pdb_id")).where("pdb_id <> ''").distinct()
+    items = F.from_json(F.when(is_array, F.col(payload)), "array<string>")
+    exploded = responses.where(F.col(code) != "").select(
+        F.col(code).alias("ligand_code"), F.explode(items).alias("_item")
+    )
+    is_object = F.ltrim("_item").startswith("{")
+    pdb_id = F.when(is_object, F.get_json_object("_item", "$.pdb_id")).otherwise(F.col("_item"))
+    ids = exploded.select("ligand_code", F.lower(pdb_id).alias("pdb_id")).where("pdb_id <> ''").distinct()
     order = Window.partitionBy("ligand_code").orderBy("pdb_id")
     return ids.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= cap).drop("_rn")
 

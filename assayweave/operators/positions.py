@@ -62,6 +62,9 @@ def global_position(
     """
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
     bounds = _sample_bounds(df, columns, rows_per_range)
+    if not bounds:  # counted: at most rows_per_range rows
+        only = Window.partitionBy(F.lit(0)).orderBy(*columns)
+        return df.withColumn(name, F.row_number().over(only).cast("bigint"))
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
     ranged = df.withColumn("_range", _range_of(key, bounds))
     inside = Window.partitionBy("_range").orderBy(*columns)

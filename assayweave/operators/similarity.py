@@ -20,19 +20,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BLOCK_ROWS = 4096
 _EPS = 1e-9
 
 
 def set_class(elements: str) -> Column:
-    """Identity of a set: equal sorted distinct arrays share it."""
-    return F.sha2(F.array_join(F.col(elements).cast("array<string>"), "\x1f"), 256)
+    """Identity of a set: equal sorted distinct arrays share it (128-bit digest)."""
+    return F.unhex(F.md5(F.array_join(F.col(elements).cast("array<string>"), "\x1f")))
 
 
 def distinct_sets(df: DataFrame, elements: str) -> DataFrame:
-    """(cls, n, elements), one row per distinct non-empty set."""
+    """(sid, cls, n, elements), one row per distinct non-empty set, written once.
+
+    ``sid`` is a short row number fixed by the write; the joins below carry it in place of
+    the digest.
+    """
     sets = df.select(set_class(elements).alias("cls"), F.col(elements).alias("elements")).where(F.size("elements") > 0)
-    return sets.dropDuplicates(["cls"]).select("cls", F.size("elements").alias("n"), "elements")
+    numbered = sets.dropDuplicates(["cls"]).select(
+        F.monotonically_increasing_id().alias("sid"), "cls", F.size("elements").alias("n"), "elements"
+    )
+    return materialize(numbered, "sets")
 
 
 def _needed(threshold: float, n: Column) -> Column:
@@ -49,9 +58,9 @@ def _rare_first(sets: DataFrame, universe: int | None) -> DataFrame:
         ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
         return sets.withColumn("elements", F.array_sort(ranked).getField("e"))
     # Unbounded vocabulary: the frequency table is joined, its strategy chosen by size.
-    pieces = sets.select("cls", "n", F.explode("elements").alias("element")).join(counts, "element")
+    pieces = sets.select("sid", "n", F.explode("elements").alias("element")).join(counts, "element")
     ordered = F.array_sort(F.collect_list(F.struct(F.col("count").alias("f"), F.col("element").alias("e"))))
-    return pieces.groupBy("cls", "n").agg(ordered.getField("e").alias("elements"))
+    return pieces.groupBy("sid", "n").agg(ordered.getField("e").alias("elements"))
 
 
 def _blocks(df: DataFrame, keys: list[str], member: str, block_rows: int) -> DataFrame:
@@ -72,7 +81,7 @@ def _blocks(df: DataFrame, keys: list[str], member: str, block_rows: int) -> Dat
 def similar_classes(
     sets: DataFrame, threshold: float, universe: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """(cls_a, cls_b, similarity) for all pairs of distinct sets, cls_a < cls_b, T >= threshold.
+    """(cls_a, cls_b, similarity) for all pairs of distinct sets with T >= threshold, each pair once.
 
     ``sets`` comes from ``distinct_sets``. ``universe`` is the bit width when elements are
     0-based integers below it.
@@ -80,18 +89,19 @@ def similar_classes(
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]: at 0 every pair of the table would qualify")
     prefix_len = F.col("n") - _needed(threshold, F.col("n")) + 1
-    prefixes = (
-        _rare_first(sets, universe)
-        .select("cls", "n", F.posexplode(F.slice("elements", F.lit(1), prefix_len)).alias("pos", "element"))
-        .withColumn("rest", F.col("n") - F.col("pos"))
-    )
-    cut = _blocks(prefixes, ["element"], "cls", block_rows)
+    prefixes = materialize(
+        _rare_first(sets, universe).select(
+            "sid", "n", F.posexplode(F.slice("elements", F.lit(1), prefix_len)).alias("pos", "element")
+        ),
+        "prefixes",
+    ).withColumn("rest", F.col("n") - F.col("pos"))
+    cut = _blocks(prefixes, ["element"], "sid", block_rows)
     # Block pairs (i, j), i <= j: the left copy sits in i, the right copy in j.
     left = cut.select(
         "element",
         F.col("_block").alias("i"),
         F.explode(F.sequence(F.col("_block"), F.col("_blocks") - 1)).alias("j"),
-        F.col("cls").alias("cls_l"),
+        F.col("sid").alias("sid_l"),
         F.col("n").alias("n_l"),
         F.col("rest").alias("rest_l"),
     )
@@ -99,32 +109,34 @@ def similar_classes(
         "element",
         F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("i"),
         F.col("_block").alias("j"),
-        F.col("cls").alias("cls_r"),
+        F.col("sid").alias("sid_r"),
         F.col("n").alias("n_r"),
         F.col("rest").alias("rest_r"),
     )
     n_l, n_r = F.col("n_l"), F.col("n_r")
     overlap = _needed(threshold / (1.0 + threshold), n_l + n_r)
     possible = (
-        ((left["i"] < left["j"]) | (F.col("cls_l") < F.col("cls_r")))
+        ((left["i"] < left["j"]) | (F.col("sid_l") < F.col("sid_r")))
         & (F.least(n_l, n_r) >= _needed(threshold, F.greatest(n_l, n_r)))
         & (F.least("rest_l", "rest_r") >= overlap)
     )
     same_key = (left["element"] == right["element"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
     candidates = (
         left.join(right, same_key & possible)
-        .select(F.least("cls_l", "cls_r").alias("cls_a"), F.greatest("cls_l", "cls_r").alias("cls_b"))
-        .where("cls_a < cls_b")
+        .select(F.least("sid_l", "sid_r").alias("sid_a"), F.greatest("sid_l", "sid_r").alias("sid_b"))
         .distinct()
     )
-    a = sets.select(F.col("cls").alias("cls_a"), F.col("n").alias("n_a"), F.col("elements").alias("e_a"))
-    b = sets.select(F.col("cls").alias("cls_b"), F.col("n").alias("n_b"), F.col("elements").alias("e_b"))
-    shared = F.size(F.array_intersect("e_a", "e_b"))
+
+    def side(s: str) -> DataFrame:
+        return sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("sid", "cls", "n", "elements")])
+
+    shared = F.size(F.array_intersect("elements_a", "elements_b"))
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
     return (
-        candidates.join(a, "cls_a")
-        .join(b, "cls_b")
+        candidates.join(side("a"), "sid_a")
+        .join(side("b"), "sid_b")
         .withColumn("shared", shared)
-        .withColumn("similarity", F.col("shared").cast("double") / (F.col("n_a") + F.col("n_b") - F.col("shared")))
+        .withColumn("similarity", F.col("shared").cast("double") / union)
         .where(F.col("similarity") >= threshold)
         .select("cls_a", "cls_b", "similarity")
     )
@@ -159,7 +171,7 @@ def cliffs_of_pairs(
     if min_delta < 0:
         raise ValueError("min_delta must not be negative")
     band = F.floor(F.col(value) / F.lit(min_delta / 2.0)) if min_delta > 0 else F.lit(0)
-    banded = members.withColumn("_band", band.cast("bigint"))
+    banded = materialize(members.withColumn("_band", band.cast("bigint")), "members")
     summary = banded.groupBy(group, "cls", "_band").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_blocks")
     )

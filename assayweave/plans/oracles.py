@@ -295,7 +295,10 @@ def expand(sql: str) -> str:
     if not blocks:
         return sql.strip()
     parts = ",\n".join(f"{name} as ({VIEWS[name].strip()})" for name in blocks)
-    return f"with {parts}\n{sql.strip()}"
+    body = sql.strip()
+    if body.startswith("with "):
+        return f"with {parts},\n{body[5:]}"
+    return f"with {parts}\n{body}"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def recommended_conf() -> dict[str, str]:
@@ -36,3 +36,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="assayweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    Cuts lineage for a frame several branches read, and gives those branches real sizes to
+    choose their join strategies by. The folder's owner expires old scratch data.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -43,11 +43,15 @@ _SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "strin
 
 def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when equal, otherwise what differs."""
+    return compare(df.dtypes, [tuple(r) for r in df.collect()], con, sql)
+
+
+def compare(dtypes, rows, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     result = con.execute(sql)
     expected_types = {d[0]: str(d[1]) for d in result.description}
     expected = rows_of(list(expected_types), result.fetchall())
-    actual_types = {n: _SPARK_TYPES.get(t, t) for n, t in df.dtypes}
-    actual = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    actual_types = {n: _SPARK_TYPES.get(t, t) for n, t in dtypes}
+    actual = rows_of([n for n, _ in dtypes], rows)
     if sorted(actual_types) != sorted(expected_types):
         return f"columns {sorted(actual_types)} != {sorted(expected_types)}"
     if actual != expected:
@@ -68,15 +72,19 @@ def main(argv: list[str]) -> int:
     for name, run in queries().items():
         if len(argv) > 1 and name not in argv[1:]:
             continue
-        started = time.time()
+        started, rows, built, middle = time.time(), [], 0.0, 0.0
         try:
             df = run(spark, sf_dir)
-            problem = difference(df, con, sqls[name]) if name in sqls else f"rows only: {df.count()}"
+            built = time.time() - started
+            rows = [tuple(r) for r in df.collect()]
+            middle = time.time() - started
+            problem = compare(df.dtypes, rows, con, sqls[name]) if name in sqls else "rows only"
         except Exception as error:  # noqa: BLE001 - report and go on
             problem = f"{type(error).__name__}: {str(error)[:900]}"
-        failed += problem is not None and not problem.startswith("rows only")
-        n = con.execute(f"select count(*) from ({sqls[name]})").fetchone()[0] if name in sqls and problem is None else ""
-        print(f"{name:28} {time.time() - started:6.2f}s {n} {problem or 'ok'}", flush=True)
+        failed += problem not in (None, "rows only")
+        total = time.time() - started
+        times = f"build {built:5.1f} spark {middle:6.2f} sql {total - middle:6.2f}"
+        print(f"{name:26} {times} {len(rows):6} {problem or 'ok'}", flush=True)
     print("failed:", failed)
     return failed
 
