@@ -28,21 +28,41 @@ def hashed_bits(features: ColumnOrName, nbits: int = 2048) -> Column:
     return F.array_sort(F.array_distinct(F.transform(_col(features), bit)))
 
 
-def bits_to_hex(bits: ColumnOrName, nbits: int = 2048) -> Column:
-    """Sorted on-bits to the hex string of ``nbits / 4`` characters, in one pass over the bits."""
-    bits = _col(bits)
+def _bit_text(bits: Column, nbits: int) -> Column:
+    """'0'/'1' text of sorted on-bits, left to right, in one pass over the bits."""
 
     def run(bit: Column, i: Column) -> Column:
         before = F.when(i == 0, F.lit(-1)).otherwise(F.get(bits, i - 1))
         return F.concat(F.repeat(F.lit("0"), bit - before - 1), F.lit("1"))
 
-    text = F.rpad(F.array_join(F.transform(bits, run), ""), nbits, "0")
+    return F.rpad(F.array_join(F.transform(bits, run), ""), nbits, "0")
+
+
+def _word_numbers(nbits: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(nbits // 64 - 1))
+
+
+def bits_to_hex(bits: ColumnOrName, nbits: int = 2048) -> Column:
+    """Sorted on-bits to the hex string of ``nbits / 4`` characters."""
+    bits = _col(bits)
+    text = _bit_text(bits, nbits)
 
     def word(i: Column) -> Column:
         return F.lpad(F.conv(F.substr(text, i * 64 + 1, F.lit(64)), 2, 16), 16, "0")
 
-    words = F.transform(F.sequence(F.lit(0), F.lit(nbits // 64 - 1)), word)
-    return F.when(bits.isNotNull(), F.lower(F.array_join(words, "")))
+    return F.when(bits.isNotNull(), F.lower(F.array_join(F.transform(_word_numbers(nbits), word), "")))
+
+
+def bits_to_words(bits: ColumnOrName, nbits: int = 2048) -> Column:
+    """Sorted on-bits to 64-bit words."""
+    bits = _col(bits)
+    text = _bit_text(bits, nbits)
+    return F.when(
+        bits.isNotNull(),
+        F.transform(
+            _word_numbers(nbits), lambda i: F.conv(F.substr(text, i * 64 + 1, F.lit(64)), 2, -10).cast("bigint")
+        ),
+    )
 
 
 def hex_to_words(hexed: ColumnOrName, nbits: int = 2048) -> Column:
@@ -51,7 +71,7 @@ def hex_to_words(hexed: ColumnOrName, nbits: int = 2048) -> Column:
     return F.when(
         F.length(hexed) > 0,
         F.transform(
-            F.sequence(F.lit(0), F.lit(nbits // 64 - 1)),
+            _word_numbers(nbits),
             lambda i: F.conv(F.substr(hexed, i * 16 + 1, F.lit(16)), 16, -10).cast("bigint"),
         ),
     )
@@ -64,7 +84,7 @@ def hex_to_bits(hexed: ColumnOrName, nbits: int = 2048) -> Column:
     def word(i: Column) -> Column:
         return F.lpad(F.conv(F.substr(hexed, i * 16 + 1, F.lit(16)), 16, 2), 64, "0")
 
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(nbits // 64 - 1)), word), "")
+    text = F.array_join(F.transform(_word_numbers(nbits), word), "")
     marked = F.transform(F.split(text, ""), lambda c, i: F.when(c == "1", i))
     return F.when(hexed.isNotNull(), F.array_compact(marked))
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fingerprint import bits_to_words
 from ..session import materialize
 
 BLOCK_ROWS = 4096
@@ -31,120 +32,155 @@ def set_class(elements: str) -> Column:
     return F.unhex(F.md5(F.array_join(F.col(elements).cast("array<string>"), "\x1f")))
 
 
-def distinct_sets(df: DataFrame, elements: str) -> DataFrame:
-    """(sid, cls, n, elements), one row per distinct non-empty set, written once.
+def distinct_sets(df: DataFrame, elements: str, universe: int | None = None) -> DataFrame:
+    """(sid, cls, n, elements[, words]), one row per distinct non-empty set, written once.
 
-    ``sid`` is a short row number fixed by the write; the joins below carry it in place of
-    the digest.
+    ``sid`` is a short row number fixed by the write. With a ``universe`` the packed words
+    are stored as well.
     """
     sets = df.select(set_class(elements).alias("cls"), F.col(elements).alias("elements")).where(F.size("elements") > 0)
-    numbered = sets.dropDuplicates(["cls"]).select(
-        F.monotonically_increasing_id().alias("sid"), "cls", F.size("elements").alias("n"), "elements"
-    )
-    return materialize(numbered, "sets")
+    columns = [F.monotonically_increasing_id().alias("sid"), "cls", F.size("elements").alias("n"), "elements"]
+    if universe is not None:
+        columns.append(bits_to_words("elements", -(-universe // 64) * 64).alias("words"))
+    return materialize(sets.dropDuplicates(["cls"]).select(*columns), "sets")
 
 
 def _needed(threshold: float, n: Column) -> Column:
     return F.ceil(F.lit(threshold) * n - F.lit(_EPS)).cast("int")
 
 
-def _rare_first(sets: DataFrame, universe: int | None) -> DataFrame:
-    """Reorder each set from its rarest to its most frequent element."""
-    counts = sets.select(F.explode("elements").alias("element")).groupBy("element").count()
-    if universe is not None:
-        # A fixed bit width bounds this table, so it becomes a literal array: no shuffle.
-        found = {r["element"]: r["count"] for r in counts.collect()}
-        frequency = F.lit([int(found.get(i, 0)) for i in range(universe)])
-        ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
-        return sets.withColumn("elements", F.array_sort(ranked).getField("e"))
-    # Unbounded vocabulary: the frequency table is joined, its strategy chosen by size.
-    pieces = sets.select("sid", "n", F.explode("elements").alias("element")).join(counts, "element")
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("count").alias("f"), F.col("element").alias("e"))))
-    return pieces.groupBy("sid", "n").agg(ordered.getField("e").alias("elements"))
-
-
-def _blocks(df: DataFrame, keys: list[str], member: str, block_rows: int) -> DataFrame:
+def _blocks(df: DataFrame, key: str, member: str, block_rows: int) -> DataFrame:
     """Add ``_block`` and ``_blocks``: how a key with more than ``block_rows`` rows is cut.
 
     Only hot keys enter the size table, so it has at most rows / block_rows entries.
     """
     hot = (
-        df.groupBy(*keys)
+        df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_size"))
         .where(F.col("_size") > block_rows)
-        .select(*keys, F.ceil(F.col("_size") / block_rows).cast("int").alias("_blocks"))
+        .select(key, F.ceil(F.col("_size") / block_rows).cast("int").alias("_blocks"))
     )
-    marked = df.join(hot, keys, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    marked = df.join(hot, key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     return marked.withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
 
 
-def similar_classes(
-    sets: DataFrame, threshold: float, universe: int | None = None, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """(cls_a, cls_b, similarity) for all pairs of distinct sets with T >= threshold, each pair once.
+def _meet(prefixes: DataFrame, member: str, threshold: float, block_rows: int) -> DataFrame:
+    """Pairs of sets sharing a prefix element that the size and position bounds allow.
 
-    ``sets`` comes from ``distinct_sets``. ``universe`` is the bit width when elements are
-    0-based integers below it.
+    ``prefixes`` has element, ``member``, n, rest (elements from this position on) and
+    payload columns; the result carries them with suffixes ``_l`` and ``_r``. A pair may
+    occur once per shared element. For an element cut into blocks the left copy of a row
+    goes to the block pairs (i, j) with its own block as i, the right copy to those with it
+    as j, i <= j.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError("threshold must be in (0, 1]: at 0 every pair of the table would qualify")
-    prefix_len = F.col("n") - _needed(threshold, F.col("n")) + 1
-    prefixes = materialize(
-        _rare_first(sets, universe).select(
-            "sid", "n", F.posexplode(F.slice("elements", F.lit(1), prefix_len)).alias("pos", "element")
-        ),
-        "prefixes",
-    ).withColumn("rest", F.col("n") - F.col("pos"))
-    cut = _blocks(prefixes, ["element"], "sid", block_rows)
-    # Block pairs (i, j), i <= j: the left copy sits in i, the right copy in j.
+    cut = _blocks(prefixes, "element", member, block_rows)
+    carried = [c for c in prefixes.columns if c != "element"]
+    own, last = F.col("_block"), F.col("_blocks") - 1
     left = cut.select(
-        "element",
-        F.col("_block").alias("i"),
-        F.explode(F.sequence(F.col("_block"), F.col("_blocks") - 1)).alias("j"),
-        F.col("sid").alias("sid_l"),
-        F.col("n").alias("n_l"),
-        F.col("rest").alias("rest_l"),
+        "element", own.alias("i"), F.explode(F.sequence(own, last)).alias("j"), *[F.col(c).alias(f"{c}_l") for c in carried]
     )
     right = cut.select(
         "element",
-        F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("i"),
-        F.col("_block").alias("j"),
-        F.col("sid").alias("sid_r"),
-        F.col("n").alias("n_r"),
-        F.col("rest").alias("rest_r"),
+        F.explode(F.sequence(F.lit(0), own)).alias("i"),
+        own.alias("j"),
+        *[F.col(c).alias(f"{c}_r") for c in carried],
     )
     n_l, n_r = F.col("n_l"), F.col("n_r")
     overlap = _needed(threshold / (1.0 + threshold), n_l + n_r)
     possible = (
-        ((left["i"] < left["j"]) | (F.col("sid_l") < F.col("sid_r")))
+        ((F.col("i") < F.col("j")) | (F.col(f"{member}_l") < F.col(f"{member}_r")))
         & (F.least(n_l, n_r) >= _needed(threshold, F.greatest(n_l, n_r)))
         & (F.least("rest_l", "rest_r") >= overlap)
     )
-    same_key = (left["element"] == right["element"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    candidates = (
-        left.join(right, same_key & possible)
-        .select(F.least("sid_l", "sid_r").alias("sid_a"), F.greatest("sid_l", "sid_r").alias("sid_b"))
-        .distinct()
+    # Little data can mean much work here: an explicit number keeps the exchange the join
+    # needs anyway from being coalesced by its size in bytes.
+    spread = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.repartition(spread, "element", "i", "j").join(right, ["element", "i", "j"]).where(possible)
+
+
+def _score(shared: Column) -> Column:
+    return shared.cast("double") / (F.col("n_l") + F.col("n_r") - shared)
+
+
+def _ordered(pairs: DataFrame, member: str, *more: str) -> DataFrame:
+    l, r = f"{member}_l", f"{member}_r"
+    return pairs.select(F.least(l, r).alias("a"), F.greatest(l, r).alias("b"), *more).distinct()
+
+
+def _prefix_of(n: Column, threshold: float, elements: Column) -> Column:
+    return F.posexplode(F.slice(elements, F.lit(1), n - _needed(threshold, n) + 1)).alias("pos", "element")
+
+
+def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int) -> DataFrame:
+    """Elements are bit numbers below ``width``: pairs are scored on packed words inside the join.
+
+    The frequency table is bounded by the width and becomes a literal array, so ordering the
+    bits needs no shuffle. The words (width / 8 bytes) travel with each prefix row; only true
+    pairs leave the join, which is far less than fetching the words per candidate.
+    """
+    counts = sets.select(F.explode("elements").alias("bit")).groupBy("bit").count().collect()
+    found = {r["bit"]: r["count"] for r in counts}
+    frequency = F.lit([int(found.get(i, 0)) for i in range(width)])
+    ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
+    n_words = -(-width // 64)
+    words = [F.get("words", F.lit(i)).alias(f"w{i}") for i in range(n_words)]
+    prefixes = sets.select(
+        "cls", "n", *words, _prefix_of(F.col("n"), threshold, F.array_sort(ranked).getField("e"))
+    ).withColumn("rest", F.col("n") - F.col("pos")).drop("pos")
+    shared = F.lit(0)
+    for i in range(n_words):
+        shared = shared + F.bit_count(F.col(f"w{i}_l").bitwiseAND(F.col(f"w{i}_r")))
+    scored = _meet(prefixes, "cls", threshold, block_rows).withColumn("similarity", _score(shared))
+    return _ordered(scored.where(F.col("similarity") >= threshold), "cls", "similarity").toDF(
+        "cls_a", "cls_b", "similarity"
     )
 
-    def side(s: str) -> DataFrame:
-        return sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("sid", "cls", "n", "elements")])
 
-    shared = F.size(F.array_intersect("elements_a", "elements_b"))
-    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+def _similar_tokens(sets: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Elements are arbitrary tokens and sets may be long: only row numbers meet in the join.
+
+    The vocabulary is unbounded, so its frequencies are a joined table (broadcast or not by
+    measured size), and candidates fetch their sets once, after deduplication.
+    """
+    pieces = sets.select("sid", "n", F.explode("elements").alias("element"))
+    counts = pieces.groupBy("element").count()
+    entry = F.struct(F.col("count").alias("f"), F.col("element").alias("e"))
+    ordered = pieces.join(counts, "element").groupBy("sid", "n").agg(F.array_sort(F.collect_list(entry)).alias("_o"))
+    prefixes = materialize(
+        ordered.select("sid", "n", _prefix_of(F.col("n"), threshold, F.col("_o.e"))), "prefixes"
+    ).select("element", "sid", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    candidates = _ordered(_meet(prefixes, "sid", threshold, block_rows), "sid")
+    sides = [
+        sets.select(F.col("sid").alias(c), *[F.col(x).alias(f"{x}_{s}") for x in ("cls", "n", "elements")])
+        for c, s in (("a", "l"), ("b", "r"))
+    ]
     return (
-        candidates.join(side("a"), "sid_a")
-        .join(side("b"), "sid_b")
-        .withColumn("shared", shared)
-        .withColumn("similarity", F.col("shared").cast("double") / union)
+        candidates.join(sides[0], "a")
+        .join(sides[1], "b")
+        .withColumn("similarity", _score(F.size(F.array_intersect("elements_l", "elements_r"))))
         .where(F.col("similarity") >= threshold)
-        .select("cls_a", "cls_b", "similarity")
+        .select(F.col("cls_l").alias("cls_a"), F.col("cls_r").alias("cls_b"), "similarity")
     )
 
 
+def similar_classes(
+    sets: DataFrame, threshold: float, universe: int | None = None, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(cls_a, cls_b, similarity) for all pairs of distinct sets with T >= threshold, each pair once.
+
+    ``sets`` comes from ``distinct_sets``. ``universe`` is the bit width when elements are
+    0-based bit numbers below it.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]: at 0 every pair of the table would qualify")
+    if universe is None:
+        return _similar_tokens(sets, threshold, block_rows)
+    return _similar_bits(sets, threshold, universe, block_rows)
+
+
 def class_pairs(df: DataFrame, elements: str, threshold: float, universe: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``similar_classes`` plus the pair of every class with itself (similarity 1)."""
-    sets = distinct_sets(df, elements)
+    sets = distinct_sets(df, elements, universe)
     own = sets.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b"), F.lit(1.0).alias("similarity"))
     return similar_classes(sets, threshold, universe, block_rows).unionByName(own)
 
@@ -255,7 +291,7 @@ def nearest_neighbors_all(
         .where(F.col("_rn") <= k + 1)
         .select(F.col("cls").alias("cls_b"), F.col(key).alias("neighbor"))
     )
-    pairs = similar_classes(distinct_sets(df, elements), min_sim, universe, block_rows)
+    pairs = similar_classes(distinct_sets(df, elements, universe), min_sim, universe, block_rows)
     flipped = pairs.select(F.col("cls_b").alias("cls_a"), F.col("cls_a").alias("cls_b"), "similarity")
     own = (
         entities.select(F.col("cls").alias("cls_a")).distinct().select("cls_a", F.col("cls_a").alias("cls_b"), F.lit(1.0).alias("similarity"))

@@ -16,6 +16,8 @@ def recommended_conf() -> dict[str, str]:
     """
     return {
         "spark.sql.session.timeZone": "UTC",
+        # Off: capturing a Python call site per column expression costs driver time only.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
