@@ -7,12 +7,22 @@ bit string read left to right, so bit 0 is the most significant) and ``words``
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .scalar import ColumnOrName, _col
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body``.
+
+    An expression mentioned inside a lambda is evaluated per element; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_set(text: ColumnOrName) -> Column:
     """Sorted distinct lower-case ASCII words of a whole text."""
     words = F.split(F.lower(_col(text)), "[^a-z0-9]+")
@@ -31,60 +41,49 @@ def hashed_bits(features: ColumnOrName, nbits: int = 2048) -> Column:
 def _bit_text(bits: Column, nbits: int) -> Column:
     """'0'/'1' text of sorted on-bits, left to right, in one pass over the bits."""
 
-    def run(bit: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(bits, i - 1))
-        return F.concat(F.repeat(F.lit("0"), bit - before - 1), F.lit("1"))
+    def text(b: Column) -> Column:
+        def run(bit: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.lit(-1)).otherwise(F.get(b, i - 1))
+            return F.concat(F.repeat(F.lit("0"), bit - before - 1), F.lit("1"))
 
-    return F.rpad(F.array_join(F.transform(bits, run), ""), nbits, "0")
+        return F.rpad(F.array_join(F.transform(b, run), ""), nbits, "0")
 
+    return _let(bits, text)
 
-def _word_numbers(nbits: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(nbits // 64 - 1))
+
+def _words_of(text: Column, nbits: int, convert: Callable[[Column], Column], step: int) -> Column:
+    """``convert`` every ``step`` characters of a text into an array."""
+    count = nbits // 64
+    pieces = lambda t: F.transform(
+        F.sequence(F.lit(0), F.lit(count - 1)), lambda i: convert(F.substr(t, i * step + 1, F.lit(step)))
+    )
+    return _let(text, pieces)
 
 
 def bits_to_hex(bits: ColumnOrName, nbits: int = 2048) -> Column:
     """Sorted on-bits to the hex string of ``nbits / 4`` characters."""
     bits = _col(bits)
-    text = _bit_text(bits, nbits)
-
-    def word(i: Column) -> Column:
-        return F.lpad(F.conv(F.substr(text, i * 64 + 1, F.lit(64)), 2, 16), 16, "0")
-
-    return F.when(bits.isNotNull(), F.lower(F.array_join(F.transform(_word_numbers(nbits), word), "")))
+    words = _words_of(_bit_text(bits, nbits), nbits, lambda w: F.lpad(F.conv(w, 2, 16), 16, "0"), 64)
+    return F.when(bits.isNotNull(), F.lower(F.array_join(words, "")))
 
 
 def bits_to_words(bits: ColumnOrName, nbits: int = 2048) -> Column:
     """Sorted on-bits to 64-bit words."""
     bits = _col(bits)
-    text = _bit_text(bits, nbits)
-    return F.when(
-        bits.isNotNull(),
-        F.transform(
-            _word_numbers(nbits), lambda i: F.conv(F.substr(text, i * 64 + 1, F.lit(64)), 2, -10).cast("bigint")
-        ),
-    )
+    words = _words_of(_bit_text(bits, nbits), nbits, lambda w: F.conv(w, 2, -10).cast("bigint"), 64)
+    return F.when(bits.isNotNull(), words)
 
 
 def hex_to_words(hexed: ColumnOrName, nbits: int = 2048) -> Column:
     """Hex string to 64-bit words."""
     hexed = _col(hexed)
-    return F.when(
-        F.length(hexed) > 0,
-        F.transform(
-            _word_numbers(nbits),
-            lambda i: F.conv(F.substr(hexed, i * 16 + 1, F.lit(16)), 16, -10).cast("bigint"),
-        ),
-    )
+    return F.when(F.length(hexed) > 0, _words_of(hexed, nbits, lambda w: F.conv(w, 16, -10).cast("bigint"), 16))
 
 
 def hex_to_bits(hexed: ColumnOrName, nbits: int = 2048) -> Column:
     """Hex string to sorted on-bits, in one pass over the bit string."""
     hexed = _col(hexed)
-
-    def word(i: Column) -> Column:
-        return F.lpad(F.conv(F.substr(hexed, i * 16 + 1, F.lit(16)), 16, 2), 64, "0")
-
-    text = F.array_join(F.transform(_word_numbers(nbits), word), "")
+    text = F.array_join(_words_of(hexed, nbits, lambda w: F.lpad(F.conv(w, 16, 2), 64, "0"), 16), "")
     marked = F.transform(F.split(text, ""), lambda c, i: F.when(c == "1", i))
     return F.when(hexed.isNotNull(), F.array_compact(marked))
 

@@ -18,18 +18,13 @@ def hashed_fingerprint(
 
     Row-wise only: no explode and no shuffle. ``count_dropped`` tells how many rows went.
     """
-    bits = df.select(F.col(key), F.array_sort(F.array_distinct(_col(features))).alias("_f")).where(
-        F.size("_f") > 0
-    )
+    sets = df.select(F.col(key), F.array_sort(F.array_distinct(_col(features))).alias("_f"))
     digest = F.sha2(F.concat_ws("\t", F.col(key).cast("string"), F.array_join("_f", " ")), 256)
     return (
-        bits.withColumn("onbits", hashed_bits("_f", nbits))
+        sets.select(key, digest.alias("_row_hash"), hashed_bits("_f", nbits).alias("onbits"))
+        .where(F.size("onbits") > 0)
         .select(
-            key,
-            "onbits",
-            F.size("onbits").alias("n_onbits"),
-            bits_to_hex("onbits", nbits).alias("hex"),
-            digest.alias("_row_hash"),
+            key, "onbits", F.size("onbits").alias("n_onbits"), bits_to_hex("onbits", nbits).alias("hex"), "_row_hash"
         )
         .withColumns({"_fetch_ts": F.lit(now), "_source": F.lit(source), "_version": F.lit(version)})
     )

@@ -13,6 +13,7 @@ from ..config import STANDARD_TYPES, XREF_SOURCES, CLASS_LABELS, TargetSet
 from ..functions.fingerprint import bits_to_hex, word_set
 from ..functions.scalar import round_fp
 from ..operators.fingerprints import set_bits
+from ..session import spread
 from .warehouse import Warehouse
 
 NBITS = 64
@@ -234,8 +235,13 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(_Raw(spark, sf_dir), ANALOG)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, spread over the cores before they are tokenised."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"))
+
+
 def document_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as entities: word set of the whole text, language as group."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         "doc_id", "lang", (F.col("doc_id") % 7).cast("double").alias("potency"), word_set("text").alias("words")
     )

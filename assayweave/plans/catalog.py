@@ -269,7 +269,7 @@ _HEX = (
         from (select doc_id, {words('text')} as words, {_BITS} as bits from documents) where len(words) > 0""",
 )
 def hashed_fingerprint(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = analogs.documents(spark, sf)
     return tidy(fingerprints.hashed_fingerprint(docs, "doc_id", fn.word_set("text"), 2048, now=NOW))
 
 
@@ -872,12 +872,15 @@ def nearest_neighbors(spark, sf):
 
 @query(
     "nearest_neighbors_all",
-    f"""select doc_id, neighbor, round(t, 6) as similarity, rank from (
-          select doc_id, neighbor, t, row_number() over (partition by doc_id order by t desc, neighbor)::int as rank
-          from (select a.doc_id, b.doc_id as neighbor, {tanimoto("a.words", "b.words")} as t
-                from doc_sets a join doc_sets b on a.doc_id <> b.doc_id and len(a.words) > 0 and len(b.words) > 0
-                     and least(len(a.words), len(b.words)) >= 0.7 * greatest(len(a.words), len(b.words)) - 1e-6)
-          where t >= 0.7) where rank <= 3""",
+    """with pairs as (
+         select ida, idb, shared::double / (na + nb - shared) as t
+         from (select a.doc_id as ida, b.doc_id as idb, a.n as na, b.n as nb, len(list_intersect(a.codes, b.codes)) as shared
+               from doc_codes a join doc_codes b on a.doc_id < b.doc_id
+                    and least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) - 1e-6)
+         where t >= 0.7),
+       ranked as (select doc_id, neighbor, t, row_number() over (partition by doc_id order by t desc, neighbor)::int as rank
+                  from (select ida as doc_id, idb as neighbor, t from pairs union all select idb, ida, t from pairs))
+       select doc_id, neighbor, round(t, 6) as similarity, rank from ranked where rank <= 3""",
 )
 def nearest_neighbors_all(spark, sf):
     docs = analogs.document_sets(spark, sf)
