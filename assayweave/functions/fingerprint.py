@@ -25,8 +25,8 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def word_set(text: ColumnOrName) -> Column:
     """Sorted distinct lower-case ASCII words of a whole text."""
-    words = F.split(F.lower(_col(text)), "[^a-z0-9]+")
-    return F.array_sort(F.array_distinct(F.filter(words, lambda w: w != "")))
+    plain = F.trim(F.regexp_replace(F.lower(_col(text)), "[^a-z0-9]+", " "))
+    return F.sort_array(F.array_remove(F.array_distinct(F.split(plain, " ")), ""))
 
 
 def hashed_bits(features: ColumnOrName, nbits: int = 2048) -> Column:
@@ -35,7 +35,7 @@ def hashed_bits(features: ColumnOrName, nbits: int = 2048) -> Column:
     def bit(feature: Column) -> Column:
         return (F.conv(F.substring(F.md5(feature), 1, 4), 16, 10).cast("int") % F.lit(nbits)).cast("int")
 
-    return F.array_sort(F.array_distinct(F.transform(_col(features), bit)))
+    return F.sort_array(F.array_distinct(F.transform(_col(features), bit)))
 
 
 def _bit_text(bits: Column, nbits: int) -> Column:

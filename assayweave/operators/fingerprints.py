@@ -18,7 +18,7 @@ def hashed_fingerprint(
 
     Row-wise only: no explode and no shuffle. ``count_dropped`` tells how many rows went.
     """
-    sets = df.select(F.col(key), F.array_sort(F.array_distinct(_col(features))).alias("_f"))
+    sets = df.select(F.col(key), F.sort_array(F.array_distinct(_col(features))).alias("_f"))
     digest = F.sha2(F.concat_ws("\t", F.col(key).cast("string"), F.array_join("_f", " ")), 256)
     return (
         sets.select(key, digest.alias("_row_hash"), hashed_bits("_f", nbits).alias("onbits"))

@@ -38,11 +38,12 @@ def distinct_sets(df: DataFrame, elements: str, universe: int | None = None) ->
     ``sid`` is a short row number fixed by the write. With a ``universe`` the packed words
     are stored as well.
     """
-    sets = df.select(set_class(elements).alias("cls"), F.col(elements).alias("elements")).where(F.size("elements") > 0)
+    sets = df.select(set_class(elements).alias("cls"), F.col(elements).alias("elements"))
     columns = [F.monotonically_increasing_id().alias("sid"), "cls", F.size("elements").alias("n"), "elements"]
     if universe is not None:
         columns.append(bits_to_words("elements", -(-universe // 64) * 64).alias("words"))
-    return materialize(sets.dropDuplicates(["cls"]).select(*columns), "sets")
+    # The empty set is dropped after the aggregation, or the filter would compute the sets twice.
+    return materialize(sets.dropDuplicates(["cls"]).select(*columns).where("n > 0"), "sets")
 
 
 def _needed(threshold: float, n: Column) -> Column:
@@ -107,8 +108,19 @@ def _ordered(pairs: DataFrame, member: str, *more: str) -> DataFrame:
     return pairs.select(F.least(l, r).alias("a"), F.greatest(l, r).alias("b"), *more).distinct()
 
 
-def _prefix_of(n: Column, threshold: float, elements: Column) -> Column:
-    return F.posexplode(F.slice(elements, F.lit(1), n - _needed(threshold, n) + 1)).alias("pos", "element")
+def _prefix_rows(sets: DataFrame, threshold: float, entries: Column, *carried: Column | str) -> DataFrame:
+    """One row per prefix element; ``entries`` are (f, e) structs, f = number of sets with e.
+
+    Elements of a single set can meet nothing and are not emitted (they keep their position).
+    """
+    n = F.col("n")
+    prefix = F.slice(F.sort_array(entries), F.lit(1), n - _needed(threshold, n) + 1)
+    return (
+        sets.select("n", *carried, F.posexplode(prefix).alias("_pos", "_entry"))
+        .where("_entry.f > 1")
+        .withColumns({"element": F.col("_entry.e"), "rest": F.col("n") - F.col("_pos")})
+        .drop("_pos", "_entry")
+    )
 
 
 def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int) -> DataFrame:
@@ -124,9 +136,7 @@ def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int
     ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
     n_words = -(-width // 64)
     words = [F.get("words", F.lit(i)).alias(f"w{i}") for i in range(n_words)]
-    prefixes = sets.select(
-        "cls", "n", *words, _prefix_of(F.col("n"), threshold, F.array_sort(ranked).getField("e"))
-    ).withColumn("rest", F.col("n") - F.col("pos")).drop("pos")
+    prefixes = _prefix_rows(sets, threshold, ranked, "cls", *words)
     shared = F.lit(0)
     for i in range(n_words):
         shared = shared + F.bit_count(F.col(f"w{i}_l").bitwiseAND(F.col(f"w{i}_r")))
@@ -139,16 +149,17 @@ def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int
 def _similar_tokens(sets: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """Elements are arbitrary tokens and sets may be long: only row numbers meet in the join.
 
-    The vocabulary is unbounded, so its frequencies are a joined table (broadcast or not by
-    measured size), and candidates fetch their sets once, after deduplication.
+    Tokens meet by a 64-bit hash: a collision can only add a candidate, which the exact
+    comparison rejects. The vocabulary is unbounded, so its frequencies are a joined table
+    (broadcast or not by measured size), and candidates fetch their sets once, after
+    deduplication.
     """
-    pieces = sets.select("sid", "n", F.explode("elements").alias("element"))
-    counts = pieces.groupBy("element").count()
-    entry = F.struct(F.col("count").alias("f"), F.col("element").alias("e"))
-    ordered = pieces.join(counts, "element").groupBy("sid", "n").agg(F.array_sort(F.collect_list(entry)).alias("_o"))
-    prefixes = materialize(
-        ordered.select("sid", "n", _prefix_of(F.col("n"), threshold, F.col("_o.e"))), "prefixes"
-    ).select("element", "sid", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    pieces = sets.select("sid", "n", F.explode("elements").alias("_token")).select(
+        "sid", "n", F.xxhash64("_token").alias("e")
+    )
+    counts = pieces.groupBy("e").agg(F.count(F.lit(1)).alias("f"))
+    entries = pieces.join(counts, "e").groupBy("sid", "n").agg(F.collect_list(F.struct("f", "e")).alias("_entries"))
+    prefixes = materialize(_prefix_rows(entries, threshold, F.col("_entries"), "sid"), "prefixes")
     candidates = _ordered(_meet(prefixes, "sid", threshold, block_rows), "sid")
     sides = [
         sets.select(F.col("sid").alias(c), *[F.col(x).alias(f"{x}_{s}") for x in ("cls", "n", "elements")])
