@@ -1,5 +1,6 @@
 from .fingerprint import (
     bits_to_hex,
+    bits_to_words,
     contains_all,
     hashed_bits,
     hex_to_bits,
@@ -21,6 +22,7 @@ from .scalar import (
 
 __all__ = [
     "bits_to_hex",
+    "bits_to_words",
     "contains_all",
     "display_name",
     "hashed_bits",

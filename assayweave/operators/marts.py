@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import display_name, round_fp
+from .positions import exact_quantiles
 from .similarity import BLOCK_ROWS, class_pairs, cliffs_of_pairs, set_class
 
 
@@ -337,16 +338,29 @@ def class_profile(sar: DataFrame) -> DataFrame:
 def cytotoxicity(cell: DataFrame) -> DataFrame:
     """Cellular potency per (payload, cell line); representative names are the smallest.
 
-    Potencies are rounded to 6 places before the median, which keeps its state on a
-    bounded grid and its value independent of the order of arrival.
+    Computed potencies are on no fixed grid, so the median comes from ranked value counts
+    rather than from a per-group buffer. Rounding to 6 places first makes it independent of
+    how the logarithm's last bit comes out.
     """
-    potency = round_fp("p_cyto", 6)
-    return cell.groupBy("molecule_chembl_id", "cell_line_chembl_id").agg(
+    keys = ["molecule_chembl_id", "cell_line_chembl_id"]
+    rounded = cell.withColumn("_p", round_fp("p_cyto", 6))
+    summary = rounded.groupBy(*keys).agg(
         F.min("molecule_pref_name").alias("molecule_pref_name"),
         F.min("reference_name").alias("reference_name"),
         F.min("payload_class").alias("payload_class"),
         F.min("cell_line").alias("cell_line"),
         F.count(F.lit(1)).alias("n_measurements"),
-        round_fp(F.median(potency), 3).alias("median_p_cyto"),
-        round_fp(F.max(potency), 3).alias("max_p_cyto"),
+        F.max("_p").alias("_max"),
+    )
+    medians = exact_quantiles(rounded, keys, "_p", [0.5], "_q")
+    return summary.join(medians, keys).select(
+        "molecule_chembl_id",
+        "cell_line_chembl_id",
+        "molecule_pref_name",
+        "reference_name",
+        "payload_class",
+        "cell_line",
+        "n_measurements",
+        round_fp(F.col("_q")[0], 3).alias("median_p_cyto"),
+        round_fp("_max", 3).alias("max_p_cyto"),
     )

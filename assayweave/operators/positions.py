@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 ROWS_PER_RANGE = 100_000
 MAX_RANGES = 512
 _SAMPLES_PER_RANGE = 20
@@ -103,3 +105,57 @@ def group_rank(
     placed = global_position(df, [F.col(group), *order], "_pos", rows_per_range)
     first = placed.groupBy(group).agg(F.min("_pos").alias("_first"))
     return placed.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")
+
+
+def exact_quantiles(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    name: str = "quantiles",
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Exact interpolated quantiles per group (``name``: array) without per-group state.
+
+    Equal values are counted first (map-side). The (group, value) counts are then numbered by
+    cumulative weight over ranges of the sort key, and each group picks the values at its two
+    neighbouring ranks per probability. No task ever holds a group, however many values it has.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_w"))
+    counted = materialize(counted, "quantiles")  # read by the sampling, numbering and offset passes
+    order = [F.col(g) for g in groups] + [F.col(value)]
+    bounds = _sample_bounds(counted, order, rows_per_range)
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    ranged = counted.withColumn("_range", _range_of(key, bounds) if bounds else F.lit(0))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_range").agg(F.sum("_w").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    placed = (
+        ranged.withColumn("_run", F.sum("_w").over(inside))
+        .join(F.broadcast(offsets), "_range")  # at most MAX_RANGES rows
+        .withColumn("_end", F.col("_offset") + F.col("_run"))
+        .withColumn("_start", F.col("_end") - F.col("_w"))
+    )
+    extent = placed.groupBy(*groups).agg(F.min("_start").alias("_first"), F.sum("_w").alias("_total"))
+    at = placed.join(extent, list(groups)).withColumns(
+        {"_lo": F.col("_start") - F.col("_first"), "_hi": F.col("_end") - F.col("_first")}
+    )
+
+    def pick(rank: Column) -> Column:
+        return F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col(value)))
+
+    picks: list[Column] = []
+    for i, p in enumerate(probabilities):
+        rank = F.lit(float(p)) * (F.col("_total") - 1)
+        picks += [
+            pick(F.floor(rank)).alias(f"_a{i}"),
+            pick(F.ceil(rank)).alias(f"_b{i}"),
+            F.max(rank - F.floor(rank)).alias(f"_f{i}"),
+        ]
+    found = at.groupBy(*groups).agg(*picks)
+    values = [
+        F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}")) for i in range(len(probabilities))
+    ]
+    return found.select(*groups, F.array(*values).alias(name))

@@ -61,7 +61,7 @@ def _blocks(df: DataFrame, key: str, member: str, block_rows: int) -> DataFrame:
         .where(F.col("_size") > block_rows)
         .select(key, F.ceil(F.col("_size") / block_rows).cast("int").alias("_blocks"))
     )
-    marked = df.join(hot, key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    marked = df.join(materialize(hot, "hot"), key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     return marked.withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
 
 
@@ -248,6 +248,7 @@ def cliffs_of_pairs(
     )
     if min_delta == 0:
         meetings = meetings.where(distinct_classes | (F.col("i") <= F.col("j")))
+    meetings = materialize(meetings, "meetings")  # read for both sides below
     blocked = banded.join(summary, [group, "cls", "_band"]).withColumn(
         "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
     )

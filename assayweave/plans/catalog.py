@@ -1003,6 +1003,21 @@ def distribution(spark, sf):
     return tidy(serving.distribution(warehouse(spark, sf).mart_target_sar, "target_pref_name", "median_pchembl"))
 
 
+@query(
+    "exact_quantiles",
+    """select l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.1), 6) as p10,
+              round(median(l_extendedprice), 6) as p50, round(quantile_cont(l_extendedprice, 0.9), 6) as p90
+       from lineitem group by 1, 2""",
+)
+def exact_quantiles(spark, sf):
+    """Quantiles of an open value range in very large groups."""
+    groups = ["l_returnflag", "l_linestatus"]
+    lines = table(spark, sf, "lineitem")
+    found = positions.exact_quantiles(lines, groups, "l_extendedprice", [0.1, 0.5, 0.9], "q", rows_per_range=5000)
+    picked = {"p10": F.col("q")[0], "p50": F.col("q")[1], "p90": F.col("q")[2]}
+    return tidy(found.withColumns(picked).drop("q"))
+
+
 @query(
     "histogram",
     """select least(floor((p_retailprice - lo) / ((hi - lo) / 40)) + 1, 40)::int as bin, p_size % 2 = 0 as flag, count(*) as n
