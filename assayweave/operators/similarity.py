@@ -249,8 +249,13 @@ def cliffs_of_pairs(
     if min_delta == 0:
         meetings = meetings.where(distinct_classes | (F.col("i") <= F.col("j")))
     meetings = materialize(meetings, "meetings")  # read for both sides below
-    blocked = banded.join(summary, [group, "cls", "_band"]).withColumn(
-        "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
+    # Only summaries of more than one block are joined to the members: at most
+    # rows / block_rows of them, so a hot class is not shuffled onto one key here.
+    hot = summary.where("_blocks > 1")
+    blocked = (
+        banded.join(hot, [group, "cls", "_band"], "left")
+        .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+        .withColumn("_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"))
     )
     attributes = [c for c in members.columns if c not in (group, "cls", key)]
 

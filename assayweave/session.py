@@ -31,12 +31,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local
     session may do without it: there it is pointed at a temporary folder once.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="assayweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="assayweave-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
