@@ -809,12 +809,10 @@ def overview_metrics(spark, sf):
 
 @query(
     "ro5_breakdown",
-    """select molecule_chembl_id, mw_freebase <= 500 as mw_ok, alogp <= 3 as logp_ok, hbd <= 5 as hbd_ok, n <= 10 as hba_ok,
+    """select molecule_chembl_id, mw_freebase <= 500 as mw_ok, alogp <= 5 as logp_ok, hbd <= 5 as hbd_ok, n <= 10 as hba_ok,
               (coalesce((mw_freebase > 500)::int, 0) + coalesce((hbd > 5)::int, 0) + coalesce((alogp > 5)::int, 0)
                + coalesce((n > 10)::int, 0))::int as violations
-       from (select molecule_chembl_id, mw_freebase, hbd, nullif(alogp, 0) as alogp, nullif(hba, 3) as n from stg_molecules)""".replace(
-        "alogp <= 3", "alogp <= 5"
-    ),
+       from (select molecule_chembl_id, mw_freebase, hbd, nullif(alogp, 0) as alogp, nullif(hba, 3) as n from stg_molecules)""",
 )
 def ro5_breakdown(spark, sf):
     compounds = warehouse(spark, sf).stg_molecules.select(
@@ -1180,10 +1178,8 @@ def top_cliffs(spark, sf):
 
 @query(
     "cap_per_group",
-    f"""select * exclude (rn) from (select {_R_SAR}, row_number() over (partition by target_key
-          order by median_pchembl desc, molecule_chembl_id) as rn from sar) where rn <= 5""".replace(
-        "median_pchembl desc", "sar.median_pchembl desc"
-    ),
+    f"""select {_R_SAR} from (select * exclude (rn) from (select *, row_number() over (partition by target_key
+          order by median_pchembl desc, molecule_chembl_id) as rn from sar) where rn <= 5)""",
 )
 def cap_per_group(spark, sf):
     return tidy(

@@ -51,10 +51,7 @@ MODELS = (
 
 
 class Warehouse:
-    """Models over raw frames. Each attribute is a lazy frame, built once.
-
-
-    """
+    """Models over raw frames. Each attribute is a lazy frame, built once."""
 
     def __init__(
         self,
