@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from assayweave.plans import catalog, oracles
 from tests.oracle import connection, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = oracle_sql()
+SQL = oracles.oracle_sql()
+QUERIES = catalog.REGISTRY
 # Multi-dimensional coordinates have no SQL form; test_functions checks their invariants.
 ROWS_ONLY = {"project_2d"}
 
@@ -19,12 +21,16 @@ def con():
 
 
 def test_every_query_has_a_definition():
-    assert set(queries()) - set(SQL) == ROWS_ONLY and not set(SQL) - set(queries())
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY and not set(SQL) - set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+def test_entry_module_registers_them():
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     if name in ROWS_ONLY:
         assert df.count() > 0
     else:
