@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import decontaminate, mixing, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,5 +16,98 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_simhash": op1_simhash}
-SQL: dict[str, str] = {}
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+QUERIES: dict[str, Query] = {"op1_simhash": op1_simhash, "op2_decontaminate": op2_decontaminate, "op7_mix": op7_mix}
+
+_A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _shingles(name: str, key: str, source: str) -> str:
+    """Distinct (row, shingle) of five words of a table, with the row's key."""
+    words = _WORDS.format(f"translate(text, {_A_Z})")
+    return f"""
+{name}_words as (select row_number() over () as r, {key}, {words} as w from {source}),
+{name}_shingles as (
+  select distinct r, {key}, array_to_string(w[i:i + 4], ' ') as s
+  from (select r, {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from {name}_words where len(w) > 0))"""
+
+
+SQL: dict[str, str] = {
+    "op2_decontaminate": f"""
+with {_shingles("doc", "doc_id", "documents")}, {_shingles("item", "item_id", "benchmark")},
+sizes as (select r, count(*) as n_item from item_shingles group by r),
+shared as (
+  select d.r as dr, d.doc_id, i.r as ir, i.item_id, count(*) as n_shared
+  from doc_shingles d join item_shingles i using (s) group by all)
+select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment
+from shared join sizes on ir = sizes.r where n_shared >= 0.8 * n_item
+""",
+    "op7_mix": f"""
+with sized as (select doc_id, source, len({_WORDS.format("text")}) as size from documents),
+sources as (
+  select source, sum(size)::bigint as source_size, ceil(count(*) / 4096)::bigint as shards,
+    [3.0, 1.0, 2.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w
+  from sized group by source),
+capped as (select *, 2.0 * source_size as cap, sum(source_size) over () * 1.5 as total from sources),
+levels as (
+  select *, (total - coalesce(sum(cap) over (order by cap / w, source nulls last
+      rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (order by cap / w, source nulls last rows between current row and unbounded following) as level
+  from capped),
+aimed as (select *, least(cap, coalesce(w * max(level) filter (level * w <= cap) over (), cap)) as target from levels),
+seats as (select *, round(sum(target) over () / 16)::bigint as n, sum(target) over () as goal from aimed),
+quotients as (
+  select source, k, target / (2 * k + 1) as q, n
+  from (select *, unnest(range(0, (target * n / goal)::bigint + 60)) as k from seats where target > 0)),
+quotas as (
+  select source, count(*) as quota
+  from (select source, n, row_number() over (order by q desc, source nulls last, k) as place from quotients)
+  where place <= n group by source),
+dealt as (
+  select d.doc_id, d.size, s.source, s.source_size, s.target, coalesce(q.quota, 0) as quota,
+    ('0x' || substr(md5('0|' || coalesce(d.doc_id::varchar, '')), 1, 15))::bigint % s.shards as shard
+  from sized d join seats s on d.source is not distinct from s.source
+    left join quotas q on s.source is not distinct from q.source),
+shards as (
+  select source, shard, quota, sum(size)::bigint as words, sum(sum(size)) over (partition by source) as goal
+  from dealt group by source, shard, quota),
+shard_quotients as (
+  select source, shard, k, words / (2 * k + 1) as q, quota
+  from (select *, unnest(range(0, (words * quota / goal)::bigint + 60)) as k from shards where words > 0)),
+shard_quotas as (
+  select source, shard, count(*) as blocks
+  from (select source, shard, quota,
+          row_number() over (partition by source order by q desc, shard, k) as place from shard_quotients)
+  where place <= quota group by source, shard),
+placed as (
+  select d.doc_id, d.size, d.source, d.shard, d.source_size, d.target, ceil(s.words / 16)::bigint as n,
+    least(coalesce(b.blocks, 0), 2 * ceil(s.words / 16)::bigint) as q,
+    sum(d.size) over (partition by d.source, d.shard
+      order by ('0x' || substr(md5('1|' || coalesce(d.doc_id::varchar, '')), 1, 15))::bigint, d.doc_id nulls first, d.size
+      rows unbounded preceding)::bigint as e
+  from dealt d join shards s on d.source is not distinct from s.source and d.shard = s.shard
+    left join shard_quotas b on d.source is not distinct from b.source and d.shard = b.shard),
+parts as (
+  select *, q // n as whole, q - (q // n) * n as rest,
+    ('0x' || substr(md5('2|' || coalesce(source, '') || '|' || shard::varchar), 1, 15))::bigint % n as start
+  from placed where n > 0),
+blocks as (
+  select *, unnest(range((e - size) // 16, (e + 15) // 16)) as b from parts where size > 0),
+extra as (
+  select doc_id, size, source_size, target, whole, source, shard, e,
+    sum((least(e, 16 * b + 16) - greatest(e - size, 16 * b))
+      * (((b + 1) * rest + start) // n - (b * rest + start) // n)) as more
+  from blocks group by all)
+select doc_id, size, source_size, target, (whole * size + more)::bigint as taken from extra
+union all
+select doc_id, size, source_size, target, 0::bigint from dealt where size = 0
+""",
+}

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,13 +53,14 @@ def fingerprint(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ``fp`` bigint) for every row; a NULL or wordless text has fingerprint 0. Rows stay where they are read."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(shingle_hashes(t, width)) for t in batch["text"]), np.int64, len(batch))
-            yield pd.DataFrame({"id": batch["id"], "fp": fps})
+            ids, texts = batch.columns
+            fps = [fingerprint(shingle_hashes(t.as_py(), width)) for t in texts]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(fps, pa.int64())], ["id", "fp"])
 
-    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInPandas(run, "id bigint, fp bigint").withColumnRenamed("id", id_col)
+    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(run, "id bigint, fp bigint").withColumnRenamed("id", id_col)
 
 
 def _bit(values: np.ndarray, bit: int) -> np.ndarray:
