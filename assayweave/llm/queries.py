@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash
+from . import decontaminate, mixing, recompression, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,17 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
-QUERIES: dict[str, Query] = {"op1_simhash": op1_simhash, "op2_decontaminate": op2_decontaminate, "op7_mix": op7_mix}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompression.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_simhash": op1_simhash,
+    "op2_decontaminate": op2_decontaminate,
+    "op7_mix": op7_mix,
+    "op10_substring_dedup": op10_substring_dedup,
+}
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -109,5 +120,19 @@ extra as (
 select doc_id, size, source_size, target, (whole * size + more)::bigint as taken from extra
 union all
 select doc_id, size, source_size, target, 0::bigint from dealt where size = 0
+""",
+    "op10_substring_dedup": f"""
+with docs as (select row_number() over (order by doc_id, text) as r, doc_id, {_WORDS.format("text")} as w from documents),
+windows as (
+  select r, i, md5(array_to_string(w[i:i + 19], ' ')) as h
+  from (select r, w, unnest(range(1, len(w) - 18)) as i from docs where len(w) >= 20)),
+later as (select r, i from windows qualify row_number() over (partition by h order by r, i) > 1),
+covered as (select distinct r, unnest(range(i, i + 20)) as i from later),
+kept as (
+  select d.r, string_agg(d.w[p], ' ' order by p) as text, count(*) as n
+  from (select r, w, unnest(range(1, len(w) + 1)) as p from docs) d
+    anti join covered c on d.r = c.r and d.p = c.i group by d.r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from docs left join kept using (r)
 """,
 }
