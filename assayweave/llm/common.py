@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,23 @@ def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataF
         yield pd.concat(open_parts, ignore_index=True)
 
 
+def pack(chunk: int, bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
+    """One row for each bucket, with the bucket's part of every column as an array: little overhead in a shuffle."""
+    order = np.argsort(bucket, kind="stable")
+    values, cuts = np.unique(bucket[order], return_index=True)
+    if not len(values):
+        return pd.DataFrame({k: [] for k in ("chunk", "bucket", *columns)})
+    out = {"chunk": np.full(len(values), chunk, np.int64), "bucket": values.astype(np.int64)}
+    for name, column in columns.items():
+        out[name] = np.split(column[order].astype(np.int64), cuts[1:])
+    return pd.DataFrame(out)
+
+
+def flat(packed: pd.DataFrame, name: str) -> np.ndarray:
+    """A packed column's arrays one after the other."""
+    return np.concatenate([np.asarray(x, np.int64) for x in packed[name]]) if len(packed) else np.zeros(0, np.int64)
+
+
 def range_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
     """At most ``ranges - 1`` ascending boundaries of a non-null bigint column, about equally far in rows."""
     if ranges < 2:
@@ -63,7 +81,7 @@ def range_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
 
 
 def range_number(key: Column, bounds: Sequence[int]) -> Column:
-    """Number of boundaries <= key, by binary search in a literal array."""
+    """Number of boundaries <= key, as a balanced CASE tree."""
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FIRST_KEY, tasks_for
+from .common import FIRST_KEY, flat, pack, tasks_for
 from .textnp import Runs, Words, mix, slices, words
 
 WINDOW = 20
@@ -139,22 +139,6 @@ def anchors(w: Words, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray,
     return starts, name[starts], place[starts]
 
 
-def _pack(chunk: int, bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
-    """One row for each bucket, with the bucket's part of every column as an array."""
-    order = np.argsort(bucket, kind="stable")
-    values, cuts = np.unique(bucket[order], return_index=True)
-    if not len(values):
-        return pd.DataFrame({k: [] for k in ("chunk", "bucket", *columns)})
-    out = {"chunk": np.full(len(values), chunk, np.int64), "bucket": values.astype(np.int64)}
-    for name, column in columns.items():
-        out[name] = np.split(column[order].astype(np.int64), cuts[1:])
-    return pd.DataFrame(out)
-
-
-def _flat(pdf: pd.DataFrame, name: str) -> np.ndarray:
-    return np.concatenate([np.asarray(x, np.int64) for x in pdf[name]]) if len(pdf) else np.zeros(0, np.int64)
-
-
 def _intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     """Word ranges covered by windows at the sorted starts."""
     if not len(starts):
@@ -205,21 +189,21 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         names, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
         names = names.view(np.int64)
         bucket = (names.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        return _pack(int(pdf["chunk"].iloc[0]), bucket, names=names, again=times > 1)
+        return pack(int(pdf["chunk"].iloc[0]), bucket, names=names, again=times > 1)
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of one bucket, the anchors of each chunk that occur twice or more in all chunks."""
         sizes = pdf["names"].map(len).to_numpy()
         chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), sizes)
-        names, again = _flat(pdf, "names"), _flat(pdf, "again")
+        names, again = flat(pdf, "names"), flat(pdf, "again")
         _, of, times = np.unique(names, return_inverse=True, return_counts=True)
         keep = (times[of] > 1) | (again > 0)
-        out = _pack(0, chunk[keep], names=names[keep])
+        out = pack(0, chunk[keep], names=names[keep])
         return out.assign(chunk=out["bucket"])[["chunk", "names"]]
 
     def hashed(docs_pdf: pd.DataFrame, names_pdf: pd.DataFrame) -> pd.DataFrame:
         """The chunk's windows under repeated anchors: each once, at its first place, with later places apart."""
-        known = np.unique(_flat(names_pdf, "names").view(np.uint64))
+        known = np.unique(flat(names_pdf, "names").view(np.uint64))
         ids, texts, again = in_order(docs_pdf)
         cols: list[list[np.ndarray]] = [[] for _ in range(5)]
         for cut in slices(texts):
@@ -242,10 +226,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         bucket = (one.view(np.uint64) % np.uint64(parts)).astype(np.int64)
         chunk = int(docs_pdf["chunk"].iloc[0])
         head, tail = order[new], order[~new]
-        firsts = _pack(chunk, bucket[head], one=one[head], two=two[head], doc=doc[head], nth=nth[head], start=start[head])
+        firsts = pack(chunk, bucket[head], one=one[head], two=two[head], doc=doc[head], nth=nth[head], start=start[head])
         # Later places need no further look: they pass the next step in a bucket of this chunk alone.
         blank = np.zeros(len(tail), np.int64)
-        laters = _pack(chunk, blank - 1 - chunk, one=blank, two=blank, doc=doc[tail], nth=nth[tail], start=start[tail])
+        laters = pack(chunk, blank - 1 - chunk, one=blank, two=blank, doc=doc[tail], nth=nth[tail], start=start[tail])
         return pd.concat([firsts, laters], ignore_index=True) if len(tail) else firsts
 
     def later(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -254,18 +238,18 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
             return pdf[["chunk", "doc", "nth", "start"]]
         sizes = pdf["one"].map(len).to_numpy()
         chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), sizes)
-        one, two, doc, nth, start = (_flat(pdf, c) for c in ("one", "two", "doc", "nth", "start"))
+        one, two, doc, nth, start = (flat(pdf, c) for c in ("one", "two", "doc", "nth", "start"))
         order = np.lexsort((start, nth, doc, two, one))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
         rest = order[~new]
-        out = _pack(0, chunk[rest], doc=doc[rest], nth=nth[rest], start=start[rest])
+        out = pack(0, chunk[rest], doc=doc[rest], nth=nth[rest], start=start[rest])
         return out.assign(chunk=out["bucket"])[["chunk", "doc", "nth", "start"]]
 
     def keep(docs_pdf: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
         """The chunk's texts without the words of the marked windows."""
         ids, texts, again = in_order(docs_pdf)
-        doc, nth, start = (_flat(places, c) for c in ("doc", "nth", "start"))
+        doc, nth, start = (flat(places, c) for c in ("doc", "nth", "start"))
         order = np.lexsort((start, nth, doc))
         doc, nth, start = doc[order], nth[order], start[order]
         rows = []

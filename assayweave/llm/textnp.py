@@ -14,8 +14,9 @@ import numpy as np
 #: Texts of about so many bytes are worked on at once; a longer text makes a batch of its own.
 BATCH_BYTES = 2_000_000
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: What stands between words: the six ASCII white-space characters, or anything ASCII but letters and digits.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+NO_TERM = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,13 +89,13 @@ class Words:
         return at[at + width <= np.repeat(self.first[1:], np.diff(self.first))]
 
 
-def words(texts: Sequence[str | None], lower: bool = False) -> Words:
-    """Words [^\\x20\\x09-\\x0D]+ of each text (NULL: none), A-Z lower-cased on demand."""
+def words(texts: Sequence[str | None], lower: bool = False, between: np.ndarray = SPACE) -> Words:
+    """Words of each text (NULL: none): runs of bytes not in ``between``; A-Z lower-cased on demand."""
     parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
     if lower:
         data = LOWER[data]
-    space = _SPACE[data]
+    space = between[data]
     inside = ~space
     starts = np.flatnonzero(inside & np.r_[True, space[:-1]]) if len(data) else np.zeros(0, np.int64)
     ends = np.flatnonzero(inside & np.r_[space[1:], True]) + 1 if len(data) else starts
