@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, mixing, recompression, simhash
+from . import decontaminate, imatch, mixing, recompression, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, ~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -38,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_imatch": op3_imatch,
+    "op5_toxicity": op5_toxicity,
     "op7_mix": op7_mix,
     "op10_substring_dedup": op10_substring_dedup,
 }

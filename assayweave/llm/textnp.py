@@ -70,15 +70,23 @@ class Runs:
 
 @dataclass
 class Words:
-    """Words of some texts one after the other: byte positions in ``data``; text ``i`` has words first[i]:first[i+1]."""
+    """Words of some texts one after the other: byte positions in ``data``; text ``i`` has words first[i]:first[i+1].
+
+    ``offsets`` are the texts' own positions: text ``i`` is data[offsets[i]:offsets[i+1] - 1].
+    """
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     first: np.ndarray
+    offsets: np.ndarray
 
     def hashes(self, seed: int) -> np.ndarray:
-        return Runs(_base(seed)[2][self.data], seed).of(self.starts, self.ends)
+        return self.letters(seed).of(self.starts, self.ends)
+
+    def letters(self, seed: int) -> Runs:
+        """Hashes of any parts of the words."""
+        return Runs(_base(seed)[2][self.data], seed)
 
     def text_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
@@ -101,7 +109,7 @@ def words(texts: Sequence[str | None], lower: bool = False, between: np.ndarray
     ends = np.flatnonzero(inside & np.r_[space[1:], True]) + 1 if len(data) else starts
     ends_of_text = np.cumsum([len(p) + 1 for p in parts], dtype=np.int64)
     first = np.r_[0, np.searchsorted(starts, ends_of_text)].astype(np.int64)
-    return Words(data, starts, ends, first)
+    return Words(data, starts, ends, first, np.r_[0, ends_of_text])
 
 
 def slices(texts: Sequence[str | None], most: int = BATCH_BYTES) -> Iterator[slice]:
