@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, mixing, recompression, simhash, toxicity
+from . import decontaminate, imatch, mixing, pii, recompression, simhash, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,20 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.spans(docs, pii.fit(docs))
+
+    def listed(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s.kind, s.begin, s.end)), ",")
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = recompression.without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -47,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op3_imatch": op3_imatch,
     "op5_toxicity": op5_toxicity,
     "op7_mix": op7_mix,
+    "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
