@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, mixing, pii, recompression, simhash, toxicity
-from .common import table
+from ..session import scratch_dir
+from . import decontaminate, imatch, langid, mixing, pii, recompression, simhash, token_output, toxicity
+from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +34,23 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    found = langid.predict(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    token_output.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.digests(spark, path)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.spans(docs, pii.fit(docs))
@@ -60,7 +75,9 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_imatch": op3_imatch,
     "op5_toxicity": op5_toxicity,
+    "op6_langid": op6_langid,
     "op7_mix": op7_mix,
+    "op8_tokens": op8_tokens,
     "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
 }
