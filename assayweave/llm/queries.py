@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, imatch, langid, mixing, pii, recompression, simhash, token_output, toxicity
+from . import decontaminate, html_extract, imatch, langid, mixing, pii, recompression, simhash, token_output, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.main_text(pages, html_extract.fit(pages)).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = toxicity.held_out(F.col("doc_id"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
     "op3_imatch": op3_imatch,
+    "op4_html": op4_html,
     "op5_toxicity": op5_toxicity,
     "op6_langid": op6_langid,
     "op7_mix": op7_mix,
