@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import WORD
 
-BLOCK = 16
+#: Sources' weights in the order of their names, repeating.
+WEIGHTS = (3, 1, 2)
+#: Words of a block; where texts are cut, of a longer one.
+BLOCK, TEXT_BLOCK = 16, 256
 ROWS_PER_SHARD = 4096
 
 
@@ -96,9 +99,68 @@ def seeded(seed: int, *columns: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+class Plan:
+    """Quotas of sources and shards for a table of (doc_id, source, size); sums only, written to the shared folder."""
+
+    def __init__(self, sizes: DataFrame, weights: Sequence[float], share: float, most: int, block: int, rows_per_shard: int, seed: int):
+        self.most, self.block, self.seed = most, block, seed
+        sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
+        sources = materialize(sources, "sources")
+        aimed = targets(sources.select("source", "source_size"), weights, share, most)
+        shards_of = F.ceil(F.col("n_rows") / F.lit(rows_per_shard)).cast("bigint").alias("shards")
+        counts = sources.select(F.col("source").alias("_s"), shards_of)
+        aimed = aimed.join(counts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+        total = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / F.lit(block))
+        self.sources = materialize(sainte_lague(aimed, "target", total, [], ["source"], "quota"), "quotas")
+        shards = self._dealt(sizes).groupBy("source", "quota", "shard").agg(F.sum("size").alias("words"))
+        shards = sainte_lague(shards, "words", F.col("quota"), ["source"], ["shard"], "blocks")
+        self.shards = materialize(shards.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words", "blocks"), "shards")
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        of_source = self.sources.select(F.col("source").alias("_s"), "source_size", "target", "shards", "quota")
+        dealt = rows.join(of_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+        return dealt.withColumn("shard", F.pmod(seeded(self.seed, "doc_id"), F.col("shards")))
+
+    def place(self, rows: DataFrame) -> DataFrame:
+        """Add to each row (doc_id, source, size, ...) its place in its shard's stream and the words taken of it.
+
+        ``whole``: how often all of it is taken; ``begin``: words of the stream before it; ``picked`` takes the
+        rest of the quota from there on.
+        """
+        placed = self._dealt(rows).join(self.shards, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")))
+        stream = Window.partitionBy("source", "shard").orderBy(seeded(self.seed + 1, "doc_id"), "doc_id", "size")
+        end = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        n = F.ceil(F.col("words") / F.lit(self.block)).cast("bigint")
+        placed = placed.withColumns({"end": end, "n": n}).withColumn("q", F.least("blocks", F.lit(self.most) * F.col("n")))
+        some = F.col("n") > 0
+        placed = placed.withColumns(
+            {
+                "begin": F.col("end") - F.col("size"),
+                "whole": F.when(some, F.floor(F.col("q") / F.col("n"))).otherwise(F.lit(0)).cast("bigint"),
+                "offset": F.when(some, F.pmod(seeded(self.seed + 2, "source", "shard"), F.col("n"))),
+            }
+        ).withColumn("rest", F.col("q") - F.col("whole") * F.col("n"))
+        return placed.withColumn("extra", F.when(F.col("size") > 0, self._words("end") - self._words("begin")).otherwise(F.lit(0)))
+
+    def picked(self, blocks: Column) -> Column:
+        """Blocks of the rest among the first ``blocks`` of the stream: evenly far from each other."""
+        return F.floor((blocks * F.col("rest") + F.col("offset")) / F.col("n"))
+
+    def _words(self, at: str) -> Column:
+        """Words of picked blocks among the first words of the stream."""
+        whole = F.floor(F.col(at) / F.lit(self.block))
+        return self.picked(whole) * self.block + (F.col(at) - whole * self.block) * (self.picked(whole + 1) - self.picked(whole))
+
+
+def _sized(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *more
+    )
+
+
 def mix(
     docs: DataFrame,
-    weights: Sequence[float] = (3, 1, 2),
+    weights: Sequence[float] = WEIGHTS,
     share: float = 1.5,
     most: int = 2,
     block: int = BLOCK,
@@ -112,47 +174,42 @@ def mix(
     groups as it needs. No block, hence no document, is taken more than ``most`` times. Rows without words
     take nothing; repeated rows are rows of their own; a NULL source is a source. Reruns agree.
     """
-    slim = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")
-    )
-    sizes = materialize(slim, "sizes")
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
-    shards_of = F.ceil(F.col("n_rows") / F.lit(rows_per_shard)).cast("bigint").alias("shards")
-    sources = materialize(sources, "sources")
-    aimed = targets(sources.select("source", "source_size"), weights, share, most)
-    counts = sources.select(F.col("source").alias("_s"), shards_of)
-    aimed = aimed.join(counts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    total = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / F.lit(block))
-    quotas = materialize(sainte_lague(aimed, "target", total, [], ["source"], "quota"), "quotas")
-
-    of_source = quotas.select(F.col("source").alias("_s"), "source_size", "target", "shards", "quota")
-    dealt = sizes.join(of_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    dealt = dealt.withColumn("shard", F.pmod(seeded(seed, "doc_id"), F.col("shards")))
-    shards = dealt.groupBy("source", "quota", "shard").agg(F.sum("size").alias("words"))
-    shards = sainte_lague(shards, "words", F.col("quota"), ["source"], ["shard"], "blocks")
-    shards = materialize(shards.select(F.col("source").alias("_s"), F.col("shard").alias("_h"), "words", "blocks"), "shards")
-
-    placed = dealt.join(shards, F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h")))
-    stream = Window.partitionBy("source", "shard").orderBy(seeded(seed + 1, "doc_id"), "doc_id", "size")
-    end = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    n_blocks = F.ceil(F.col("words") / F.lit(block)).cast("bigint")
-    placed = placed.withColumns({"_end": end, "_n": n_blocks}).withColumn("_q", F.least("blocks", F.lit(most) * F.col("_n")))
-    placed = placed.withColumns(
-        {
-            "_whole": F.when(F.col("_n") > 0, F.floor(F.col("_q") / F.col("_n"))).otherwise(F.lit(0)),
-            "_start": F.when(F.col("_n") > 0, F.pmod(seeded(seed + 2, "source", "shard"), F.col("_n"))),
-        }
-    ).withColumn("_rest", F.col("_q") - F.col("_whole") * F.col("_n"))
+    sizes = materialize(_sized(docs), "sizes")
+    placed = Plan(sizes, weights, share, most, block, rows_per_shard, seed).place(sizes)
+    taken = (F.col("whole") * F.col("size") + F.col("extra")).cast("bigint")
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
-    def picked(blocks: Column) -> Column:
-        """Blocks of the rest among the first ``blocks`` of the stream: evenly far from each other."""
-        return F.floor((blocks * F.col("_rest") + F.col("_start")) / F.col("_n"))
 
-    def extra(at: Column) -> Column:
-        """Words of picked blocks among the first ``at`` words of the stream."""
-        whole = F.floor(at / F.lit(block))
-        return picked(whole) * block + (at - whole * block) * (picked(whole + 1) - picked(whole))
+def mixed_documents(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = 1.5,
+    most: int = 2,
+    block: int = TEXT_BLOCK,
+    rows_per_shard: int = ROWS_PER_SHARD,
+    seed: int = 0,
+) -> DataFrame:
+    """The mix as documents, with all columns of ``docs``: a row for each time a text is taken whole, and a row with
+    the words of its picked blocks, joined by one space, where only a part is taken once more.
 
-    taken = F.col("_whole") * F.col("size") + extra(F.col("_end")) - extra(F.col("_end") - F.col("size"))
-    taken = F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("bigint")
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    ``n_chars``, if there is such a column, follows the text. Rows that nothing is taken of are left out. Texts
+    are shuffled once, to their shards; see ``mix`` for NULLs and ties.
+    """
+    plan = Plan(materialize(_sized(docs), "sizes"), weights, share, most, block, rows_per_shard, seed)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    placed = plan.place(_sized(docs, row))
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0))
+
+    def taken(word: Column, i: Column) -> Column:
+        at = F.floor((F.col("begin") + i) / F.lit(block))
+        return plan.picked(at + 1) > plan.picked(at)
+
+    cut = F.when(F.col("extra") == F.col("size"), F.col("row.text")).otherwise(F.array_join(F.filter(words, taken), " "))
+    texts = F.array_repeat(F.col("row.text"), F.col("whole").cast("int"))
+    texts = F.when(F.col("extra") > 0, F.concat(texts, F.array(cut))).otherwise(texts)
+    rows = placed.where("size > 0").select("row", F.explode(texts).alias("text"))
+    out = []
+    for c in docs.columns:
+        value = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+        out.append(value.get(c, F.col(f"row.`{c}`")).alias(c))
+    return rows.select(*out)

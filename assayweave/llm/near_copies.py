@@ -1,0 +1,182 @@
+"""Near copies of documents, by word shingles, found with SimHash and the trie self-join.
+
+Two texts whose shingle sets overlap by 0.8 differ in about 15 of 100 SimHash bits, too many for one trie. So a
+text gets a signature of 256 bits, read as eight fingerprints of 32 bits, and each of them is joined with a
+budget of 3: a pair at 0.8 is met in one of the eight by a chance of about 93 in 100, at 0.9 of 998 in 1000.
+Pairs that are met are kept if their whole signatures are near, as a forest that prefers the nearest pairs:
+whatever limit is then laid on nearness, the forest connects what all pairs together connect. At last the
+pairs of the forest are verified by the exact overlap of the shingles.
+
+Copies count as one text throughout.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import materialize
+from .common import connected_components
+from .simhash import trie_join, trie_pairs
+from .textnp import Runs, mix, slices, words
+
+LANES, PART, BUDGET = 4, 32, 3
+SEED = 71
+#: Signatures that differ in more bits are not verified: a pair at 0.8 has 39 by expectation, 5.7 either way.
+FAR = 58
+_SHINGLES = 1 << 15
+_PAIRS = 1 << 20
+
+
+def shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of the distinct shingles, A-Z lower-cased; fewer words than ``width``: the whole sequence."""
+    w = words(texts, lower=True)
+    runs = Runs(w.hashes(SEED), SEED + 1)
+    starts = w.run_starts(width)
+    counts = np.diff(w.first)
+    short = np.flatnonzero((counts > 0) & (counts < width))
+    of = np.r_[w.text_of_word()[starts], short]
+    h = runs.of(np.r_[starts, w.first[short]], np.r_[starts + width, w.first[short + 1]])
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+    return of[new], h[new]
+
+
+def signatures(texts: list[str | None], width: int) -> np.ndarray:
+    """LANES 64-bit words for each text: a bit is 1 if set in over half the hashes of its distinct shingles."""
+    of, h = shingles(texts, width)
+    ones = np.zeros((len(texts), LANES * 64), np.int64)
+    for at in range(0, len(h), _SHINGLES):
+        part, own = h[at : at + _SHINGLES], of[at : at + _SHINGLES]
+        lanes = np.stack([mix(part + mix(np.full(1, k + 1, np.uint64))) for k in range(LANES)], axis=1)
+        bits = np.unpackbits(lanes.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        ones[own[heads]] += np.add.reduceat(bits, heads, axis=0, dtype=np.int32)
+    total = np.bincount(of, minlength=len(texts))[: len(texts)]
+    return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view("<u8")
+
+
+def _forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of a spanning forest, nearest pairs first."""
+    order = np.lexsort((b, a, far))
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        x, y = root(x), root(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            kept.append(i)
+    return a[kept], b[kept], far[kept]
+
+
+def candidates(signed: DataFrame, most: int = 1 << 14) -> DataFrame:
+    """Pairs (a, b) of texts (``cls``, s0 .. s3) with near signatures: a forest per unit of the trie join."""
+    names = [f"s{k}" for k in range(LANES)]
+
+    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> pd.DataFrame:
+        whole = batch[names].to_numpy(np.int64).view(np.uint64)
+        cls = batch["cls"].to_numpy(np.int64)
+        held = [np.zeros(0, np.int64)] * 3
+        new: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for a, b in trie_pairs(groups, rest, left, BUDGET):
+            far = np.bitwise_count(whole[a] ^ whole[b]).sum(axis=1, dtype=np.int64)
+            near = far <= FAR
+            new.append((a[near], b[near], far[near]))
+            size += int(near.sum())
+            if size > _PAIRS:
+                held, new, size = _forest(*(np.concatenate(c) for c in zip(held, *new))), [], 0
+        a, b, _ = _forest(*(np.concatenate(c) for c in zip(held, *new)))
+        return pd.DataFrame({"a": np.minimum(cls[a], cls[b]), "b": np.maximum(cls[a], cls[b])})
+
+    parts = []
+    for k in range(LANES * 64 // PART):
+        word = F.shiftrightunsigned(f"s{k * PART // 64}", k * PART % 64).bitwiseAND(F.lit((1 << PART) - 1))
+        parts.append(F.struct(F.lit(k).cast("bigint").alias("grp"), word.alias("rest")))
+    rows = signed.select("cls", *names, F.explode(F.array(*parts)).alias("o")).select("cls", *names, "o.grp", "o.rest")
+    return trie_join(rows, PART, BUDGET, most, connect, "a bigint, b bigint").distinct()
+
+
+def _overlap(pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The (a, b) of rows (a, b, x, y: texts) whose distinct shingles overlap to ``similarity`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = np.zeros(len(x), bool)
+            for cut in slices([s + t for s, t in zip(x, y)]):
+                n = cut.stop - cut.start
+                of, h = shingles([*x[cut], *y[cut]], width)
+                size = np.bincount(of, minlength=2 * n)
+                order = np.lexsort((h, of % n))
+                pair, h = of[order] % n, h[order]
+                shared = (pair[1:] == pair[:-1]) & (h[1:] == h[:-1])
+                both = np.bincount(pair[1:][shared], minlength=n)
+                union = size[:n] + size[n:] - both
+                keep[cut] = (union > 0) & (both >= similarity * union)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["a", "b"])
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def _text_class(docs: DataFrame):
+    """Rows with equal texts have one class; NULL counts as the empty text."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
+    """(cls, label) of every class of equal texts: classes reachable over near copies share a label."""
+    texts = docs.select(_text_class(docs).alias("cls"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    names = [f"s{k}" for k in range(LANES)]
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_texts = batch.column(1).to_pylist()
+            parts = [signatures(all_texts[cut], width).view(np.int64) for cut in slices(all_texts)]
+            found = np.concatenate(parts) if parts else np.zeros((0, LANES), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in found.T)], ["cls", *names])
+
+    signed = materialize(texts.mapInArrow(sign, ", ".join(f"{c} bigint" for c in ["cls", *names])), "signatures")
+    classes = signed.groupBy("cls").agg(*[F.first(c).alias(c) for c in names])
+    pairs = materialize(candidates(materialize(classes, "classes"), most), "near")
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
+    of_class = materialize(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
+    left = of_class.select(F.col("cls").alias("a"), F.col("text").alias("x"))
+    right = of_class.select(F.col("cls").alias("b"), F.col("text").alias("y"))
+    verified = materialize(_overlap(pairs.join(left, "a").join(right, "b"), width, similarity), "links")
+    labels = connected_components(verified).withColumnRenamed("node", "cls")
+    return signed.select("cls").distinct().join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of each group of copies and near copies, with all columns of ``docs``.
+
+    Of a group the smallest doc_id stays (NULL ids come last, then texts decide), of repeated rows one. Texts
+    that are NULL or empty are copies of each other. Groups are closed over links; a link is an overlap of
+    ``similarity`` or more between the sets of ``width``-word shingles.
+    """
+    ids = materialize(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_class(docs).alias("cls")), "ids")
+    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "cls")
+    # Per class first, so that a third of all rows in one class meet as one row per task.
+    least = ids.groupBy("cls").agg(F.min(rank).alias("first"))
+    stays = groups(docs, width, similarity).join(least, "cls").groupBy("label").agg(F.min("first").alias("first"))
+    stays = materialize(stays.select(F.col("first.cls").alias("_cls"), F.col("first.doc_id").alias("_id")), "stays")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    classed = docs.select(row, _text_class(docs).alias("_cls"), F.col("doc_id").cast("bigint").alias("_own"))
+    found = classed.join(stays, "_cls").where(F.col("_own").eqNullSafe(F.col("_id")))
+    once = Window.partitionBy("_cls").orderBy(F.lit(0))
+    return found.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select("row.*")

@@ -12,7 +12,7 @@ cut again in the same way by its remaining bits, until every unit is small; no l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,7 @@ from .common import connected_components, tasks_for, whole_groups
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLOCK = 1 << 16
 _FRONTIER = 1 << 20
+Connect = Callable[[pd.DataFrame, np.ndarray, np.ndarray, int], pd.DataFrame]
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -67,31 +68,14 @@ def _bit(values: np.ndarray, bit: int) -> np.ndarray:
     return ((values >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)
 
 
-def trie_links(groups: np.ndarray, rest: np.ndarray, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links (i, j) between leaves of one group whose ``rest`` differ in at most ``budget`` of ``bits`` bits.
+def trie_pairs(groups: np.ndarray, rest: np.ndarray, bits: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of leaves of one group whose ``rest`` differ in at most ``budget`` of ``bits`` bits, in parts.
 
-    Leaves are sorted by (group, rest), distinct within a group. A node is a range of leaves with a common
-    path; the walk starts with every group paired with itself and goes down a level at a time. Surviving
-    pairs are kept in slices, and links are merged into a forest as they come, so memory stays bounded.
+    Leaves are sorted by (group, rest). A node is a range of leaves with a common path; the walk starts with
+    every group paired with itself and goes down a level at a time. Surviving node pairs are kept in slices, so
+    memory stays bounded. Leaves that are equal in ``rest`` are paired as well.
     """
     n = len(rest)
-    label = np.arange(n)
-
-    def link(a: np.ndarray, b: np.ndarray) -> None:
-        while True:
-            la, lb = label[a], label[b]
-            apart = la != lb
-            if not apart.any():
-                return
-            low, high = np.minimum(la, lb)[apart], np.maximum(la, lb)[apart]
-            np.minimum.at(label, high, low)
-            while True:  # every leaf to the root of its tree
-                up = label[label]
-                if (up == label).all():
-                    break
-                label[:] = up
-            a, b = a[apart], b[apart]
-
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if n else np.zeros(0, np.int64)
     ends = np.r_[starts[1:], n] if n else starts
     wide = ends - starts > 1
@@ -111,10 +95,18 @@ def trie_links(groups: np.ndarray, rest: np.ndarray, bits: int, budget: int) ->
         single = (ah - al == 1) & (bh - bl == 1)
         if single.any():  # two leaves: their remaining bits at once
             a, b = al[single], bl[single]
-            near = np.bitwise_count(rest[a] ^ rest[b]) <= budget
-            link(a[near & (a != b)], b[near & (a != b)])
+            near = (np.bitwise_count(rest[a] ^ rest[b]) <= budget) & (a != b)
+            if near.any():
+                yield a[near], b[near]
             al, ah, bl, bh, errors = (x[~single] for x in (al, ah, bl, bh, errors))
-        if level == 0 or not len(al):
+        if not len(al):
+            continue
+        if level == 0:  # several leaves with one path
+            for x0, x1, y0, y1 in zip(al.tolist(), ah.tolist(), bl.tolist(), bh.tolist()):
+                for a in range(x0, x1):
+                    b = np.arange(a + 1 if x0 == y0 else y0, y1)
+                    if len(b):
+                        yield np.full(len(b), a), b
             continue
         bit = level - 1
         if bit not in ones:
@@ -134,7 +126,26 @@ def trie_links(groups: np.ndarray, rest: np.ndarray, bits: int, budget: int) ->
             keep = keep & only if only is not None else keep
             parts.append([v[keep].astype(v.dtype) for v in (x0, x1, y0, y1, e)])
         stack.append((bit, *(np.concatenate(cols) for cols in zip(*parts))))
-    joined = np.flatnonzero(label != np.arange(n))
+
+
+def trie_links(groups: np.ndarray, rest: np.ndarray, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) that connect the leaves paired by ``trie_pairs``: each leaf with the first of its component."""
+    label = np.arange(len(rest))
+    for a, b in trie_pairs(groups, rest, bits, budget):
+        while True:
+            la, lb = label[a], label[b]
+            apart = la != lb
+            if not apart.any():
+                break
+            low, high = np.minimum(la, lb)[apart], np.maximum(la, lb)[apart]
+            np.minimum.at(label, high, low)
+            while True:  # every leaf to the root of its tree
+                up = label[label]
+                if (up == label).all():
+                    break
+                label[:] = up
+            a, b = a[apart], b[apart]
+    joined = np.flatnonzero(label != np.arange(len(rest)))
     return label[joined], joined
 
 
@@ -151,7 +162,7 @@ def _blocks(bits: int, parts: int) -> list[tuple[int, int]]:
 def _route(rows: DataFrame, bits: int, parts: int) -> DataFrame:
     """Each row once per block: the group takes in the block's value, ``rest`` loses its bits."""
     blocks = _blocks(bits, parts)
-    widest = max(s for _, s in blocks)
+    widest = max(size for _, size in blocks)
     tag = (parts - 1).bit_length()
     options = []
     for i, (low, size) in enumerate(blocks):
@@ -163,43 +174,55 @@ def _route(rows: DataFrame, bits: int, parts: int) -> DataFrame:
         name = F.shiftleft(F.shiftleft("grp", tag) + F.lit(i), widest) + value
         # blocks of one cut may differ by a bit in size; short ones keep a zero bit so that all rests align
         options.append(F.struct(name.alias("grp"), (F.shiftleft(above, low) + below).alias("rest")))
-    return rows.select("fp", F.explode(F.array(*options)).alias("o")).select("fp", "o.grp", "o.rest")
+    carried = [c for c in rows.columns if c not in ("grp", "rest")]
+    return rows.select(*carried, F.explode(F.array(*options)).alias("o")).select(*carried, "o.grp", "o.rest")
 
 
-def links(distinct_fps: DataFrame, budget: int = 3, most: int = 1 << 16) -> DataFrame:
-    """Links (a, b) that join distinct fingerprints (``fp`` bigint) with at most ``budget`` differing bits.
+def trie_join(rows: DataFrame, bits: int, budget: int, most: int, connect: Connect, schema: str) -> DataFrame:
+    """Walk the tries of ``rows`` (grp, rest: ``bits`` bits, more): ``connect`` gets whole groups, sorted, as a frame.
 
-    Linked fingerprints are connected by the result, not every pair is listed. ``most`` bounds a unit of work.
+    The tries are dealt to tasks as the module says; ``most`` bounds the leaves of a group, as long as over 16
+    bits are left to cut.
     """
-    parts, bits = budget + 1, 64
-    rows = distinct_fps.select("fp", F.lit(0).cast("bigint").alias("grp"), F.col("fp").alias("rest"))
-    found: DataFrame | None = None
+    parts, found = budget + 1, None
+    tasks = tasks_for(rows)
     while True:
         routed, bits = _route(rows, bits, parts), bits - bits // parts
-        left = bits
-        last = left <= 16  # a unit holds distinct rests, so at most 2**16 from here on
         hot = None
-        if not last:
+        if bits > 16:
             sizes = routed.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("grp")
             hot = materialize(sizes, "hot")
             if hot.isEmpty():
                 hot = None
         now = routed if hot is None else routed.join(hot, "grp", "left_anti")
 
-        def walk(batches: Iterator[pd.DataFrame], left: int = left) -> Iterator[pd.DataFrame]:
+        def walk(batches: Iterator[pd.DataFrame], left: int = bits) -> Iterator[pd.DataFrame]:
             for batch in whole_groups(batches, "grp"):
-                fps, rest = batch["fp"].to_numpy(np.int64), batch["rest"].to_numpy(np.int64).astype(np.uint64)
-                a, b = trie_links(batch["grp"].to_numpy(np.int64), rest, left, budget)
-                yield pd.DataFrame({"a": fps[a], "b": fps[b]})
+                rest = batch["rest"].to_numpy(np.int64).astype(np.uint64)
+                yield connect(batch, batch["grp"].to_numpy(np.int64), rest, left)
 
-        laid = now.repartition(tasks_for(distinct_fps), "grp").sortWithinPartitions("grp", "rest")
-        pairs = laid.mapInPandas(walk, "a bigint, b bigint")
+        pairs = now.repartition(tasks, "grp").sortWithinPartitions("grp", "rest").mapInPandas(walk, schema)
         found = pairs if found is None else found.union(pairs)
         if hot is None:
             return found
         rows = materialize(routed.join(hot, "grp", "left_semi"), "subtries")
 
 
+def links(distinct_fps: DataFrame, budget: int = 3, most: int = 1 << 16) -> DataFrame:
+    """Links (a, b) that join distinct fingerprints (``fp`` bigint) with at most ``budget`` differing bits.
+
+    Linked fingerprints are connected by the result, not every pair is listed. ``most`` bounds a unit of work.
+    """
+
+    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> pd.DataFrame:
+        fps = batch["fp"].to_numpy(np.int64)
+        a, b = trie_links(groups, rest, left, budget)
+        return pd.DataFrame({"a": fps[a], "b": fps[b]})
+
+    rows = distinct_fps.select("fp", F.lit(0).cast("bigint").alias("grp"), F.col("fp").alias("rest"))
+    return trie_join(rows, 64, budget, most, connect, "a bigint, b bigint")
+
+
 def components(fps: DataFrame, budget: int = 3, id_col: str = "doc_id", most: int = 1 << 16) -> DataFrame:
     """(id, fp, ``component_id``): the smallest id reachable over links; one row per input row.
 

@@ -1,22 +1,62 @@
-"""Cleaning a document table in stages: each stage's rows are written and read again as the next one's documents."""
+"""Cleaning a document table in stages: each stage's rows are written and read again as the next one's documents.
+
+toxicity drops the texts the toxicity model rejects; near_copies keeps one document of each group of copies and
+near copies; decontaminate drops documents that hold a benchmark item; mix repeats or drops documents so that the
+sources come to their target weights; tokens writes the token ids of the mix and reads them back.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from assayweave.llm import decontaminate, mixing, near_copies, token_output, toxicity
 from assayweave.llm.common import table
+from assayweave.session import materialize, scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
+    return toxicity.rejecting(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_copies.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    token_output.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.digests(spark, path)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("decontaminate", drop_contaminated),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
+]
+#: Trees, signatures and coded blocks have no SQL form; the stages are tested against plain versions.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from assayweave.session import materialize
-
+    """The last stage's rows for the table ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)
