@@ -62,12 +62,12 @@ def pack(chunk: int, bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
         return pd.DataFrame({k: [] for k in ("chunk", "bucket", *columns)})
     out = {"chunk": np.full(len(values), chunk, np.int64), "bucket": values.astype(np.int64)}
     for name, column in columns.items():
-        out[name] = np.split(column[order].astype(np.int64), cuts[1:])
+        out[name] = np.split(column[order], cuts[1:])
     return pd.DataFrame(out)
 
 
 def flat(packed: pd.DataFrame, name: str) -> np.ndarray:
-    """A packed column's arrays one after the other."""
+    """A packed column's arrays one after the other, as 64-bit integers."""
     return np.concatenate([np.asarray(x, np.int64) for x in packed[name]]) if len(packed) else np.zeros(0, np.int64)
 
 

@@ -10,11 +10,11 @@ window takes as anchor the highest such symbol (of equal ones the smallest name)
 anchors at equal places, hence a window whose anchor occurs once in all texts occurs once. The steps:
 
 1. count the anchors over all texts, by name;
-2. for the texts with anchors that occur again, hash the windows under these anchors to 128 bits, along with
-   windows that have no anchor, and find each window's first occurrence;
+2. hash the windows under anchors that occur again to 96 bits, along with windows that have no anchor, and
+   find each window's first occurrence;
 3. mark the words of all later occurrences and drop them.
 
-Texts are dealt once to chunks by a hash of the id; the three steps read that one exchange. Between the steps
+Texts are dealt once to chunks, ranges of ids; the three steps read that one exchange. Between the steps
 go packed arrays: one row for a chunk and a hash bucket. In a chunk an anchor or a window counts once, so a
 passage that a third of all texts share sends a row part per chunk, not per text.
 """
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FIRST_KEY, flat, pack, tasks_for
+from .common import FIRST_KEY, flat, pack, range_bounds, range_number, tasks_for
 from .textnp import Runs, Words, mix, slices, words
 
 WINDOW = 20
@@ -102,41 +102,57 @@ class Symbols:
         return np.flatnonzero(joined)
 
 
+class _Least:
+    """Place of the smallest value in any short range, from smallest places of ranges of 1, 2, 4, ... values."""
+
+    def __init__(self, values: np.ndarray, longest: int):
+        self.values = values
+        self.tables = [np.arange(len(values))]
+        while 1 << len(self.tables) <= longest:
+            half = 1 << (len(self.tables) - 1)
+            a, b = self.tables[-1][: max(len(values) - 2 * half + 1, 0)], self.tables[-1][half:]
+            b = b[: len(a)]
+            self.tables.append(np.where(values[b] < values[a], b, a))
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For ranges [a, b) that hold a value; the first of equal ones."""
+        size = np.frexp((b - a).astype(float))[1] - 1
+        out = np.zeros(len(a), np.int64)
+        for k, table in enumerate(self.tables):
+            at = np.flatnonzero(size == k)
+            if len(at):
+                x, y = table[a[at]], table[b[at] - (1 << k)]
+                out[at] = np.where(self.values[y] < self.values[x], y, x)
+        return out
+
+
 def anchors(w: Words, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, anchor name, anchor place) of every window; place -1 where a window has no anchor."""
     starts = w.run_starts(window)
-    n = len(w.starts)
-    name = np.zeros(n, np.uint64)
-    place = np.full(n, -1, np.int64)
+    name = np.zeros(len(starts), np.uint64)
+    place = np.full(len(starts), -1, np.int64)
     if not len(starts):
-        return starts, name[starts], place[starts]
+        return starts, name, place
     symbols = Symbols(w.hashes(NAME), w.text_of_word())
+    made_in: list[tuple[np.ndarray, ...]] = []
     for turn in range(rounds):
         symbols.runs()
         made = symbols.pairs(turn)
         left, right = symbols.left[made], symbols.right[made]
-        known = (left >= 0) & (right - left <= window) & (right <= n)
-        made, left, right = made[known], left[known], right[known]
-        if not len(made):
-            continue
-        # The making of one symbol starts at most once at a word; the later of two symbols with one left end wins
-        # in both places alike, because the larger right end is kept.
-        best = np.zeros(n, np.uint64)
-        where = np.full(n, -1, np.int64)
-        for gap in range(window):
-            # symbols whose dependence starts ``gap`` words into the window and ends inside it
-            a = left - gap
-            ok = (a >= 0) & (right - a <= window)
-            first, value, spot = a[ok], symbols.name[made[ok]], symbols.start[made[ok]]
-            better = (where[first] < 0) | (value < best[first])
-            # several symbols may share a left end: settle them one by one in order of their names
-            order = np.argsort(value[better], kind="stable")[::-1]
-            best[first[better][order]] = value[better][order]
-            where[first[better][order]] = spot[better][order]
-        level = where >= 0
-        name[level], place[level] = best[level], where[level]
-    name = mix(name)  # levels share one name space
-    return starts, name[starts], place[starts]
+        known = (left >= 0) & (right <= len(w.starts)) & (right - left <= window)
+        made = made[known]
+        made_in.append((left[known], right[known], symbols.name[made], symbols.start[made]))
+    open_ = np.arange(len(starts))
+    for left, right, names, at_word in reversed(made_in):
+        # Both ends of what symbols depend on grow along the text, so a window's symbols are a range of them.
+        a = np.searchsorted(left, starts[open_])
+        b = np.searchsorted(right, starts[open_] + window, "right")
+        some = b > a
+        if some.any():
+            best = _Least(names, window).of(a[some], b[some])
+            name[open_[some]], place[open_[some]] = names[best], at_word[best]
+            open_ = open_[~some]
+    return starts, mix(name), place
 
 
 def _intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -156,28 +172,24 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
     words; a text shorter than a window keeps all of them. The kept words are joined by one space, in a text
     that loses nothing as well. ``chunks`` sets how many parts the texts are dealt to.
     """
-    parts = chunks or tasks_for(docs)
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_KEY))
-    dealt = docs.select(
-        key.alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-        F.pmod(F.xxhash64(key), F.lit(parts)).alias("chunk"),
-    )
+    slim = docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = chunks or 2 * tasks_for(docs)
+    # Chunks are ranges of ids: a place is a chunk and a word's number in it, and places have the order of the rule.
+    dealt = slim.withColumn("chunk", range_number(F.col("doc_id"), range_bounds(slim, "doc_id", parts)))
 
-    def in_order(pdf: pd.DataFrame) -> tuple[np.ndarray, list[str | None], np.ndarray]:
-        """Ids, texts, and the place of each among rows of its id, in the order of the rule."""
+    def in_order(pdf: pd.DataFrame) -> tuple[np.ndarray, list[str | None]]:
         ids = pdf["doc_id"].to_numpy(np.int64)
         texts = [t if isinstance(t, str) else None for t in pdf["text"]]
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i] or ""))
-        ids, texts = ids[order], [texts[i] for i in order]
-        again = np.zeros(len(ids), np.int64)
-        for i in range(1, len(ids)):
-            again[i] = again[i - 1] + 1 if ids[i] == ids[i - 1] else 0
-        return ids, texts, again
+        return ids[order], [texts[i] for i in order]
+
+    def bucket_of(hashes: np.ndarray) -> np.ndarray:
+        return (hashes.view(np.uint64) % np.uint64(parts)).astype(np.int64)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The chunk's anchors by bucket, each with whether it occurs more than once here."""
-        _, texts, _ = in_order(pdf)
+        """The chunk's anchors by bucket, each once, or twice if it occurs more than once here."""
+        _, texts = in_order(pdf)
         found = []
         for cut in slices(texts):
             _, name, place = anchors(words(texts[cut]), window, rounds)
@@ -187,92 +199,86 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
             new[1:] = (np.diff(place[order]) != 0) | (name[order][1:] != name[order][:-1])
             found.append(name[order][new])
         names, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64),) * 2
-        names = names.view(np.int64)
-        bucket = (names.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        return pack(int(pdf["chunk"].iloc[0]), bucket, names=names, again=times > 1)
+        names = np.repeat(names, np.minimum(times, 2).astype(np.int64)).view(np.int64)
+        return pack(int(pdf["chunk"].iloc[0]), bucket_of(names), names=names)
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of one bucket, the anchors of each chunk that occur twice or more in all chunks."""
-        sizes = pdf["names"].map(len).to_numpy()
-        chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), sizes)
-        names, again = flat(pdf, "names"), flat(pdf, "again")
+        chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), pdf["names"].map(len).to_numpy())
+        names = flat(pdf, "names")
         _, of, times = np.unique(names, return_inverse=True, return_counts=True)
-        keep = (times[of] > 1) | (again > 0)
+        keep = times[of] > 1
         out = pack(0, chunk[keep], names=names[keep])
         return out.assign(chunk=out["bucket"])[["chunk", "names"]]
 
     def hashed(docs_pdf: pd.DataFrame, names_pdf: pd.DataFrame) -> pd.DataFrame:
-        """The chunk's windows under repeated anchors: each once, at its first place, with later places apart."""
+        """The chunk's windows under repeated anchors: each at its first place, later places apart."""
         known = np.unique(flat(names_pdf, "names").view(np.uint64))
-        ids, texts, again = in_order(docs_pdf)
-        cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+        _, texts = in_order(docs_pdf)
+        ones, twos, places, seen = [], [], [], 0
         for cut in slices(texts):
             w = words(texts[cut])
             starts, name, place = anchors(w, window, rounds)
-            at = np.minimum(np.searchsorted(known, name), max(len(known) - 1, 0))
-            wanted = place < 0 if not len(known) else (place < 0) | (known[at] == name)
+            wanted = place < 0
+            if len(known):
+                wanted |= known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name
             starts = starts[wanted]
-            of = w.text_of_word()[starts]
-            one = Runs(w.hashes(FIRST), FIRST + 1).of(starts, starts + window)
-            two = Runs(w.hashes(SECOND), SECOND + 1).of(starts, starts + window)
-            for c, v in zip(cols, (one.view(np.int64), two.view(np.int64), ids[cut][of], again[cut][of], starts - w.first[of])):
-                c.append(v)
-        one, two, doc, nth, start = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in cols)
-        if not len(docs_pdf):
-            return pd.DataFrame({k: [] for k in ("chunk", "bucket", "one", "two", "doc", "nth", "start", "later")})
-        order = np.lexsort((start, nth, doc, two, one))
+            ones.append(Runs(w.hashes(FIRST), FIRST + 1).of(starts, starts + window).view(np.int64))
+            second = Runs(w.hashes(SECOND), SECOND + 1).of(starts, starts + window)
+            twos.append((second >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            places.append((starts + seen).astype(np.int32))
+            seen += len(w.starts)
+        one, two, place = (np.concatenate(c) for c in (ones, twos, places))
+        order = np.lexsort((place, two, one))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
-        bucket = (one.view(np.uint64) % np.uint64(parts)).astype(np.int64)
         chunk = int(docs_pdf["chunk"].iloc[0])
-        head, tail = order[new], order[~new]
-        firsts = pack(chunk, bucket[head], one=one[head], two=two[head], doc=doc[head], nth=nth[head], start=start[head])
+        head, tail = np.sort(order[new]), np.sort(order[~new])  # in the order of the text, which packs best
+        firsts = pack(chunk, bucket_of(one[head]), one=one[head], two=two[head], place=place[head])
+        if not len(tail):
+            return firsts
         # Later places need no further look: they pass the next step in a bucket of this chunk alone.
-        blank = np.zeros(len(tail), np.int64)
-        laters = pack(chunk, blank - 1 - chunk, one=blank, two=blank, doc=doc[tail], nth=nth[tail], start=start[tail])
-        return pd.concat([firsts, laters], ignore_index=True) if len(tail) else firsts
+        laters = pack(chunk, np.full(len(tail), -1 - chunk), one=one[tail] * 0, two=two[tail] * 0, place=place[tail])
+        return pd.concat([firsts, laters], ignore_index=True)
 
     def later(pdf: pd.DataFrame) -> pd.DataFrame:
         """Of one bucket of windows, the places that are not a window's first, by chunk."""
         if pdf["bucket"].iloc[0] < 0:
-            return pdf[["chunk", "doc", "nth", "start"]]
-        sizes = pdf["one"].map(len).to_numpy()
-        chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), sizes)
-        one, two, doc, nth, start = (flat(pdf, c) for c in ("one", "two", "doc", "nth", "start"))
-        order = np.lexsort((start, nth, doc, two, one))
+            return pdf[["chunk", "place"]]
+        chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), pdf["one"].map(len).to_numpy())
+        one, two, place = (flat(pdf, c) for c in ("one", "two", "place"))
+        order = np.lexsort((place, chunk, two, one))
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
         rest = order[~new]
-        out = pack(0, chunk[rest], doc=doc[rest], nth=nth[rest], start=start[rest])
-        return out.assign(chunk=out["bucket"])[["chunk", "doc", "nth", "start"]]
+        out = pack(0, chunk[rest], place=place[rest].astype(np.int32))
+        return out.assign(chunk=out["bucket"])[["chunk", "place"]]
 
-    def keep(docs_pdf: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
+    def keep(docs_pdf: pd.DataFrame, places_pdf: pd.DataFrame) -> pd.DataFrame:
         """The chunk's texts without the words of the marked windows."""
-        ids, texts, again = in_order(docs_pdf)
-        doc, nth, start = (flat(places, c) for c in ("doc", "nth", "start"))
-        order = np.lexsort((start, nth, doc))
-        doc, nth, start = doc[order], nth[order], start[order]
-        rows = []
-        for i, t in enumerate(texts):
+        ids, texts = in_order(docs_pdf)
+        place = np.sort(flat(places_pdf, "place"))
+        rows, seen = [], 0
+        for i, t in zip(ids.tolist(), texts):
             own = (t or "").encode("utf-8", "surrogatepass").split()
-            lo, hi = np.searchsorted(doc, ids[i]), np.searchsorted(doc, ids[i], "right")
-            lo, hi = lo + np.searchsorted(nth[lo:hi], again[i]), lo + np.searchsorted(nth[lo:hi], again[i], "right")
+            lo, hi = np.searchsorted(place, (seen, seen + len(own)))
             kept, at = [], 0
-            for begin, end in _intervals(np.unique(start[lo:hi]), window):
+            for begin, end in _intervals(place[lo:hi] - seen, window):
                 kept += own[at:begin]
                 at = end
             kept += own[at:]
-            rows.append((None if ids[i] == FIRST_KEY else int(ids[i]), len(own), len(own) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
+            seen += len(own)
+            text = b" ".join(kept).decode("utf-8", "surrogatepass")
+            rows.append((None if i == FIRST_KEY else i, len(own), len(own) - len(kept), text))
         out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept_text"])
-        return out.astype({"doc_id": "Int64"})
+        return out.assign(doc_id=pd.array([r[0] for r in rows], "Int64"))
 
-    array = "array<bigint>"
     by_chunk = dealt.groupBy("chunk")
-    counted = by_chunk.applyInPandas(count, f"chunk bigint, bucket bigint, names {array}, again {array}")
-    known = counted.groupBy("bucket").applyInPandas(repeated, f"chunk bigint, names {array}")
-    columns = f"chunk bigint, bucket bigint, one {array}, two {array}, doc {array}, nth {array}, start {array}"
+    counted = by_chunk.applyInPandas(count, "chunk bigint, bucket bigint, names array<bigint>")
+    known = counted.groupBy("bucket").applyInPandas(repeated, "chunk int, names array<bigint>")
+    columns = "chunk bigint, bucket bigint, one array<bigint>, two array<int>, place array<int>"
     windows = by_chunk.cogroup(known.groupBy("chunk")).applyInPandas(hashed, columns)
-    marked = windows.groupBy("bucket").applyInPandas(later, f"chunk bigint, doc {array}, nth {array}, start {array}")
+    marked = windows.groupBy("bucket").applyInPandas(later, "chunk int, place array<int>")
     return by_chunk.cogroup(marked.groupBy("chunk")).applyInPandas(
         keep, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
     )
