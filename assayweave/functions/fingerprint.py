@@ -24,8 +24,8 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def word_set(text: ColumnOrName) -> Column:
-    """Sorted distinct lower-case ASCII words of a whole text."""
-    plain = F.trim(F.regexp_replace(F.lower(_col(text)), "[^a-z0-9]+", " "))
+    """Sorted distinct lower-case words of a whole text: runs of letters, marks and digits of any script."""
+    plain = F.trim(F.regexp_replace(F.lower(_col(text)), r"[^\p{L}\p{M}\p{N}]+", " "))
     return F.sort_array(F.array_remove(F.array_distinct(F.split(plain, " ")), ""))
 
 

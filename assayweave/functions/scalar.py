@@ -21,16 +21,41 @@ def round_fp(x: ColumnOrName, digits: int) -> Column:
     """Round half away from zero on the binary value.
 
     Spark's own ``round`` works on the decimal text of a double, so 1.005 becomes 1.01;
-    the analytical marts need the binary-value rounding other SQL engines use.
+    the analytical marts need the binary-value rounding other SQL engines use. Values from
+    2**52 / 10**digits on have no digits to round and pass as they are, like infinity and NaN.
     """
     x = _col(x)
-    scale = F.lit(float(10**digits))
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+    scale = float(10**digits)
+    scaled = F.abs(x) * F.lit(scale)
+    whole = F.floor(scaled)
+    # scaled + 0.5 may itself round up, so the fraction is looked at instead.
+    rounded = F.signum(x) * F.when(scaled - whole >= 0.5, whole + 1).otherwise(whole) / F.lit(scale)
+    return F.when(scaled < F.lit(2.0**52), rounded).otherwise(x)
+
+
+def one_decimal(x: ColumnOrName) -> Column:
+    """Text of a number with one decimal, rounded on the binary value; exact ties go to the even digit.
+
+    x * 16 and x * 4 are exact, so ``error`` is what their sum lost: it tells on which side of a tie
+    10 x * 2 lies when the rounded product sits on one.
+    """
+    value = _col(x).cast("double")
+    x = F.abs(value)
+    big, small = x * F.lit(16.0), x * F.lit(4.0)
+    double = big + small
+    error = small - (double - big)
+    below = F.floor(double / 2)
+    fraction = double / 2 - below
+    up = (fraction > 0.5) | ((fraction == 0.5) & ((error > 0) | ((error == 0) & (below % 2 == 1))))
+    tenths = (below + F.when(up, 1).otherwise(0)).cast("bigint")
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, F.floor(tenths / 10).cast("bigint").cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
 def try_int(x: ColumnOrName, target: str = "int") -> Column:
-    """Text or number to integer; '5.0' and '5' are both 5, unreadable text is NULL."""
-    return F.rint(_col(x).try_cast("double")).try_cast(target)
+    """Text or number to integer; '5.0' and '5' are both 5, unreadable text is NULL. Plain integers stay exact."""
+    x = _col(x)
+    return F.coalesce(x.cast("string").try_cast(target), F.rint(x.try_cast("double")).try_cast(target))
 
 
 def molar_potency(value: ColumnOrName, unit: ColumnOrName) -> Column:

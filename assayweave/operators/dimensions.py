@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .positions import ROWS_PER_RANGE, dense_key
 
 COMPOUND_COLUMNS = (
@@ -75,7 +76,7 @@ def dim_scaffold(cheminfo: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
             F.count_distinct("molecule_chembl_id").alias("n_compounds"),
         )
     )
-    return dense_key(grouped, "murcko_scaffold_smiles", "scaffold_key", rows_per_range)
+    return dense_key(materialize(grouped, "scaffolds"), "murcko_scaffold_smiles", "scaffold_key", rows_per_range)
 
 
 def fact_activity(
@@ -89,8 +90,13 @@ def fact_activity(
     """
     out = activities
     for dim, key in ((targets, "target_chembl_id"), (assays, "assay_chembl_id"), (compounds, "molecule_chembl_id")):
-        out = out.join(dim.select(key), key, "left_semi")
-    return out.select(*activities.columns)
+        out = in_dimension(out, dim, key)
+    return out
+
+
+def in_dimension(rows: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in a dimension."""
+    return rows.join(dimension.select(key), key, "left_semi").select(*rows.columns)
 
 
 def fact_star(fact: DataFrame, compounds: DataFrame, targets: DataFrame, assays: DataFrame) -> DataFrame:

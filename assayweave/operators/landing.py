@@ -95,7 +95,7 @@ def merge_entry_metadata(ids: DataFrame, summary: DataFrame, experiment: DataFra
     head = F.substring(F.col("release_date").cast("string"), 1, 4)
     described = summary.select(
         F.lower("pdb_id").alias("pdb_id"),
-        F.nullif(F.trim("title"), F.lit("")).alias("title"),
+        F.nullif(F.regexp_replace("title", r"(?U)^\s+|\s+$", ""), F.lit("")).alias("title"),
         F.try_element_at("experimental_method", F.lit(1)).alias("method"),
         F.when(head.rlike("^[0-9]{1,4}$"), head).alias("year"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 ROWS_PER_RANGE = 100_000
-MAX_RANGES = 512
+MAX_RANGES = 4096
 _SAMPLES_PER_RANGE = 20
 
 
@@ -43,9 +43,9 @@ def _sample_bounds(df: DataFrame, order: Sequence[Column], rows_per_range: int)
     share = min(1.0, wanted / total)
     buckets = 1 << 30
     hashed = F.pmod(F.xxhash64(*keys.columns), F.lit(buckets))
-    rows = keys.where(hashed < F.lit(int(share * buckets))).orderBy(*keys.columns).collect()
+    rows = keys.where(hashed < F.lit(max(1, int(share * buckets)))).orderBy(*keys.columns).collect()
     if not rows:
-        return []
+        raise ValueError("the hash sample of the sort key is empty: are its values distinct?")
     step = len(rows) / ranges
     picked = sorted({int(step * i) for i in range(1, ranges)} - {0})
     types = dict(keys.dtypes)
@@ -90,6 +90,29 @@ def dense_key(df: DataFrame, order_col: str, name: str, rows_per_range: int = RO
     return global_position(df, [order_col], name, rows_per_range).select(name, *df.columns)
 
 
+def _carried(parts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """(groups, _range, _before, _total) for groups that lie in several ranges: their sum of ``_n`` in the ranges before.
+
+    ``parts`` has a row per group and range. A range border cuts one group at most, so the result has at most
+    two rows per range, however many groups there are.
+    """
+    of_group = Window.partitionBy(*groups)
+    before = of_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        parts.withColumns({"_ranges": F.count(F.lit(1)).over(of_group), "_total": F.sum("_n").over(of_group)})
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .where("_ranges > 1")
+        .select(*groups, "_range", "_before", "_total")
+    )
+
+
+def _same_group(groups: Sequence[str], other: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for a, b in zip(groups, other):
+        same = same & F.col(a).eqNullSafe(F.col(b))
+    return same
+
+
 def group_rank(
     df: DataFrame,
     group: str,
@@ -99,12 +122,20 @@ def group_rank(
 ) -> DataFrame:
     """Rank 1..n inside each group; one group may hold most rows.
 
-    The global position by (group, order) spreads a hot group over many ranges; the rank
-    is the distance to the group's first position, found by a partial aggregation.
+    Rows are cut into ranges of (group, order). A group inside one range is ranked there; one that runs over
+    borders also gets the number of its rows in the ranges before, from a small broadcast table.
     """
-    placed = global_position(df, [F.col(group), *order], "_pos", rows_per_range)
-    first = placed.groupBy(group).agg(F.min("_pos").alias("_first"))
-    return placed.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")
+    keys = [F.col(group), *[F.col(c) if isinstance(c, str) else c for c in order]]
+    bounds = _sample_bounds(df, keys, rows_per_range)
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(keys)])
+    ranged = df.withColumn("_range", _range_of(key, bounds) if bounds else F.lit(0))
+    inside = ranged.withColumn(name, F.row_number().over(Window.partitionBy("_range", group).orderBy(*keys[1:])).cast("bigint"))
+    if not bounds:
+        return inside.drop("_range")
+    carried = _carried(ranged.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n")), [group])
+    other = carried.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), "_before")
+    joined = inside.join(F.broadcast(other), _same_group([group], ["_g"]) & (F.col("_range") == F.col("_r")), "left")
+    return joined.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_range", "_g", "_r", "_before")
 
 
 def exact_quantiles(
@@ -117,9 +148,10 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per group (``name``: array) without per-group state.
 
-    Equal values are counted first (map-side). The (group, value) counts are then numbered by
-    cumulative weight over ranges of the sort key, and each group picks the values at its two
-    neighbouring ranks per probability. No task ever holds a group, however many values it has.
+    Equal values are counted first (map-side). The (group, value) counts are then cut into ranges of the
+    sort key and numbered by cumulative weight; a group that runs over borders gets its weight in the ranges
+    before from a small broadcast table. Each group picks the values at its two neighbouring ranks per
+    probability. No task holds more of a group than a range of it.
     """
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_w"))
     counted = materialize(counted, "quantiles")  # read by the sampling, numbering and offset passes
@@ -127,21 +159,19 @@ def exact_quantiles(
     bounds = _sample_bounds(counted, order, rows_per_range)
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     ranged = counted.withColumn("_range", _range_of(key, bounds) if bounds else F.lit(0))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_range").agg(F.sum("_w").alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    placed = (
-        ranged.withColumn("_run", F.sum("_w").over(inside))
-        .join(F.broadcast(offsets), "_range")  # at most MAX_RANGES rows
-        .withColumn("_end", F.col("_offset") + F.col("_run"))
-        .withColumn("_start", F.col("_end") - F.col("_w"))
-    )
-    extent = placed.groupBy(*groups).agg(F.min("_start").alias("_first"), F.sum("_w").alias("_total"))
-    at = placed.join(extent, list(groups)).withColumns(
-        {"_lo": F.col("_start") - F.col("_first"), "_hi": F.col("_end") - F.col("_first")}
-    )
+    own = Window.partitionBy("_range", *groups)
+    running = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.withColumns({"_run": F.sum("_w").over(running), "_here": F.sum("_w").over(own)})
+    carried = _carried(ranged.groupBy(*groups, "_range").agg(F.sum("_w").alias("_n")), groups)
+    names = [f"_g{i}" for i in range(len(groups))]
+    other = carried.select(*[F.col(g).alias(n) for g, n in zip(groups, names)], F.col("_range").alias("_r"), "_before", "_total")
+    joined = placed.join(F.broadcast(other), _same_group(groups, names) & (F.col("_range") == F.col("_r")), "left")
+    at = joined.withColumns(
+        {
+            "_hi": F.col("_run") + F.coalesce("_before", F.lit(0)),
+            "_total": F.coalesce("_total", "_here"),
+        }
+    ).withColumn("_lo", F.col("_hi") - F.col("_w"))
 
     def pick(rank: Column) -> Column:
         return F.max(F.when((F.col("_lo") <= rank) & (rank < F.col("_hi")), F.col(value)))

@@ -19,8 +19,10 @@ from ..functions.scalar import (
     heavy_atom_efficiency,
     lipophilic_efficiency,
     lookup_label,
+    one_decimal,
     round_fp,
 )
+from ..session import materialize
 from .marts import compound_potency
 from .positions import ROWS_PER_RANGE, global_position, group_rank
 
@@ -54,10 +56,10 @@ def _by_keys(df: DataFrame, column: str, keys: DataFrame | int | str) -> DataFra
 # --- lookups for one or many entities -----------------------------------------------
 
 
-def scaffold_members(
+def series_members(
     fingerprints: DataFrame, compounds: DataFrame, sar: DataFrame, keys: DataFrame | int
 ) -> DataFrame:
-    """Members of scaffold series with best potency and number of targets."""
+    """Members of scaffold series with their unrounded best potency (``potency``) and number of targets."""
     members = _by_keys(fingerprints, "scaffold_key", keys).select("scaffold_key", "compound_key")
     # Restrict the pair table to the wanted compounds before it is aggregated.
     potency = compound_potency(sar.join(members.select("compound_key"), "compound_key", "left_semi"))
@@ -70,10 +72,30 @@ def scaffold_members(
             "molecule_chembl_id",
             "pref_name",
             "canonical_smiles",
-            round_fp("best_pchembl", 2).alias("best_pchembl"),
+            F.col("best_pchembl").alias("potency"),
             F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
         )
-        .orderBy("scaffold_key", F.desc_nulls_last("best_pchembl"), "molecule_chembl_id")
+    )
+
+
+def scaffold_members(
+    fingerprints: DataFrame, compounds: DataFrame, sar: DataFrame, keys: DataFrame | int
+) -> DataFrame:
+    """Members of scaffold series with best potency and number of targets, most potent first.
+
+    Shown rounded, ordered by the unrounded value.
+    """
+    return (
+        series_members(fingerprints, compounds, sar, keys)
+        .orderBy("scaffold_key", F.desc_nulls_last("potency"), "molecule_chembl_id")
+        .select(
+            "scaffold_key",
+            "molecule_chembl_id",
+            "pref_name",
+            "canonical_smiles",
+            round_fp("potency", 2).alias("best_pchembl"),
+            "n_targets",
+        )
     )
 
 
@@ -86,9 +108,10 @@ def compound_row(catalog: DataFrame, compounds: DataFrame, keys: DataFrame | str
 
 
 def target_profile(sar: DataFrame, keys: DataFrame | int) -> DataFrame:
-    """Per-target potency of compounds."""
+    """Per-target potency of compounds, most potent first by the unrounded median."""
     return (
         _by_keys(sar, "compound_key", keys)
+        .orderBy("compound_key", F.desc("median_pchembl"), "target_pref_name")
         .select(
             "compound_key",
             F.col("target_pref_name").alias("target"),
@@ -97,7 +120,6 @@ def target_profile(sar: DataFrame, keys: DataFrame | int) -> DataFrame:
             "n_measurements",
             "n_assays",
         )
-        .orderBy("compound_key", F.desc("median_pchembl"), "target")
     )
 
 
@@ -129,11 +151,11 @@ def target_names(targets: DataFrame) -> DataFrame:
 
 
 def target_summary(sar: DataFrame, targets: DataFrame) -> DataFrame:
-    """Compounds, pairs and potency per target.
+    """Compounds, pairs, median and best potency per target name and type.
 
-    Aggregated by target key first; names come to that handful of rows.
+    Several keys may share a name, so names are joined before the aggregation.
     """
-    per_key = sar.select("target_key", "compound_key", "median_pchembl").join(
+    per_key = sar.select("target_key", "compound_key", "median_pchembl", "max_pchembl").join(
         targets.select("target_key", "pref_name", "target_type"), "target_key"
     )
     return (
@@ -142,7 +164,7 @@ def target_summary(sar: DataFrame, targets: DataFrame) -> DataFrame:
             F.count_distinct("compound_key").alias("n_compounds"),
             F.count(F.lit(1)).alias("n_pairs"),
             round_fp(F.median("median_pchembl"), 2).alias("median_pchembl"),
-            round_fp(F.max("median_pchembl"), 2).alias("best_pchembl"),
+            round_fp(F.max("max_pchembl"), 2).alias("best_pchembl"),
         )
         .orderBy(F.desc("n_pairs"), "target")
     )
@@ -344,6 +366,7 @@ def ranked_cliffs(cliffs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> Da
     last = F.lit(float("inf"))
     order = [F.coalesce(-F.col("sali"), last), "target_key", "compound_key_a", "compound_key_b"]
     label = F.concat("molecule_chembl_id_a", F.lit(" ⇄ "), "molecule_chembl_id_b")
+    cliffs = materialize(cliffs, "cliffs")  # the positions read it several times
     placed = global_position(cliffs, order, "_pos", rows_per_range)
     return placed.withColumns({"_row": F.col("_pos") - 1, "pair": label}).drop("_pos")
 
@@ -499,22 +522,24 @@ def series_view(series: DataFrame, min_size: int, sort_by: str) -> DataFrame:
 
 
 def member_rank(members: DataFrame, series: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Potency rank in the series, its size, and the distance to its best and median."""
-    order = [F.coalesce(-F.col("best_pchembl"), F.lit(float("inf"))), "molecule_chembl_id"]
+    """Rank in the series by unrounded ``potency``, the series' size, and the distance to its best and median."""
+    members = materialize(members, "members")  # read for the ranges, the ranks and the sizes
+    order = [F.coalesce(-F.col("potency"), F.lit(float("inf"))), "molecule_chembl_id"]
     ranked = group_rank(members, "scaffold_key", order, "rank", rows_per_range)
     sizes = members.groupBy("scaffold_key").agg(F.count(F.lit(1)).alias("n_members"))
     stats = series.select("scaffold_key", "max_pchembl", "median_pchembl")
+    shown = round_fp("potency", 2)
     return (
         ranked.join(sizes, "scaffold_key")
         .join(stats, "scaffold_key")
         .select(
             "scaffold_key",
             "molecule_chembl_id",
-            "best_pchembl",
+            shown.alias("best_pchembl"),
             "rank",
             "n_members",
-            round_fp(F.col("best_pchembl") - F.col("max_pchembl"), 2).alias("delta_to_best"),
-            round_fp(F.col("best_pchembl") - F.col("median_pchembl"), 2).alias("delta_to_median"),
+            round_fp(shown - F.col("max_pchembl"), 2).alias("delta_to_best"),
+            round_fp(shown - F.col("median_pchembl"), 2).alias("delta_to_median"),
         )
     )
 
@@ -526,7 +551,7 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def entry_label(df: DataFrame) -> DataFrame:
     """Add the one-line description of a structure entry, skipping what is missing."""
     method = F.nullif(lookup_label("method", METHOD_SHORT), F.lit(""))
-    resolution = F.concat(F.format_string("%.1f", F.col("resolution")), F.lit(" Å"))
+    resolution = F.concat(one_decimal("resolution"), F.lit(" Å"))
     shown = F.when(F.col("resolution").isNotNull(), resolution)
     how = F.nullif(F.concat_ws(" ", method, shown), F.lit(""))
     meta = F.nullif(F.concat_ws(" · ", how, F.col("year").cast("string")), F.lit(""))

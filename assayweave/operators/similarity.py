@@ -24,6 +24,7 @@ from ..functions.fingerprint import bits_to_words
 from ..session import materialize
 
 BLOCK_ROWS = 4096
+HOT_TOKEN = 10_000
 _EPS = 1e-9
 
 
@@ -130,7 +131,10 @@ def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int
     bits needs no shuffle. The words (width / 8 bytes) travel with each prefix row; only true
     pairs leave the join, which is far less than fetching the words per candidate.
     """
-    counts = sets.select(F.explode("elements").alias("bit")).groupBy("bit").count().collect()
+    in_range = F.col("bit").between(0, width - 1)
+    # The packed words of a bit outside would be wrong: better no answer than a lost pair.
+    checked = F.when(in_range, F.col("bit")).otherwise(F.raise_error(F.lit(f"a bit is not in [0, {width})")).cast("int"))
+    counts = sets.select(F.explode("elements").alias("bit")).select(checked.alias("bit")).groupBy("bit").count().collect()
     found = {r["bit"]: r["count"] for r in counts}
     frequency = F.lit([int(found.get(i, 0)) for i in range(width)])
     ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
@@ -157,9 +161,18 @@ def _similar_tokens(sets: DataFrame, threshold: float, block_rows: int) -> DataF
     pieces = sets.select("sid", "n", F.explode("elements").alias("_token")).select(
         "sid", "n", F.xxhash64("_token").alias("e")
     )
-    counts = pieces.groupBy("e").agg(F.count(F.lit(1)).alias("f"))
-    entries = pieces.join(counts, "e").groupBy("sid", "n").agg(F.collect_list(F.struct("f", "e")).alias("_entries"))
-    prefixes = materialize(_prefix_rows(entries, threshold, F.col("_entries"), "sid"), "prefixes")
+    counts = materialize(pieces.groupBy("e").agg(F.count(F.lit(1)).alias("f")), "frequencies")
+    # Tokens of very many sets: at most postings / HOT_TOKEN of them, so they may be broadcast and their
+    # postings stay where they are; all others are joined.
+    hot = counts.where(F.col("f") > HOT_TOKEN).withColumnRenamed("f", "hot")
+    marked = pieces.join(F.broadcast(hot), "e", "left")
+    cold = marked.where("hot is null").drop("hot").join(counts.where(F.col("f") <= HOT_TOKEN), "e")
+    known = marked.where("hot is not null").withColumnRenamed("hot", "f").unionByName(cold)
+    place = F.row_number().over(Window.partitionBy("sid").orderBy("f", "e"))
+    n = F.col("n")
+    prefix = known.withColumn("_pos", place - 1).where((F.col("_pos") <= n - _needed(threshold, n)) & (F.col("f") > 1))
+    prefixes = prefix.select("n", "sid", F.col("e").alias("element"), (n - F.col("_pos")).alias("rest"))
+    prefixes = materialize(prefixes, "prefixes")
     candidates = _ordered(_meet(prefixes, "sid", threshold, block_rows), "sid")
     sides = [
         sets.select(F.col("sid").alias(c), *[F.col(x).alias(f"{x}_{s}") for x in ("cls", "n", "elements")])
@@ -301,22 +314,24 @@ def nearest_neighbors_all(
     itself). Ranking per class over these shortlists is exact and does not grow with the
     number of copies; the output is at most k rows per entity.
     """
-    entities = df.where(F.size(elements) > 0).select(F.col(key), set_class(elements).alias("cls"))
+    # Written once: the sets would be computed anew for every use.
+    entities = materialize(df.where(F.size(elements) > 0).select(F.col(key), set_class(elements).alias("cls")), "entities")
+    sets = distinct_sets(df, elements, universe)
     by_key = Window.partitionBy("cls").orderBy(key)
     shortlist = (
         entities.withColumn("_rn", F.row_number().over(by_key))
         .where(F.col("_rn") <= k + 1)
         .select(F.col("cls").alias("cls_b"), F.col(key).alias("neighbor"))
     )
-    pairs = similar_classes(distinct_sets(df, elements, universe), min_sim, universe, block_rows)
-    flipped = pairs.select(F.col("cls_b").alias("cls_a"), F.col("cls_a").alias("cls_b"), "similarity")
-    own = (
-        entities.select(F.col("cls").alias("cls_a")).distinct().select("cls_a", F.col("cls_a").alias("cls_b"), F.lit(1.0).alias("similarity"))
-    )
+    pairs = similar_classes(sets, min_sim, universe, block_rows)
+    # Both directions from one run of the join.
+    there = F.struct("cls_a", "cls_b", "similarity")
+    back = F.struct(F.col("cls_b").alias("cls_a"), F.col("cls_a").alias("cls_b"), "similarity")
+    directed = pairs.select(F.explode(F.array(there, back)).alias("p")).select("p.*")
+    own = sets.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b"), F.lit(1.0).alias("similarity"))
     near = Window.partitionBy("cls_a").orderBy(F.desc("similarity"), "neighbor")
     ranked = (
-        pairs.unionByName(flipped)
-        .unionByName(own)
+        directed.unionByName(own)
         .join(shortlist, "cls_b")
         .withColumn("_rn", F.row_number().over(near))
         .where(F.col("_rn") <= k + 1)

@@ -28,7 +28,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]
 def stage_activities(raw: DataFrame, standard_types: Sequence[str]) -> DataFrame:
     """Exact, valid, whitelisted measurements; one per activity id."""
     kept = raw.where(
-        F.col("pchembl_value").isNotNull()
+        F.col("pchembl_value").try_cast("double").isNotNull()  # what cannot be read is not a measurement
         & (F.col("standard_relation") == "=")
         & F.col("data_validity_comment").isNull()
         & F.col("standard_type").isin(list(standard_types))

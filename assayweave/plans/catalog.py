@@ -71,12 +71,11 @@ def _ts(text: str) -> Column:
 
 @query(
     "read_raw",
-    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders where o_orderstatus = 'F'",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
 )
 def read_raw(spark, sf):
     schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
-    orders = raw.read_raw(spark, sf, "orders", schema, "{entity}.parquet")
-    return orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return raw.read_raw(spark, sf, "orders", schema, "{entity}.parquet")
 
 
 @query(
@@ -715,7 +714,7 @@ def target_names(spark, sf):
 @query(
     "target_summary",
     """select t.pref_name as target, target_type, count(distinct compound_key) as n_compounds, count(*) as n_pairs,
-              round(median(median_pchembl), 2) as median_pchembl, round(max(median_pchembl), 2) as best_pchembl
+              round(median(median_pchembl), 2) as median_pchembl, round(max(max_pchembl), 2) as best_pchembl
        from sar join dim_target t using (target_key) group by 1, 2""",
 )
 def target_summary(spark, sf):
@@ -1046,17 +1045,17 @@ def series_view(spark, sf):
 
 @query(
     "member_rank",
-    """select scaffold_key, molecule_chembl_id, best_pchembl,
-              row_number() over (partition by scaffold_key order by best_pchembl desc nulls last, molecule_chembl_id) as rank,
-              count(*) over (partition by scaffold_key) as n_members, round(best_pchembl - max_pchembl, 2) as delta_to_best,
-              round(best_pchembl - median_pchembl, 2) as delta_to_median
-       from (select scaffold_key, molecule_chembl_id, round(best_pchembl, 2) as best_pchembl
+    """select scaffold_key, molecule_chembl_id, shown as best_pchembl,
+              row_number() over (partition by scaffold_key order by potency desc nulls last, molecule_chembl_id) as rank,
+              count(*) over (partition by scaffold_key) as n_members, round(shown - max_pchembl, 2) as delta_to_best,
+              round(shown - median_pchembl, 2) as delta_to_median
+       from (select scaffold_key, molecule_chembl_id, best_pchembl as potency, round(best_pchembl, 2) as shown
              from fp left join potency using (compound_key) where scaffold_key is not null)
             join series using (scaffold_key)""",
 )
 def member_rank(spark, sf):
     w = warehouse(spark, sf)
-    members = serving.scaffold_members(
+    members = serving.series_members(
         w.mart_compound_fingerprint, w.dim_compound, w.mart_target_sar, w.dim_scaffold.select("scaffold_key")
     )
     return serving.member_rank(members, w.mart_chemical_series)
@@ -1072,13 +1071,11 @@ def drop_missing(spark, sf):
     """select pdb_id, concat_ws(' · ', concat_ws(' - ', upper(pdb_id), title), nullif(concat_ws(' · ', nullif(concat_ws(' ',
               case method when 'X-ray diffraction' then 'X-ray' when 'Electron Microscopy' then 'cryo-EM'
                    when 'Solution NMR' then 'NMR' else method end,
-              case when resolution is not null then format('{:.1f}', round(resolution * 2) / 2) || ' Å' end), ''),
+              case when resolution is not null then format('{:.1f}', resolution) || ' Å' end), ''),
               year::varchar), '')) as label from stg_summary""",
 )
 def entry_label(spark, sf):
-    # Resolutions on a half-unit grid: the two engines format ties of other values differently.
-    entries = warehouse(spark, sf).stg_pdbe_summary.withColumn("resolution", fn.round_fp(F.col("resolution") * 2, 0) / 2)
-    return serving.entry_label(entries).select("pdb_id", "label")
+    return serving.entry_label(warehouse(spark, sf).stg_pdbe_summary).select("pdb_id", "label")
 
 
 @query(
@@ -1143,10 +1140,12 @@ def largest_groups(spark, sf):
 
 @query(
     "pair_budget",
-    "select target_pref_name, count(*) as n, (count(*) * (count(*) - 1) // 2)::bigint as pairs from sar group by 1",
+    """select target_key, target_pref_name, count(*) as n, (count(*) * (count(*) - 1) // 2)::bigint as pairs
+       from sar join fp using (compound_key) where ecfp4_onbits is not null and median_pchembl is not null group by 1, 2""",
 )
 def pair_budget(spark, sf):
-    return profiling.pair_budget(warehouse(spark, sf).mart_target_sar, "target_pref_name")
+    w = warehouse(spark, sf)
+    return profiling.pair_budget(w.mart_target_sar, w.mart_compound_fingerprint)
 
 
 _TAUS, _DELTAS = (0.75, 0.8, 0.9, 1.0), (1.0, 2.0, 4.0)

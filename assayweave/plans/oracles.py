@@ -40,7 +40,7 @@ _CELL = (
 ).split()
 
 _WORDS = (
-    "list_sort(list_distinct(list_filter(string_split_regex(lower({0}), '[^a-z0-9]+'), lambda w: w <> '')))"
+    r"list_sort(list_distinct(list_filter(string_split_regex(lower({0}), '[^\pL\pM\pN]+'), lambda w: w <> '')))"
 )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import cached_property
 
@@ -130,14 +131,23 @@ class Warehouse:
         """Natural-key fact; staging frames suffice to decide membership."""
         return dims.fact_activity(self.stg_activities, self.stg_molecules, self.stg_targets, self.stg_assays)
 
+    def _activities(self, needs_assay: bool) -> DataFrame:
+        """The stored fact, or staged activities for consumers that join the dimensions anyway.
+
+        Their inner joins keep just the rows the fact has, so the fact's semi joins would be work done twice.
+        """
+        if "fact_activity" in self.__dict__:
+            return self.fact_activity
+        return dims.in_dimension(self.stg_activities, self.stg_assays, "assay_chembl_id") if needs_assay else self.stg_activities
+
     @cached_property
     def fact_star(self) -> DataFrame:
-        return dims.fact_star(self.fact_activity, self.dim_compound, self.dim_target, self.dim_assay)
+        return dims.fact_star(self._activities(False), self.dim_compound, self.dim_target, self.dim_assay)
 
     # marts
     @cached_property
     def mart_target_sar(self) -> DataFrame:
-        return marts.target_sar(self.fact_activity, self.dim_compound, self.dim_target)
+        return marts.target_sar(self._activities(True), self.dim_compound, self.dim_target)
 
     @cached_property
     def mart_compound_selectivity(self) -> DataFrame:
@@ -220,31 +230,52 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _current_version(spark: SparkSession, out_dir: str) -> tuple[int, DataFrame | None]:
-    pointer = _existing(spark, f"{out_dir}/compound_status_current")
-    if pointer is None:
-        return 0, None
-    version = pointer.first()["version"]
-    return version, spark.read.parquet(f"{out_dir}/compound_status/v{version}")
+def _versions(spark: SparkSession, out_dir: str) -> dict[int, bool]:
+    """History versions and whether each was written to its end."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/compound_status")
+    files = root.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return {}
+    found = [entry.getPath() for entry in files.listStatus(root)]
+    named = [(p, p.getName()) for p in found if re.fullmatch(r"v[0-9]+", p.getName())]
+    done = context._jvm.org.apache.hadoop.fs.Path
+    return {int(name[1:]): files.exists(done(p, "_SUCCESS")) for p, name in named}
 
 
 def compound_status(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    """Latest version of the Type-2 status history, or None before the first build."""
-    return _current_version(spark, out_dir)[1]
+    """Latest finished version of the Type-2 status history, or None before the first build."""
+    finished = [v for v, done in _versions(spark, out_dir).items() if done]
+    return spark.read.parquet(f"{out_dir}/compound_status/v{max(finished)}") if finished else None
 
 
 def _snapshot(spark: SparkSession, out_dir: str, molecules: DataFrame, now: Column) -> None:
-    """Write the next history version beside the current one, then move the pointer."""
-    version, previous = _current_version(spark, out_dir)
+    """Write the next history version beside the others.
+
+    The highest version with a success marker is the current one. No version is ever
+    overwritten: a run that broke off leaves an unfinished folder, which is skipped for good.
+    """
+    previous = compound_status(spark, out_dir)
     current = molecules.select("molecule_chembl_id", *STATUS_COLUMNS)
     following = (
         history.scd2_initial(current, "molecule_chembl_id", now)
         if previous is None
         else history.scd2_apply(previous, current, "molecule_chembl_id", STATUS_COLUMNS, now)
     )
-    following.write.mode("overwrite").parquet(f"{out_dir}/compound_status/v{version + 1}")
-    pointer = spark.createDataFrame([(version + 1,)], "version int")
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/compound_status_current")
+    number = max(_versions(spark, out_dir), default=0) + 1
+    following.write.mode("errorifexists").parquet(f"{out_dir}/compound_status/v{number}")
+
+
+def expire_versions(spark: SparkSession, out_dir: str, keep: int = 2) -> list[int]:
+    """Delete history versions older than the ``keep`` newest finished ones; returns what was deleted."""
+    versions = _versions(spark, out_dir)
+    kept = sorted(v for v, done in versions.items() if done)[-keep:]
+    old = [v for v in versions if kept and v < kept[0]]
+    context = spark.sparkContext
+    for v in old:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/compound_status/v{v}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return sorted(old)
 
 
 def build(spark: SparkSession, raw_dir: str, out_dir: str, config: TargetSet, now: str) -> Warehouse:
@@ -257,12 +288,15 @@ def build(spark: SparkSession, raw_dir: str, out_dir: str, config: TargetSet, no
     warehouse = Warehouse(raw_frames(spark, raw_dir), config)
     for model in MODELS:
         path = f"{out_dir}/{model}"
-        frame = getattr(warehouse, model)
         loaded = _existing(spark, path) if model == "fact_activity" else None
         if loaded is None:
-            frame.write.mode("overwrite").parquet(path)
+            getattr(warehouse, model).write.mode("overwrite").parquet(path)
         else:
-            history.new_rows(loaded, frame, "activity_id").write.mode("append").parquet(path)
+            # Unseen ids first, so that only they meet the dimensions.
+            staged = warehouse.stg_activities
+            unseen = history.new_rows(history.key_range(loaded, staged, "activity_id"), staged, "activity_id")
+            fresh = dims.fact_activity(unseen, warehouse.stg_molecules, warehouse.stg_targets, warehouse.stg_assays)
+            fresh.write.mode("append").parquet(path)
         # The property is cached per instance: consumers built later read the written layer.
         warehouse.__dict__[model] = spark.read.option("mergeSchema", model == "fact_activity").parquet(path)
     _snapshot(spark, out_dir, warehouse.stg_molecules, F.lit(now).cast("timestamp"))

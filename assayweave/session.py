@@ -21,7 +21,6 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     }
 
 

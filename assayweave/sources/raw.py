@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalar import try_int
 from .schemas import RAW_SCHEMAS, Rule
 
 
@@ -111,7 +112,7 @@ def _cast(df: DataFrame, rule: Rule) -> Column:
     if df.schema[rule.column].dataType == T._parse_datatype_string(rule.type):
         return source
     if rule.type in ("int", "bigint", "smallint"):
-        return F.rint(source.try_cast("double")).try_cast(rule.type)
+        return try_int(source, rule.type)
     return source.try_cast(rule.type)
 
 

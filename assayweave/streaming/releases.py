@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.history import new_rows
+from ..operators.history import key_range, new_rows
 from ..operators.staging import dedupe
 
 
@@ -25,18 +25,21 @@ def incremental_stream(
 
     The target table itself is the deduplication state, so no state store grows with the
     stream. A batch goes to a folder of its own, named by its number and overwritten on
-    a replay: a batch repeated after a failure leaves the same rows, once.
+    a replay: a batch repeated after a failure leaves the same rows, once. The target is read by
+    its key only, so a later release may bring further columns: start the stream with the wider
+    schema and read the target with ``mergeSchema``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         fresh = dedupe(batch.where(F.col(key).isNotNull()), [key])
         try:
-            loaded = spark.read.schema(schema).parquet(target).where(F.col("_batch") != batch_id)
+            known = T.StructType([schema[key], T.StructField("_batch", T.LongType())])
+            loaded = spark.read.schema(known).parquet(target).where(F.col("_batch") != batch_id)
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             loaded = None
-        rows = fresh if loaded is None else new_rows(loaded, fresh, key)
+        rows = fresh if loaded is None else new_rows(key_range(loaded, fresh, key), fresh, key)
         rows.write.mode("overwrite").parquet(f"{target}/_batch={batch_id}")
 
     reader = spark.readStream.schema(schema)
