@@ -59,7 +59,7 @@ def pack(chunk: int, bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
     order = np.argsort(bucket, kind="stable")
     values, cuts = np.unique(bucket[order], return_index=True)
     if not len(values):
-        return pd.DataFrame({k: [] for k in ("chunk", "bucket", *columns)})
+        return pd.DataFrame({k: pd.Series([], dtype=object) for k in ("chunk", "bucket", *columns)})
     out = {"chunk": np.full(len(values), chunk, np.int64), "bucket": values.astype(np.int64)}
     for name, column in columns.items():
         out[name] = np.split(column[order], cuts[1:])

@@ -204,7 +204,7 @@ def _lexicons(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             ratios.append(_likelihood_ratio(table[:, use, 1].sum(axis=1), table[:, use, 0].sum(axis=1), n[1], n[0]))
         ratios = np.stack(ratios, axis=1)
         keep = (ratios >= LEAST).any(axis=1)
-        return pd.DataFrame({"term": terms[keep], "ratios": list(ratios[keep])})
+        return pd.DataFrame({"term": terms[keep], "ratios": pd.Series(list(ratios[keep]), dtype=object)})
 
     sent = sample.select("text", "part", "y").mapInArrow(count, "bucket bigint, terms array<bigint>, cells array<bigint>, times array<bigint>")
     found = sent.groupBy("bucket").applyInPandas(weigh, "term bigint, ratios array<double>").toPandas()
