@@ -229,7 +229,7 @@ def extract(page: str | None, weights: Weights) -> str:
         score = weights.word(element)
         if n:
             items.append((n * score, len(blocks) - 1))
-        blocks[-1][0].append(value if score > 0 else (" " if value[:1].isspace() or n else ""))
+        blocks[-1][0].append(" " if element.never else value)  # a link or the like stays in its block
         blocks[-1][1].append(n * score)
     best, best_range, run, begin = 0.0, (0, 0), 0.0, 0
     for i, (score, _) in enumerate(items):
