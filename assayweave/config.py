@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from pathlib import Path
 
 
 @dataclass(frozen=True)
@@ -84,3 +87,55 @@ def default_target_set() -> TargetSet:
         xref_sources=XREF_SOURCES,
         class_labels=CLASS_LABELS,
     )
+
+
+def target_set(scope: Mapping) -> TargetSet:
+    """The scope a mapping describes: release, organism, targets with classes, activity and cell filters, payloads.
+
+    Raises ValueError on a missing key, a repeated target or a payload of an unknown class.
+    """
+
+    def need(where: Mapping, *path: str):
+        for key in path:
+            if not isinstance(where, Mapping) or key not in where:
+                raise ValueError(f"the scope has no {'.'.join(path)}")
+            where = where[key]
+        return where
+
+    targets = tuple((str(need(t, "chembl_id")), str(need(t, "payload_class"))) for t in need(scope, "targets"))
+    ids = [t for t, _ in targets]
+    if not ids or len(set(ids)) < len(ids):
+        raise ValueError("targets are missing or repeated")
+    payloads = tuple(
+        (str(need(p, "molecule_chembl_id")), str(need(p, "name")), str(need(p, "payload_class")))
+        for p in scope.get("reference_payloads") or ()
+    )
+    unknown = {c for _, _, c in payloads} - {c for _, c in targets}
+    if unknown:
+        raise ValueError(f"payloads of classes without a target: {', '.join(sorted(unknown))}")
+    cell = scope.get("cell_activity") or {}
+    base = default_target_set()
+    return TargetSet(
+        release=str(need(scope, "chembl_version")),
+        organism=str(need(scope, "organism")),
+        standard_types=tuple(need(scope, "activity", "standard_types")),
+        min_confidence=int(need(scope, "activity", "min_confidence_score")),
+        payload_classes=targets,
+        reference_payloads=payloads,
+        cell_types=tuple(cell.get("standard_types", base.cell_types)),
+        cell_assay_type=str(cell.get("assay_type", base.cell_assay_type)),
+        xref_sources=base.xref_sources,
+        class_labels=base.class_labels,
+    )
+
+
+def load_target_set(path: str | Path) -> TargetSet:
+    """The scope written in a JSON or YAML file; YAML needs the ``yaml`` package."""
+    text = Path(path).read_text(encoding="utf-8")
+    if str(path).endswith(".json"):
+        return target_set(json.loads(text))
+    try:
+        import yaml
+    except ImportError as missing:
+        raise RuntimeError("reading YAML needs the yaml package; JSON works without it") from missing
+    return target_set(yaml.safe_load(text))

@@ -458,6 +458,14 @@ def sar_heatmap(sar: DataFrame, targets: Sequence[str], k: int = 30) -> DataFram
     )
 
 
+def selectivity_matrix(sar: DataFrame, selective: DataFrame, keys: DataFrame | None, targets: Sequence[str], k: int = 30) -> DataFrame:
+    """The heatmap of the compounds that ``selectivity_view`` shows: in scope, with at least two targets."""
+    shown = selective.where(F.col("n_targets") >= 2).select("compound_key")
+    if keys is not None:
+        shown = shown.join(keys.select("compound_key"), "compound_key", "left_semi")
+    return sar_heatmap(sar.join(shown, "compound_key", "left_semi"), targets, k)
+
+
 def selectivity_view(selective: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Compounds with at least two targets, most selective first."""
     view = selective.where(F.col("n_targets") >= 2)

@@ -28,9 +28,9 @@ from ..operators import (
 )
 from ..sources import mapping, raw
 from ..sources.schemas import Rule
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..streaming import incremental_stream
-from . import analogs
+from . import analogs, checks
 from .analogs import ANALOG, NBITS, table, warehouse
 from .oracles import QUERIES, tanimoto, words
 
@@ -286,6 +286,32 @@ def project_2d(spark, sf):
     return tidy(fingerprints.project_2d(table(spark, sf, "embeddings"), "vec_id", "embedding"), 4)
 
 
+@query(
+    "project_2d_invariants",
+    """select count(*) as n, true as centred, true as uncorrelated, true as ordered, true as within_total
+       from embeddings where embedding is not null""",
+)
+def project_2d_invariants(spark, sf):
+    """What holds for principal components, whatever signs they take, over the whole table."""
+    vectors = table(spark, sf, "embeddings")
+    total = vectors.select(F.posexplode("embedding").alias("i", "v")).groupBy("i").agg(F.var_samp("v").alias("s"))
+    total = total.agg(F.sum("s")).first()[0]
+    points = fingerprints.project_2d(vectors, "vec_id", "embedding").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"mean_{c}") for c in "xy"],
+        *[F.var_samp(c).alias(f"var_{c}") for c in "xy"],
+        F.covar_samp("x", "y").alias("both"),
+    )
+    near = 1e-9 * total
+    return points.select(
+        "n",
+        (F.abs("mean_x") + F.abs("mean_y") < 1e-6).alias("centred"),
+        (F.abs("both") < F.greatest(F.lit(near), F.lit(1e-9))).alias("uncorrelated"),
+        (F.col("var_x") >= F.col("var_y")).alias("ordered"),
+        (F.col("var_x") + F.col("var_y") <= total + near).alias("within_total"),
+    )
+
+
 _SIGNED = (
     "(('0x' || {h})::ubigint::hugeint - case when ('0x' || {h})::ubigint >= 9223372036854775808::ubigint"
     " then 18446744073709551616::hugeint else 0::hugeint end)::bigint"
@@ -989,6 +1015,20 @@ def selectivity_view(spark, sf):
     return tidy(serving.selectivity_view(w.mart_compound_selectivity, keys))
 
 
+@query(
+    "selectivity_matrix",
+    f"with shown as (select * from sar where compound_key in (select compound_key from sel where n_targets >= 2) and compound_key in ({_SCOPE_SQL}))"
+    " select molecule_chembl_id, round(best, 6) as best, "
+    + ", ".join(f"round(max(case when target_pref_name = '{t}' then median_pchembl end), 6) as {t}" for t in _HEAT)
+    + """ from shown join (select molecule_chembl_id, max(median_pchembl) as best from shown group by 1
+                           order by best desc, molecule_chembl_id limit 30) using (molecule_chembl_id) group by 1, best""",
+)
+def selectivity_matrix(spark, sf):
+    w = warehouse(spark, sf)
+    keys = serving.resolve_scope(w.mart_target_sar, w.mart_compound_catalog, _SCOPE)
+    return tidy(serving.selectivity_matrix(w.mart_target_sar, w.mart_compound_selectivity, keys, _HEAT))
+
+
 @query(
     "distribution",
     """select target_pref_name, count(*) as n, round(min(median_pchembl), 6) as low,
@@ -1350,3 +1390,63 @@ def check_suite(spark, sf):
             )
         ],
     )
+
+
+_CHECK_VIEWS = {
+    "stg_activities": "stg_activities",
+    "stg_molecules": "stg_molecules",
+    "stg_targets": "stg_targets",
+    "stg_assays": "stg_assays",
+    "dim_compound": "dim_compound",
+    "dim_target": "dim_target",
+    "dim_assay": "dim_assay",
+    "dim_scaffold": "dim_scaffold",
+    "mart_target_sar": "sar",
+    "mart_compound_selectivity": "sel",
+    "mart_compound_xref": "xref",
+    "mart_compound_pdb": "pdb",
+    "mart_chemical_series": "series",
+}
+
+
+def _check_sql() -> str:
+    """The declared checks of the models above as SQL, one count each."""
+    parts = []
+    for model, columns in checks.NOT_NULL.items():
+        parts += [(f"{model}.{c} not_null", f"select 1 from {_CHECK_VIEWS[model]} where {c} is null") for c in columns if model in _CHECK_VIEWS]
+    for model, column, low, high in checks.BANDS:
+        bad = " or ".join([f"{column} < {low}"] * (low is not None) + [f"{column} > {high}"] * (high is not None))
+        parts += [(f"{model}.{column} in_band", f"select 1 from {_CHECK_VIEWS[model]} where {bad}")] if model in _CHECK_VIEWS else []
+
+    def listed(values) -> str:
+        return ", ".join(f"'{v}'" for v in values)
+
+    config = ANALOG
+    parts.append(("stg_activities.standard_type accepted", f"select 1 from stg_activities where standard_type not in ({listed(config.standard_types)})"))
+    parts.append(("stg_targets.target_type accepted", f"select 1 from stg_targets where target_type not in ({listed(checks.TARGET_TYPES)})"))
+    classes = listed(sorted({c for _, c in config.payload_classes}))
+    parts.append(("dim_target.payload_class known", f"select 1 from dim_target where coalesce(payload_class not in ({classes}), true)"))
+    for model, c in checks.UNIQUE:
+        if model in _CHECK_VIEWS:
+            parts.append((f"{model}.{c} unique", f"select 1 from {_CHECK_VIEWS[model]} where {c} is not null group by {c} having count(*) > 1"))
+    for child, fk, parent, pk in checks.REFERENCES:
+        if child in _CHECK_VIEWS and parent in _CHECK_VIEWS:
+            sql = f"select 1 from {_CHECK_VIEWS[child]} where {fk} is not null and {fk} not in (select {pk} from {_CHECK_VIEWS[parent]})"
+            parts.append((f"{child}.{fk} references {parent}", sql))
+    for model, columns in checks.GRAINS:
+        if model in _CHECK_VIEWS:
+            parts.append((f"{model} grain", f"select 1 from {_CHECK_VIEWS[model]} group by {', '.join(columns)} having count(*) > 1"))
+    floors = " union all ".join(f"select count(*) as n from {m}" for m in ("stg_activities", "dim_compound"))
+    parts.append(("row floors", f"select 1 from ({floors}) where n < 3"))
+    parts.append(("dim_compound.canonical_smiles null_rate", "select 1 from (select avg((canonical_smiles is null)::int) as r from dim_compound) where r > 0.2"))
+    counts = " union all ".join(f"select '{name}' as \"check\", (select count(*) from ({sql})) as violations" for name, sql in parts)
+    return f'select "check", violations, violations = 0 as passed from ({counts})'
+
+
+@query("warehouse_checks", _check_sql())
+def warehouse_checks(spark, sf):
+    """The declared checks of the models that the SQL definitions cover, over the models written once."""
+    w = warehouse(spark, sf)
+    for model in _CHECK_VIEWS:
+        w.__dict__[model] = materialize(getattr(w, model), model)
+    return checks.warehouse_checks(w, models=list(_CHECK_VIEWS))

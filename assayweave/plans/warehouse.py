@@ -63,6 +63,7 @@ class Warehouse:
         self.raw = raw
         self.config = config
         self.rows_per_range = rows_per_range
+        self.report: DataFrame | None = None
 
     # staging
     @cached_property
@@ -278,12 +279,15 @@ def expire_versions(spark: SparkSession, out_dir: str, keep: int = 2) -> list[in
     return sorted(old)
 
 
-def build(spark: SparkSession, raw_dir: str, out_dir: str, config: TargetSet, now: str) -> Warehouse:
+def build(
+    spark: SparkSession, raw_dir: str, out_dir: str, config: TargetSet, now: str, check: bool = False
+) -> Warehouse:
     """Build every model into ``out_dir`` and return the warehouse reading from there.
 
     Each model is written once and read back by its consumers, which also cuts lineage.
     The fact only gets the activity ids it does not hold yet; the status history gets a new
-    version; everything else is replaced.
+    version; everything else is replaced. With ``check`` the declared checks run over what was
+    written, and their (check, violations, passed) rows are the warehouse's ``report``.
     """
     warehouse = Warehouse(raw_frames(spark, raw_dir), config)
     for model in MODELS:
@@ -300,4 +304,8 @@ def build(spark: SparkSession, raw_dir: str, out_dir: str, config: TargetSet, no
         # The property is cached per instance: consumers built later read the written layer.
         warehouse.__dict__[model] = spark.read.option("mergeSchema", model == "fact_activity").parquet(path)
     _snapshot(spark, out_dir, warehouse.stg_molecules, F.lit(now).cast("timestamp"))
+    if check:
+        from .checks import warehouse_checks
+
+        warehouse.report = warehouse_checks(warehouse, compound_status(spark, out_dir))
     return warehouse

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,16 +37,36 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="assayweave-"))
+        own = tempfile.mkdtemp(prefix="assayweave-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders handed out so far, for when their results are written; returns how many.
+
+    Frames that still read them fail afterwards. Only folders this process named are touched.
+    """
+    context = spark.sparkContext
+    released = 0
+    while _scratch:
+        path = context._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        released += bool(path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True))
+    return released
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 
     Cuts lineage for a frame several branches read, and gives those branches real sizes to
-    choose their join strategies by. The folder's owner expires old scratch data.
+    choose their join strategies by. ``release_scratch`` deletes what was written.
     """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import try_int
-from .schemas import RAW_SCHEMAS, Rule
+from .schemas import RAW_SCHEMAS, RULES, Rule
 
 
 def _tick(name: str) -> str:
@@ -58,6 +58,18 @@ def flatten_nested(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema, ()))
 
 
+def land(
+    records: DataFrame, entity: str, directory: str, version: str, now: str, endpoint: str | None = None, check: bool = True
+) -> str:
+    """Land an entity's records: flatten, stamp, validate, turn nested values into text, write.
+
+    Records that break a declared rule of the entity stop the landing before anything is written.
+    """
+    stamped = with_provenance(flatten_nested(records), endpoint or entity, version, now)
+    checked = enforce_schema(stamped, RULES.get(entity, ()), check) if entity in RULES else stamped
+    return write_entity(stringify_nested(checked), directory, entity)
+
+
 def stringify_nested(df: DataFrame) -> DataFrame:
     """Array, map and struct columns become JSON text; the others are left alone."""
     nested = (T.ArrayType, T.MapType, T.StructType)

@@ -129,3 +129,85 @@ def test_history_survives_a_broken_run(spark, tmp_path):
     found = warehouse.compound_status(spark, out)
     assert found.count() == 8 and found.where("valid_to is null").count() == 2
     assert warehouse.expire_versions(spark, out, keep=1) == [1, 2, 3, 4] and warehouse.compound_status(spark, out).count() == 8
+
+
+def test_declared_checks_name_what_is_broken(spark):
+    from assayweave.plans import catalog, checks
+    from assayweave.plans.analogs import warehouse
+
+    w = warehouse(spark, "/root/testdata/sf0.001")
+    models = ["stg_targets", "dim_target", "dim_compound"]
+    good = {r["check"] for r in checks.warehouse_checks(w, models=models).where("not passed").collect()}
+    bad = type(w)(w.raw, w.config)
+    targets = w.dim_target
+    bad.__dict__.update(
+        dim_target=targets.union(targets.limit(1)).withColumn("payload_class", F.lit("unheard_of")),
+        dim_compound=w.dim_compound.withColumn("canonical_smiles", F.lit(None).cast("string")),
+        stg_targets=w.stg_targets.withColumn("target_type", F.lit("ORGANISM")),
+    )
+    found = {r["check"] for r in checks.warehouse_checks(bad, models=models).where("not passed").collect()}
+    assert "dim_target.target_key unique" not in good and "stg_targets.target_type accepted" not in good
+    assert found >= {
+        "dim_target.target_key unique",
+        "dim_target.target_chembl_id unique",
+        "dim_target.payload_class known",
+        "dim_compound.canonical_smiles null_rate",
+        "stg_targets.target_type accepted",
+    }
+    assert catalog.REGISTRY["warehouse_checks"]
+
+
+def test_landing_step(spark, tmp_path):
+    schema = "target_chembl_id string, pref_name string, extra struct<a: int, b: array<string>>"
+    records = spark.createDataFrame([("T1", "x", (1, ["p", "q"])), ("T2", None, None)], schema)
+    path = raw.land(records, "targets", str(tmp_path), "36", "2024-01-01T00:00:00Z")
+    rows = {r["target_chembl_id"]: r for r in spark.read.parquet(path).collect()}
+    assert rows["T1"]["extra.b"] == '["p","q"]' and rows["T1"]["_chembl_version"] == "36" and rows["T2"]["extra.a"] is None
+    unreadable = records.select(F.lit("x").alias("pchembl_value"), "target_chembl_id")
+    with pytest.raises(ValueError, match="missing column"):
+        raw.land(unreadable, "activities", str(tmp_path), "36", "2024-01-01T00:00:00Z")
+
+
+def test_scope_files(tmp_path):
+    import json
+
+    from assayweave.config import default_target_set, load_target_set
+
+    scope = {
+        "chembl_version": 36,
+        "organism": "Homo sapiens",
+        "targets": [{"chembl_id": "T1", "payload_class": "c1"}, {"chembl_id": "T2", "payload_class": "c2"}],
+        "activity": {"standard_types": ["Ki"], "min_confidence_score": 5},
+        "reference_payloads": [{"molecule_chembl_id": "M", "name": "n", "payload_class": "c1"}],
+        "cell_activity": {"standard_types": ["IC50"], "assay_type": "F"},
+    }
+    path = tmp_path / "scope.json"
+    path.write_text(json.dumps(scope))
+    loaded = load_target_set(path)
+    assert loaded.target_ids() == ["T1", "T2"] and loaded.release == "36" and loaded.cell_types == ("IC50",)
+    assert loaded.fingerprint_bits == default_target_set().fingerprint_bits
+    (tmp_path / "scope.yml").write_text(json.dumps(scope))  # JSON is YAML
+    pytest.importorskip("yaml")
+    assert load_target_set(tmp_path / "scope.yml") == loaded
+    for broken in (
+        {k: v for k, v in scope.items() if k != "organism"},
+        scope | {"targets": []},
+        scope | {"targets": scope["targets"] * 2},
+        scope | {"activity": {"standard_types": ["Ki"]}},
+        scope | {"reference_payloads": [{"molecule_chembl_id": "M", "name": "n", "payload_class": "other"}]},
+    ):
+        path.write_text(json.dumps(broken))
+        with pytest.raises(ValueError):
+            load_target_set(path)
+
+
+def test_a_later_release_may_bring_a_column(spark, tmp_path):
+    from assayweave.streaming import incremental_stream
+
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    second = spark.createDataFrame([(2, "B", 5), (3, "c", 6)], "id bigint, v string, more int")
+    for frame, part in ((first, "one"), (second, "two")):
+        frame.write.mode("append").parquet(f"{tmp_path}/in")
+        incremental_stream(spark, f"{tmp_path}/in", frame.schema, f"{tmp_path}/out", f"{tmp_path}/check", "id").awaitTermination()
+    got = spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/out").drop("_batch")
+    assert sorted(tuple(r[c] for c in ("id", "v", "more")) for r in got.collect()) == [(1, "a", None), (2, "b", None), (3, "c", 6)]
