@@ -28,7 +28,8 @@ LEAST_SHARE = 0.002
 _CLIP = 4.0
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*(?:>|\Z))"
+    # a quote opens a value only after the equals sign
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?)*+>|[^>]*(?:>|\Z))"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )

@@ -106,6 +106,8 @@ def test_extraction_of_a_page(weights):
         ("<script>a<b</script", ""),
         ("<p>a < b and c > d</p>", "a < b and c > d"),
         ("<p title='x > y'>text here</p>", "text here"),
+        ("<p title=don't>it's here</p>", "it's here"),
+        ('<p title="never closed>text', "text"),
         ("<article><p>" + "w " * 50_000 + "</p></article>", ("w " * 50_000).strip()),
         ("<div>" * 5000 + "deep words" + "</div>" * 5000, "deep words"),
     ],
