@@ -109,45 +109,46 @@ def _ordered(pairs: DataFrame, member: str, *more: str) -> DataFrame:
     return pairs.select(F.least(l, r).alias("a"), F.greatest(l, r).alias("b"), *more).distinct()
 
 
-def _prefix_rows(sets: DataFrame, threshold: float, entries: Column, *carried: Column | str) -> DataFrame:
-    """One row per prefix element; ``entries`` are (f, e) structs, f = number of sets with e.
-
-    Elements of a single set can meet nothing and are not emitted (they keep their position).
-    """
-    n = F.col("n")
-    prefix = F.slice(F.sort_array(entries), F.lit(1), n - _needed(threshold, n) + 1)
-    return (
-        sets.select("n", *carried, F.posexplode(prefix).alias("_pos", "_entry"))
-        .where("_entry.f > 1")
-        .withColumns({"element": F.col("_entry.e"), "rest": F.col("n") - F.col("_pos")})
-        .drop("_pos", "_entry")
-    )
-
-
 def _similar_bits(sets: DataFrame, threshold: float, width: int, block_rows: int) -> DataFrame:
     """Elements are bit numbers below ``width``: pairs are scored on packed words inside the join.
 
-    The frequency table is bounded by the width and becomes a literal array, so ordering the
-    bits needs no shuffle. The words (width / 8 bytes) travel with each prefix row; only true
-    pairs leave the join, which is far less than fetching the words per candidate.
+    The frequency table is bounded by the width and becomes a literal array, so numbering the bits from
+    rare to frequent needs no shuffle. The words (width / 8 bytes, in that numbering) travel with each prefix
+    row. A pair is kept only at its first common bit, which the words tell: it is scored once and leaves the
+    join once, so nothing has to be made distinct afterwards.
     """
     in_range = F.col("bit").between(0, width - 1)
     # The packed words of a bit outside would be wrong: better no answer than a lost pair.
     checked = F.when(in_range, F.col("bit")).otherwise(F.raise_error(F.lit(f"a bit is not in [0, {width})")).cast("int"))
     counts = sets.select(F.explode("elements").alias("bit")).select(checked.alias("bit")).groupBy("bit").count().collect()
     found = {r["bit"]: r["count"] for r in counts}
-    frequency = F.lit([int(found.get(i, 0)) for i in range(width)])
-    ranked = F.transform("elements", lambda e: F.struct(F.get(frequency, e).cast("bigint").alias("f"), e.alias("e")))
+    by_rarity = sorted(range(width), key=lambda bit: (found.get(bit, 0), bit))
+    rank_of = {bit: rank for rank, bit in enumerate(by_rarity)}
+    ranks = F.lit([rank_of[bit] for bit in range(width)])
+    shared_by = F.lit([int(found.get(bit, 0)) for bit in by_rarity])
     n_words = -(-width // 64)
+    ranked = sets.select("cls", "n", F.array_sort(F.transform("elements", lambda bit: F.get(ranks, bit))).alias("ranked"))
+    packed = ranked.withColumn("words", bits_to_words("ranked", 64 * n_words))
+    n = F.col("n")
+    prefix = F.slice("ranked", F.lit(1), n - _needed(threshold, n) + 1)
     words = [F.get("words", F.lit(i)).alias(f"w{i}") for i in range(n_words)]
-    prefixes = _prefix_rows(sets, threshold, ranked, "cls", *words)
-    shared = F.lit(0)
-    for i in range(n_words):
-        shared = shared + F.bit_count(F.col(f"w{i}_l").bitwiseAND(F.col(f"w{i}_r")))
-    scored = _meet(prefixes, "cls", threshold, block_rows).withColumn("similarity", _score(shared))
-    return _ordered(scored.where(F.col("similarity") >= threshold), "cls", "similarity").toDF(
-        "cls_a", "cls_b", "similarity"
+    prefixes = (
+        packed.select("n", "cls", *words, F.posexplode(prefix).alias("_pos", "element"))
+        .where(F.get(shared_by, F.col("element")) > 1)
+        .withColumn("rest", n - F.col("_pos"))
+        .drop("_pos")
     )
+    shared, earlier = F.lit(0), F.lit(False)
+    for i in range(n_words):
+        both = F.col(f"w{i}_l").bitwiseAND(F.col(f"w{i}_r"))
+        shared = shared + F.bit_count(both)
+        # Of this word the bits before the meeting one stand highest.
+        place = F.col("element") - 64 * i
+        before = F.when(place >= 64, both).when(place > 0, F.call_function("shiftrightunsigned", both, F.lit(64) - place)).otherwise(F.lit(0))
+        earlier = earlier | (before != 0)
+    met = _meet(prefixes, "cls", threshold, block_rows).where(~earlier)
+    scored = met.withColumn("similarity", _score(shared)).where(F.col("similarity") >= threshold)
+    return scored.select(F.least("cls_l", "cls_r").alias("cls_a"), F.greatest("cls_l", "cls_r").alias("cls_b"), "similarity")
 
 
 def _similar_tokens(sets: DataFrame, threshold: float, block_rows: int) -> DataFrame:
@@ -337,6 +338,8 @@ def nearest_neighbors_all(
         .where(F.col("_rn") <= k + 1)
         .select(F.col("cls_a").alias("cls"), "neighbor", "similarity")
     )
+    # Written, so that a class of very many copies is a plain exchange on both sides, which AQE can split.
+    ranked = materialize(ranked, "ranked")
     per_entity = Window.partitionBy(key).orderBy(F.desc("similarity"), "neighbor")
     return (
         entities.join(ranked, "cls")
@@ -357,7 +360,7 @@ def containing_sets(
     here: it would select the entire table.
     """
     posted = df.select(F.col(key), F.explode(elements).alias("element"))
-    counts = posted.groupBy("element").count()
+    counts = materialize(posted.groupBy("element").count(), "counts")
     wanted = queries.where(F.size(query_elements) > 0).select(
         F.col(query_key), F.col(query_elements).alias("_query"), F.explode(query_elements).alias("element")
     )
