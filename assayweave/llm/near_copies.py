@@ -1,8 +1,9 @@
 """Near copies of documents, by word shingles, found with SimHash and the trie self-join.
 
 Two texts whose shingle sets overlap by 0.8 differ in about 15 of 100 SimHash bits, too many for one trie. So a
-text gets a signature of 256 bits, read as eight fingerprints of 32 bits, and each of them is joined with a
-budget of 3: a pair at 0.8 is met in one of the eight by a chance of about 93 in 100, at 0.9 of 998 in 1000.
+text gets a signature of 256 bits, read as eight fingerprints of 32 neighbouring bits and as eight of every eighth
+bit, and each of them is joined with a budget of 3: a pair at 0.8 is met in one of the sixteen by a chance of
+about 99 in 100, at 0.9 of more than 999 in 1000.
 Pairs that are met are kept if their whole signatures are near, as a forest that prefers the nearest pairs:
 whatever limit is then laid on nearness, the forest connects what all pairs together connect. At last the
 pairs of the forest are verified by the exact overlap of the shingles.
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -63,6 +64,15 @@ def signatures(texts: list[str | None], width: int) -> np.ndarray:
     return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view("<u8")
 
 
+def fingerprints(signed: np.ndarray) -> np.ndarray:
+    """The sixteen PART-bit fingerprints of each signature: runs of bits, then bits dealt out in turn."""
+    bits = np.unpackbits(signed.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    runs = bits.reshape(len(bits), -1, PART)
+    dealt = bits.reshape(len(bits), PART, -1).transpose(0, 2, 1)
+    packed = np.packbits(np.concatenate((runs, dealt), axis=1), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view("<u4")[:, :, 0].astype(np.int64)
+
+
 def _forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pairs of a spanning forest, nearest pairs first."""
     order = np.lexsort((b, a, far))
@@ -84,7 +94,7 @@ def _forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray,
 
 
 def candidates(signed: DataFrame, most: int = 1 << 14) -> DataFrame:
-    """Pairs (a, b) of texts (``cls``, s0 .. s3) with near signatures: a forest per unit of the trie join."""
+    """Pairs (a, b) of texts (``cls``, s0 .. s3, parts) with near signatures: a forest per unit of the trie join."""
     names = [f"s{k}" for k in range(LANES)]
 
     def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> pd.DataFrame:
@@ -103,11 +113,7 @@ def candidates(signed: DataFrame, most: int = 1 << 14) -> DataFrame:
         a, b, _ = _forest(*(np.concatenate(c) for c in zip(held, *new)))
         return pd.DataFrame({"a": np.minimum(cls[a], cls[b]), "b": np.maximum(cls[a], cls[b])})
 
-    parts = []
-    for k in range(LANES * 64 // PART):
-        word = F.shiftrightunsigned(f"s{k * PART // 64}", k * PART % 64).bitwiseAND(F.lit((1 << PART) - 1))
-        parts.append(F.struct(F.lit(k).cast("bigint").alias("grp"), word.alias("rest")))
-    rows = signed.select("cls", *names, F.explode(F.array(*parts)).alias("o")).select("cls", *names, "o.grp", "o.rest")
+    rows = signed.select("cls", *names, F.posexplode("parts").alias("grp", "rest")).withColumn("grp", F.col("grp").cast("bigint"))
     return trie_join(rows, PART, BUDGET, most, connect, "a bigint, b bigint").distinct()
 
 
@@ -133,33 +139,54 @@ def _overlap(pairs: DataFrame, width: int, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _text_class(docs: DataFrame):
+def _text_class(docs: DataFrame) -> Column:
     """Rows with equal texts have one class; NULL counts as the empty text."""
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
-    """(cls, label) of every class of equal texts: classes reachable over near copies share a label."""
-    texts = docs.select(_text_class(docs).alias("cls"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def _id(docs: DataFrame) -> list[Column]:
+    """The id as two columns that are never NULL, so that rows can meet by it; NULL ids sort last."""
+    own = F.col("doc_id").cast("bigint")
+    return [own.isNull().alias("no_id"), F.coalesce(own, F.lit(0)).alias("id")]
+
+
+def classes(docs: DataFrame, width: int = 5) -> DataFrame:
+    """One row for each class of equal texts, written: cls, its first id (no_id, id), signature and fingerprints."""
     names = [f"s{k}" for k in range(LANES)]
+    slim = docs.select(_text_class(docs).alias("cls"), *_id(docs), F.col("text").cast("string").alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_texts = batch.column(1).to_pylist()
-            parts = [signatures(all_texts[cut], width).view(np.int64) for cut in slices(all_texts)]
-            found = np.concatenate(parts) if parts else np.zeros((0, LANES), np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in found.T)], ["cls", *names])
-
-    signed = materialize(texts.mapInArrow(sign, ", ".join(f"{c} bigint" for c in ["cls", *names])), "signatures")
-    classes = signed.groupBy("cls").agg(*[F.first(c).alias(c) for c in names])
-    pairs = materialize(candidates(materialize(classes, "classes"), most), "near")
+            all_texts = batch.column(3).to_pylist()
+            found = [signatures(all_texts[cut], width) for cut in slices(all_texts)]
+            found = np.concatenate(found) if found else np.zeros((0, LANES), np.uint64)
+            columns = [*(pa.array(c) for c in found.view(np.int64).T), pa.array(fingerprints(found).tolist(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["cls", "no_id", "id", *names, "parts"])
+
+    longs = ", ".join(f"{c} bigint" for c in names)
+    signed = slim.mapInArrow(sign, f"cls bigint, no_id boolean, id bigint, {longs}, parts array<bigint>")
+    # A class of very many copies leaves each task as one row.
+    one = signed.groupBy("cls").agg(
+        F.min(F.struct("no_id", "id")).alias("first"), *[F.first(c).alias(c) for c in [*names, "parts"]]
+    )
+    return materialize(one.select("cls", "first.no_id", "first.id", *names, "parts"), "classes")
+
+
+def groups(docs: DataFrame, of_text: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
+    """(cls, no_id, id, label): the classes ``of_text`` of ``docs``; those reachable over near copies share a label."""
+    pairs = materialize(candidates(of_text, most), "near")
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
-    of_class = materialize(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "texts")
-    left = of_class.select(F.col("cls").alias("a"), F.col("text").alias("x"))
-    right = of_class.select(F.col("cls").alias("b"), F.col("text").alias("y"))
+    chosen = of_text.join(wanted, "cls", "left_semi").select("cls", "no_id", "id")
+    # A class's text is fetched from the rows of its first id: copies under other ids do not meet here.
+    rows = docs.select(_text_class(docs).alias("cls"), *_id(docs), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = rows.join(chosen, ["cls", "no_id", "id"], "left_semi").dropDuplicates(["cls", "no_id", "id"])
+    texts = materialize(texts.select("cls", "text"), "texts")
+    left = texts.select(F.col("cls").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("cls").alias("b"), F.col("text").alias("y"))
     verified = materialize(_overlap(pairs.join(left, "a").join(right, "b"), width, similarity), "links")
     labels = connected_components(verified).withColumnRenamed("node", "cls")
-    return signed.select("cls").distinct().join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    named = of_text.select("cls", "no_id", "id").join(labels, "cls", "left")
+    return named.withColumn("label", F.coalesce("label", "cls"))
 
 
 def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -167,16 +194,13 @@ def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     Of a group the smallest doc_id stays (NULL ids come last, then texts decide), of repeated rows one. Texts
     that are NULL or empty are copies of each other. Groups are closed over links; a link is an overlap of
-    ``similarity`` or more between the sets of ``width``-word shingles.
+    ``similarity`` or more between the sets of ``width``-word shingles. Rows meet their class by text and id
+    together, so a text that a third of all rows repeat is spread over tasks.
     """
-    ids = materialize(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_class(docs).alias("cls")), "ids")
-    rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "cls")
-    # Per class first, so that a third of all rows in one class meet as one row per task.
-    least = ids.groupBy("cls").agg(F.min(rank).alias("first"))
-    stays = groups(docs, width, similarity).join(least, "cls").groupBy("label").agg(F.min("first").alias("first"))
-    stays = materialize(stays.select(F.col("first.cls").alias("_cls"), F.col("first.doc_id").alias("_id")), "stays")
+    found = groups(docs, classes(docs, width), width, similarity)
+    first = found.groupBy("label").agg(F.min(F.struct("no_id", "id", "cls")).alias("first"))
+    stays = materialize(first.select("first.cls", "first.no_id", "first.id"), "stays")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    classed = docs.select(row, _text_class(docs).alias("_cls"), F.col("doc_id").cast("bigint").alias("_own"))
-    found = classed.join(stays, "_cls").where(F.col("_own").eqNullSafe(F.col("_id")))
-    once = Window.partitionBy("_cls").orderBy(F.lit(0))
-    return found.withColumn("_nth", F.row_number().over(once)).where("_nth = 1").select("row.*")
+    kept = docs.select(row, _text_class(docs).alias("cls"), *_id(docs)).join(stays, ["cls", "no_id", "id"])
+    once = Window.partitionBy("cls", "no_id", "id").orderBy(F.lit(0))
+    return kept.withColumn("nth", F.row_number().over(once)).where("nth = 1").select("row.*")
