@@ -240,8 +240,9 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, sample: int = SAMPLE
     if n > sample:
         known = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
     # ``known`` is bounded by ``sample``, whatever the tables hold.
-    rows = docs.join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select(
-        F.col("text").cast("string").alias("text"), F.pmod(F.xxhash64(F.col("_id") + 1), F.lit(FOLDS)).cast("int").alias("part"), "y"
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
+    rows = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id")).select(
+        "text", F.pmod(F.xxhash64(F.col("_id") + 1), F.lit(FOLDS)).cast("int").alias("part"), "y"
     )
     rows = materialize(rows, "labelled")
     terms, weights = _lexicons(rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, part string, cls bigint, target double, "
-    "`row` string, begin int, fp string, _cls string, chunk int, label string, html string"
+    "`row` string, begin int, fp string, _cls string, chunk int, label string, html string, y int, _id bigint, id bigint, key string, a int, b int"
 )
 LONG = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 4000
 
@@ -27,7 +27,7 @@ def rows() -> list[tuple]:
         (9007199254740993, "an id beyond the doubles", "en", "b"),
         (10, "one two three four five six seven eight nine ten eleven twelve thirteen", "en", None),
     ]
-    return [(i, t, l, s, len(t) if t else None, 1, "p", 2, 0.5, "r", 3, "f", "c", 4, "l", t) for i, t, l, s in texts]
+    return [(i, t, l, s, len(t) if t else None, 1, "p", 2, 0.5, "r", 3, "f", "c", 4, "l", t, 5, 6, 7, "k", 8, 9) for i, t, l, s in texts]
 
 
 def docs(spark, some=None):
