@@ -133,12 +133,13 @@ class _Writer:
 class _Reader:
     def __init__(self, blocks: list[bytes]):
         lengths = np.array([len(b) // 2 for b in blocks])
-        self.data = np.zeros((len(blocks), int(lengths.max(initial=0)) + 8), np.uint64)
+        self.data = np.zeros((len(blocks), int(lengths.max(initial=0)) + 8), np.uint16)
         for row, b in zip(self.data, blocks):
             row[: len(b) // 2] = np.frombuffer(b, "<u2")
         self.low = np.zeros(len(blocks), np.uint64)
         self.range = np.full(len(blocks), _STATE, np.uint64)
-        self.code = (self.data[:, 0] << np.uint64(32)) | (self.data[:, 1] << _WORD) | self.data[:, 2]
+        head = self.data[:, :3].astype(np.uint64)
+        self.code = (head[:, 0] << np.uint64(32)) | (head[:, 1] << _WORD) | head[:, 2]
         self.place = np.full(len(blocks), 3, np.int64)
 
     def value(self, n: int, bits: np.ndarray | np.uint64) -> np.ndarray:
@@ -158,7 +159,7 @@ class _Reader:
                 return
             at, low_, size, small = move if at is None else at[move], low_[move], size[move], small[move]
             size = np.where(small, (~low_ + np.uint64(1)) & _LOW_WORD, size)
-            word = self.data[at, np.minimum(self.place[at], self.data.shape[1] - 1)]
+            word = self.data[at, np.minimum(self.place[at], self.data.shape[1] - 1)].astype(np.uint64)
             self.code[at] = ((self.code[at] << _WORD) & _STATE) | word
             self.place[at] += 1
             low_, size = (low_ << _WORD) & _STATE, size << _WORD
@@ -175,27 +176,29 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, list[bytes]
         return np.zeros(0, np.uint32), []
     values, of, times = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((values, -times))
-    rank_of = np.empty(len(values), np.int64)
+    rank_of = np.empty(len(values), np.int32)
     rank_of[order] = np.arange(len(values))
     lanes, steps = -(-len(ids) // block), min(block, len(ids))
-    ranks = np.zeros((steps, lanes), np.int64)
+    ranks = np.zeros((steps, lanes), np.int32)
     flat_ranks = rank_of[of]
+    del of
     full = len(ids) // block
     ranks[:, :full] = flat_ranks[: full * block].reshape(full, -1).T if full else 0
     tail = flat_ranks[full * block :]
     if len(tail):
         ranks[: len(tail), full] = tail
-    group = np.searchsorted(FIRST, ranks, "right") - 1
+    del flat_ranks
     models, out = _Predictor(lanes), _Writer(lanes, steps)
     for t in range(steps):
         n = lanes if not len(tail) or t < len(tail) else full
-        r, base = ranks[t, :n], models.base_of(n)
+        r, base = ranks[t, :n].astype(np.int64), models.base_of(n)
+        group = np.searchsorted(FIRST, r, "right") - 1
         mixed = models.predict(n)
-        symbol = np.where(models.hit_2 == r, HIT_2, np.where(models.hit_1 == r, HIT_1, group[t, :n]))
+        symbol = np.where(models.hit_2 == r, HIT_2, np.where(models.hit_1 == r, HIT_1, group))
         out.put(n, *_bounds(mixed, base, symbol), np.uint64(SCALE))
         plain = symbol < GROUPS
-        bits = np.where(plain, BITS[group[t, :n]], 0).astype(np.uint64)
-        out.put(n, np.where(plain, r - FIRST[group[t, :n]], 0).astype(np.uint64), np.uint64(1), bits)
+        bits = np.where(plain, BITS[group], 0).astype(np.uint64)
+        out.put(n, np.where(plain, r - FIRST[group], 0).astype(np.uint64), np.uint64(1), bits)
         models.learn(n, symbol, r)
     little = ids.astype("<u4")
     sums = [zlib.crc32(little[i : i + block].tobytes()) for i in range(0, len(ids), block)]
@@ -209,7 +212,7 @@ def decode(dictionary: np.ndarray, blocks: list[bytes], n_ids: int, block: int =
     lanes, steps, full = len(blocks), min(block, n_ids), n_ids // block
     tail = n_ids - full * block
     models, source = _Predictor(lanes), _Reader([b[4:] for b in blocks])
-    ranks = np.zeros((steps, lanes), np.int64)
+    ranks = np.zeros((steps, lanes), np.int32)
     for t in range(steps):
         n = lanes if not tail or t < tail else full
         base = models.base_of(n)

@@ -22,7 +22,7 @@ from . import rangecoder
 from .common import FIRST_KEY, range_bounds, range_number, tasks_for
 from .textnp import TaskCache
 
-SEGMENT = 4_000_000
+SEGMENT = 2_500_000
 END = 2
 #: The pre-tokenizer of byte-level BPE files without a prefix space. Fixed by these files.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -113,8 +113,8 @@ def segments(docs: DataFrame, tokenizer: str, end: int = END, segment: int = SEG
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES)], _NAMES)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                parts_, keys_, texts = (c.to_pylist() for c in batch.slice(at, 2000).columns)
+            for at in range(0, batch.num_rows, 1000):
+                parts_, keys_, texts = (c.to_pylist() for c in batch.slice(at, 1000).columns)
                 for p, k, ids in zip(parts_, keys_, encode(texts)):
                     if keys and (p != part or size >= segment):
                         yield close()
