@@ -4,9 +4,9 @@ Two texts whose shingle sets overlap by 0.8 differ in about 15 of 100 SimHash bi
 text gets a signature of 256 bits, read as eight fingerprints of 32 neighbouring bits and as eight of every eighth
 bit, and each of them is joined with a budget of 3: a pair at 0.8 is met in one of the sixteen by a chance of
 about 99 in 100, at 0.9 of more than 999 in 1000.
-Pairs that are met are kept if their whole signatures are near, as a forest that prefers the nearest pairs:
-whatever limit is then laid on nearness, the forest connects what all pairs together connect. At last the
-pairs of the forest are verified by the exact overlap of the shingles.
+Pairs that are met are kept if their whole signatures are near, first as a forest that prefers the nearest pairs,
+and verified by the exact overlap of the shingles. A pair that the forest left out is connected by it, but maybe
+over pairs that fail; so where one failed, all met pairs between texts still apart are verified as well.
 
 Copies count as one text throughout.
 """
@@ -52,15 +52,18 @@ def shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarra
 
 def signatures(texts: list[str | None], width: int) -> np.ndarray:
     """LANES 64-bit words for each text: a bit is 1 if set in over half the hashes of its distinct shingles."""
-    of, h = shingles(texts, width)
-    ones = np.zeros((len(texts), LANES * 64), np.int64)
+    return _signed(*shingles(texts, width), len(texts))
+
+
+def _signed(of: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    ones = np.zeros((n, LANES * 64), np.int64)
     for at in range(0, len(h), _SHINGLES):
         part, own = h[at : at + _SHINGLES], of[at : at + _SHINGLES]
         lanes = np.stack([mix(part + mix(np.full(1, k + 1, np.uint64))) for k in range(LANES)], axis=1)
         bits = np.unpackbits(lanes.astype("<u8").view(np.uint8), axis=1, bitorder="little")
         heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         ones[own[heads]] += np.add.reduceat(bits, heads, axis=0, dtype=np.int32)
-    total = np.bincount(of, minlength=len(texts))[: len(texts)]
+    total = np.bincount(of, minlength=n)[:n]
     return np.packbits(2 * ones > total[:, None], axis=1, bitorder="little").view("<u8")
 
 
@@ -93,27 +96,50 @@ def _forest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray,
     return a[kept], b[kept], far[kept]
 
 
-def candidates(signed: DataFrame, most: int = 1 << 14) -> DataFrame:
-    """Pairs (a, b) of texts (``cls``, s0 .. s3, parts) with near signatures: a forest per unit of the trie join."""
+def candidates(signed: DataFrame, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
+    """Pairs (a, b) of texts (``cls``, size, s0 .. s3, parts) with near signatures and sizes that allow ``similarity``.
+
+    They are a forest per unit of the trie join; if the texts have a ``label``, all pairs with different labels.
+    """
     names = [f"s{k}" for k in range(LANES)]
+    known = [c for c in ("label",) if c in signed.columns]
 
-    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> pd.DataFrame:
+    def met(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> Iterator[tuple[np.ndarray, ...]]:
         whole = batch[names].to_numpy(np.int64).view(np.uint64)
+        size = batch["size"].to_numpy(np.int64)
+        label = batch["label"].to_numpy(np.int64) if known else np.arange(len(batch))
+        for a, b in trie_pairs(groups, rest, left, BUDGET):
+            far = np.bitwise_count(whole[a] ^ whole[b]).sum(axis=1, dtype=np.int64)
+            alike = np.minimum(size[a], size[b]) >= similarity * np.maximum(size[a], size[b])
+            near = (far <= FAR) & alike & (label[a] != label[b])
+            yield a[near], b[near], far[near]
+
+    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> Iterator[pd.DataFrame]:
         cls = batch["cls"].to_numpy(np.int64)
         held = [np.zeros(0, np.int64)] * 3
         new: list[tuple[np.ndarray, ...]] = []
         size = 0
-        for a, b in trie_pairs(groups, rest, left, BUDGET):
-            far = np.bitwise_count(whole[a] ^ whole[b]).sum(axis=1, dtype=np.int64)
-            near = far <= FAR
-            new.append((a[near], b[near], far[near]))
-            size += int(near.sum())
-            if size > _PAIRS:
-                held, new, size = _forest(*(np.concatenate(c) for c in zip(held, *new))), [], 0
-        a, b, _ = _forest(*(np.concatenate(c) for c in zip(held, *new)))
-        return pd.DataFrame({"a": np.minimum(cls[a], cls[b]), "b": np.maximum(cls[a], cls[b])})
 
-    rows = signed.select("cls", *names, F.posexplode("parts").alias("grp", "rest")).withColumn("grp", F.col("grp").cast("bigint"))
+        def pairs() -> pd.DataFrame:
+            a, b, _ = held
+            return pd.DataFrame({"a": np.minimum(cls[a], cls[b]), "b": np.maximum(cls[a], cls[b])})
+
+        for found in met(batch, groups, rest, left):
+            new.append(found)
+            size += len(found[0])
+            if size > _PAIRS:
+                held, new, size = [np.concatenate(c) for c in zip(held, *new)], [], 0
+                if known:
+                    yield pairs()
+                    held = [np.zeros(0, np.int64)] * 3
+                else:
+                    held = _forest(*held)
+        held = [np.concatenate(c) for c in zip(held, *new)]
+        held = held if known else _forest(*held)
+        yield pairs()
+
+    rows = signed.select("cls", "size", *known, *names, F.posexplode("parts").alias("grp", "rest"))
+    rows = rows.withColumn("grp", F.col("grp").cast("bigint"))
     return trie_join(rows, PART, BUDGET, most, connect, "a bigint, b bigint").distinct()
 
 
@@ -151,18 +177,24 @@ def _id(docs: DataFrame) -> list[Column]:
 
 
 def classes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """One row for each class of equal texts, written: cls, its first id (no_id, id), signature and fingerprints."""
+    """One row for each class of equal texts, written: cls, its first id (no_id, id), shingles, signature and fingerprints."""
     names = [f"s{k}" for k in range(LANES)]
     slim = docs.select(_text_class(docs).alias("cls"), *_id(docs), F.col("text").cast("string").alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_texts = batch.column(3).to_pylist()
-            found = [signatures(all_texts[cut], width) for cut in slices(all_texts)]
-            found = np.concatenate(found) if found else np.zeros((0, LANES), np.uint64)
-            columns = [*(pa.array(c) for c in found.view(np.int64).T), pa.array(fingerprints(found).tolist(), pa.list_(pa.int64()))]
+            found, sizes = [np.zeros((0, LANES), np.uint64)], [np.zeros(0, np.int64)]
+            for cut in slices(all_texts):
+                of, h = shingles(all_texts[cut], width)
+                found.append(_signed(of, h, cut.stop - cut.start))
+                sizes.append(np.bincount(of, minlength=cut.stop - cut.start))
+            found = np.concatenate(found)
+            columns = [pa.array(c) for c in (np.concatenate(sizes), *found.view(np.int64).T)]
+            columns.append(pa.array(fingerprints(found).tolist(), pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["cls", "no_id", "id", *names, "parts"])
 
+    names = ["size", *names]
     longs = ", ".join(f"{c} bigint" for c in names)
     signed = slim.mapInArrow(sign, f"cls bigint, no_id boolean, id bigint, {longs}, parts array<bigint>")
     # A class of very many copies leaves each task as one row.
@@ -172,9 +204,8 @@ def classes(docs: DataFrame, width: int = 5) -> DataFrame:
     return materialize(one.select("cls", "first.no_id", "first.id", *names, "parts"), "classes")
 
 
-def groups(docs: DataFrame, of_text: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
-    """(cls, no_id, id, label): the classes ``of_text`` of ``docs``; those reachable over near copies share a label."""
-    pairs = materialize(candidates(of_text, most), "near")
+def _verified(docs: DataFrame, of_text: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The (a, b) of ``pairs`` of classes whose texts overlap to ``similarity`` or more, written."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
     chosen = of_text.join(wanted, "cls", "left_semi").select("cls", "no_id", "id")
     # A class's text is fetched from the rows of its first id: copies under other ids do not meet here.
@@ -183,8 +214,32 @@ def groups(docs: DataFrame, of_text: DataFrame, width: int = 5, similarity: floa
     texts = materialize(texts.select("cls", "text"), "texts")
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("y"))
-    verified = materialize(_overlap(pairs.join(left, "a").join(right, "b"), width, similarity), "links")
-    labels = connected_components(verified).withColumnRenamed("node", "cls")
+    return materialize(_overlap(pairs.join(left, "a").join(right, "b"), width, similarity), "links")
+
+
+def _apart(of_text: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The classes, with their ``label``, that ``pairs`` connect to a class of another label; written.
+
+    What a forest of met pairs does not connect is not met, so all other classes have their final label.
+    """
+    if pairs.join(links, ["a", "b"], "left_anti").isEmpty():
+        return of_text.withColumn("label", F.col("cls")).limit(0)
+    met = connected_components(pairs).withColumnRenamed("node", "cls").withColumnRenamed("label", "met")
+    named = met.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    several = named.groupBy("met").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return materialize(of_text.join(named.join(several, "met", "left_semi").select("cls", "label"), "cls"), "apart")
+
+
+def groups(docs: DataFrame, of_text: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
+    """(cls, no_id, id, label): the classes ``of_text`` of ``docs``; those reachable over near copies share a label."""
+    pairs = materialize(candidates(of_text, similarity, most), "near")
+    links = _verified(docs, of_text, pairs, width, similarity)
+    labels = connected_components(links).withColumnRenamed("node", "cls")
+    apart = _apart(of_text, pairs, links, labels)
+    if not apart.isEmpty():
+        more = candidates(apart, similarity, most).join(pairs, ["a", "b"], "left_anti")
+        more = _verified(docs, of_text, materialize(more, "near"), width, similarity)
+        labels = connected_components(links.union(more)).withColumnRenamed("node", "cls")
     named = of_text.select("cls", "no_id", "id").join(labels, "cls", "left")
     return named.withColumn("label", F.coalesce("label", "cls"))
 

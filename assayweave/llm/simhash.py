@@ -27,7 +27,7 @@ from .common import connected_components, tasks_for, whole_groups
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLOCK = 1 << 16
 _FRONTIER = 1 << 20
-Connect = Callable[[pd.DataFrame, np.ndarray, np.ndarray, int], pd.DataFrame]
+Connect = Callable[[pd.DataFrame, np.ndarray, np.ndarray, int], Iterator[pd.DataFrame]]
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -199,7 +199,7 @@ def trie_join(rows: DataFrame, bits: int, budget: int, most: int, connect: Conne
         def walk(batches: Iterator[pd.DataFrame], left: int = bits) -> Iterator[pd.DataFrame]:
             for batch in whole_groups(batches, "grp"):
                 rest = batch["rest"].to_numpy(np.int64).astype(np.uint64)
-                yield connect(batch, batch["grp"].to_numpy(np.int64), rest, left)
+                yield from connect(batch, batch["grp"].to_numpy(np.int64), rest, left)
 
         pairs = now.repartition(tasks, "grp").sortWithinPartitions("grp", "rest").mapInPandas(walk, schema)
         found = pairs if found is None else found.union(pairs)
@@ -214,10 +214,10 @@ def links(distinct_fps: DataFrame, budget: int = 3, most: int = 1 << 16) -> Data
     Linked fingerprints are connected by the result, not every pair is listed. ``most`` bounds a unit of work.
     """
 
-    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> pd.DataFrame:
+    def connect(batch: pd.DataFrame, groups: np.ndarray, rest: np.ndarray, left: int) -> Iterator[pd.DataFrame]:
         fps = batch["fp"].to_numpy(np.int64)
         a, b = trie_links(groups, rest, left, budget)
-        return pd.DataFrame({"a": fps[a], "b": fps[b]})
+        yield pd.DataFrame({"a": fps[a], "b": fps[b]})
 
     rows = distinct_fps.select("fp", F.lit(0).cast("bigint").alias("grp"), F.col("fp").alias("rest"))
     return trie_join(rows, 64, budget, most, connect, "a bigint, b bigint")

@@ -134,6 +134,23 @@ def test_near_copies_of_odd_rows(spark):
     assert near_copies.deduplicate(odd.empty(spark)).count() == 0
 
 
+def test_a_family_around_the_limit_is_one_group(spark):
+    # most met pairs fail the overlap, so a forest of the nearest ones falls apart when it is verified
+    rng = random.Random(0)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(vocabulary) for _ in range(225)]
+    rows = []
+    for i in range(150):
+        copy = list(base)
+        for at in rng.sample(range(225), 3):
+            copy[at] = rng.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    sets = [set(shingles(t, 5)) for _, t in rows]
+    near = [(i, j) for i in range(150) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(near) < 1200 and set(components(150, near)) == {0}
+    assert [r.doc_id for r in near_copies.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()] == [0]
+
+
 def items_frame(spark, rows):
     return spark.createDataFrame(rows, "item_id bigint, text string, doc_id int, n_item string")
 
