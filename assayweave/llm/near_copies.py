@@ -2,8 +2,10 @@
 
 Two texts whose shingle sets overlap by 0.8 differ in about 15 of 100 SimHash bits, too many for one trie. So a
 text gets a signature of 256 bits, read as eight fingerprints of 32 neighbouring bits and as eight of every eighth
-bit, and each of them is joined with a budget of 3: a pair at 0.8 is met in one of the sixteen by a chance of
-about 99 in 100, at 0.9 of more than 999 in 1000.
+bit, and each of them is joined with a budget of 3: a pair of longer texts at 0.8 is met in one of the sixteen
+by a chance of 98 to 99 in 100 (measured), at 0.9 of more than 999 in 1000 (calculated).
+A signature of few shingles strays further, so texts of up to FEW shingles are also joined exactly: two sets at 0.8
+share one of their rarest shingles (prefix filter), and the sets that hold it are compared where they meet.
 Pairs that are met are kept if their whole signatures are near, first as a forest that prefers the nearest pairs,
 and verified by the exact overlap of the shingles. A pair that the forest left out is connected by it, but maybe
 over pairs that fail; so where one failed, all met pairs between texts still apart are verified as well.
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import connected_components
+from .common import connected_components, tasks_for, whole_groups
 from .simhash import trie_join, trie_pairs
 from .textnp import Runs, mix, slices, words
 
@@ -30,6 +32,10 @@ LANES, PART, BUDGET = 4, 32, 3
 SEED = 71
 #: Signatures that differ in more bits are not verified: a pair at 0.8 has 39 by expectation, 5.7 either way.
 FAR = 58
+#: Texts of so many distinct shingles at most also meet by their rarest shingles.
+FEW = 64
+#: Shingles of more such texts count as common and by their frequency; all others are ranked by hash.
+COMMON = 1000
 _SHINGLES = 1 << 15
 _PAIRS = 1 << 20
 
@@ -143,6 +149,92 @@ def candidates(signed: DataFrame, similarity: float = 0.8, most: int = 1 << 14)
     return trie_join(rows, PART, BUDGET, most, connect, "a bigint, b bigint").distinct()
 
 
+def _set_links(sets: np.ndarray, of: np.ndarray, n: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) that connect what the pairs of ``n`` sets at ``similarity`` connect; ``of`` numbers the sets' members."""
+    values, at = np.unique(sets, return_inverse=True)
+    size = np.bincount(of, minlength=n)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    member = np.full((n, size.max()), len(values))
+    member[of, nth] = at
+    marked = np.zeros(len(values) + 1, bool)
+    label = np.arange(n)
+    left, right = [], []
+    for i in range(n - 1):
+        j = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        j = j[np.minimum(size[j], size[i]) >= similarity * np.maximum(size[j], size[i])]
+        if not len(j):
+            continue
+        marked[member[i, : size[i]]] = True
+        both = marked[member[j]].sum(axis=1)
+        marked[member[i, : size[i]]] = False
+        j = j[both >= similarity * (size[i] + size[j] - both)]
+        joined, first = np.unique(label[j], return_index=True)
+        left.append(np.full(len(first), i))
+        right.append(j[first])
+        label[np.isin(label, joined)] = label[i]
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def few_links(of_text: DataFrame, similarity: float = 0.8, block: int = 1024) -> DataFrame:
+    """Links (a, b) that connect the texts (``cls``, few) of at most FEW shingles as all their pairs at ``similarity`` do.
+
+    A shingle that ranks among the rarest of more than ``block`` texts has them in blocks, compared two by two.
+    """
+    few = of_text.where(F.size("few") > 0).select("cls", "few")
+    often = few.select(F.explode("few").alias("token")).groupBy("token").count().where(F.col("count") > COMMON).toPandas()
+    often = often.sort_values("token")
+    shared = few.sparkSession.sparkContext.broadcast((often["token"].to_numpy(np.int64), often["count"].to_numpy(np.int64)))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, counts = shared.value
+        for batch in batches:
+            size = batch.column(1).value_lengths().to_numpy().astype(np.int64)
+            of, h = np.repeat(np.arange(len(size)), size), batch.column(1).flatten().to_numpy()
+            rank = np.zeros(len(h), np.int64)
+            if len(tokens):
+                at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+                rank = np.where(tokens[at] == h, counts[at], 0)
+            order = np.lexsort((h, rank, of))
+            of, h = of[order], h[order]
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+            # two sets share at least this many shingles of either; the margin is for rounding
+            least = np.ceil(similarity * size - 1e-9).astype(np.int64)
+            keep = nth <= (size - least)[of]
+            taken = batch.take(pa.array(of[keep]))
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), *taken.columns], ["token", "cls", "few"])
+
+    placed = materialize(few.mapInArrow(rarest, "token bigint, cls bigint, few array<bigint>"), "rarest")
+    large = placed.groupBy("token").count().where(F.col("count") > block).select("token", F.ceil(F.col("count") / block).alias("blocks"))
+    # At most a block'th of the rows have a token of their own here.
+    blocked = placed.join(F.broadcast(large), "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own, other = F.pmod(F.xxhash64("cls"), F.col("blocks")), F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    units = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(
+        F.transform(F.filter(other, lambda y: y != own), lambda y: F.least(y, own) * F.col("blocks") + F.greatest(y, own))
+    )
+    met = blocked.select("token", "cls", "few", F.explode(units).alias("unit")).withColumn("grp", F.xxhash64("token", "unit"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in whole_groups(batches, "grp"):
+            cls, sets = batch["cls"].to_numpy(np.int64), batch["few"].to_numpy()
+            grp = batch["grp"].to_numpy(np.int64)
+            cuts = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1], True])
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if end - begin < 2:
+                    continue
+                own = sets[begin:end]
+                of = np.repeat(np.arange(end - begin), [len(x) for x in own])
+                a, b = _set_links(np.concatenate(own), of, end - begin, similarity)
+                left.append(cls[begin + a])
+                right.append(cls[begin + b])
+            a, b = np.concatenate(left), np.concatenate(right)
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    dealt = met.select("grp", "cls", "few").repartition(tasks_for(few), "grp").sortWithinPartitions("grp")
+    return dealt.mapInPandas(compare, "a bigint, b bigint").where("a <> b").distinct()
+
+
 def _overlap(pairs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The (a, b) of rows (a, b, x, y: texts) whose distinct shingles overlap to ``similarity`` or more."""
 
@@ -177,31 +269,35 @@ def _id(docs: DataFrame) -> list[Column]:
 
 
 def classes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """One row for each class of equal texts, written: cls, its first id (no_id, id), shingles, signature and fingerprints."""
+    """One row for each class of equal texts, written: cls, its first id (no_id, id), size, signature, fingerprints
+    and, up to FEW, its shingles."""
     names = [f"s{k}" for k in range(LANES)]
     slim = docs.select(_text_class(docs).alias("cls"), *_id(docs), F.col("text").cast("string").alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_texts = batch.column(3).to_pylist()
-            found, sizes = [np.zeros((0, LANES), np.uint64)], [np.zeros(0, np.int64)]
+            found, sizes, few = [np.zeros((0, LANES), np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for cut in slices(all_texts):
                 of, h = shingles(all_texts[cut], width)
                 found.append(_signed(of, h, cut.stop - cut.start))
                 sizes.append(np.bincount(of, minlength=cut.stop - cut.start))
-            found = np.concatenate(found)
-            columns = [pa.array(c) for c in (np.concatenate(sizes), *found.view(np.int64).T)]
+                few.append(h[sizes[-1][of] <= FEW])
+            found, sizes = np.concatenate(found), np.concatenate(sizes)
+            columns = [pa.array(c) for c in (sizes, *found.view(np.int64).T)]
             columns.append(pa.array(fingerprints(found).tolist(), pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["cls", "no_id", "id", *names, "parts"])
+            ends = np.r_[0, np.cumsum(np.where(sizes <= FEW, sizes, 0))].astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(few).view(np.int64))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["cls", "no_id", "id", *names, "parts", "few"])
 
     names = ["size", *names]
     longs = ", ".join(f"{c} bigint" for c in names)
-    signed = slim.mapInArrow(sign, f"cls bigint, no_id boolean, id bigint, {longs}, parts array<bigint>")
+    signed = slim.mapInArrow(sign, f"cls bigint, no_id boolean, id bigint, {longs}, parts array<bigint>, few array<bigint>")
     # A class of very many copies leaves each task as one row.
     one = signed.groupBy("cls").agg(
-        F.min(F.struct("no_id", "id")).alias("first"), *[F.first(c).alias(c) for c in [*names, "parts"]]
+        F.min(F.struct("no_id", "id")).alias("first"), *[F.first(c).alias(c) for c in [*names, "parts", "few"]]
     )
-    return materialize(one.select("cls", "first.no_id", "first.id", *names, "parts"), "classes")
+    return materialize(one.select("cls", "first.no_id", "first.id", *names, "parts", "few"), "classes")
 
 
 def _verified(docs: DataFrame, of_text: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -233,7 +329,8 @@ def _apart(of_text: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataF
 def groups(docs: DataFrame, of_text: DataFrame, width: int = 5, similarity: float = 0.8, most: int = 1 << 14) -> DataFrame:
     """(cls, no_id, id, label): the classes ``of_text`` of ``docs``; those reachable over near copies share a label."""
     pairs = materialize(candidates(of_text, similarity, most), "near")
-    links = _verified(docs, of_text, pairs, width, similarity)
+    short = materialize(few_links(of_text, similarity), "few")
+    links = _verified(docs, of_text, pairs, width, similarity).union(short)
     labels = connected_components(links).withColumnRenamed("node", "cls")
     apart = _apart(of_text, pairs, links, labels)
     if not apart.isEmpty():

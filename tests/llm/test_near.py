@@ -151,6 +151,32 @@ def test_a_family_around_the_limit_is_one_group(spark):
     assert [r.doc_id for r in near_copies.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()] == [0]
 
 
+def test_near_copies_of_few_shingles_are_all_found(spark):
+    rng = random.Random(4)
+    texts = []
+    for n in [8] * 150 + [16] * 50 + [40] * 20:  # at 0.8: a fifth of the shingles is added
+        base = [f"v{rng.randrange(10**9)}" for _ in range(n)]
+        texts += [" ".join(base), " ".join(base + [f"v{rng.randrange(10**9)}" for _ in range((n - 4) // 4)])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(r.doc_id for r in near_copies.deduplicate(df).collect())
+    assert got == list(range(0, len(texts), 2))
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_links_of_few_shingles_connect_like_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(near_copies, "COMMON", 30)  # so that the rank by frequency is used
+    rng = random.Random(block)
+    sets = []
+    for _ in range(12):
+        base = rng.sample(range(5000), rng.choice([3, 10, 30, 64]))
+        sets += [{*rng.sample(base, max(1, len(base) - rng.randrange(1 + len(base) // 5))), *rng.sample(range(40), rng.choice([0, 0, 1]))} for _ in range(25)]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)] + [(-1, [])], "cls bigint, few array<bigint>")
+    got = [(r.a, r.b) for r in near_copies.few_links(df, 0.8, block).collect()]
+    assert set((b, a) for a, b in got) <= set(near)
+    assert components(len(sets), got) == components(len(sets), near)
+
+
 def items_frame(spark, rows):
     return spark.createDataFrame(rows, "item_id bigint, text string, doc_id int, n_item string")
 
