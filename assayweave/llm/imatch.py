@@ -6,6 +6,9 @@ down: two texts agree in a part if they hold the same of its terms, which for pa
 happens as often as the texts' terms overlap. So likeness is measured from fingerprints alone, from equal texts
 down to halves in common.
 
+Terms of a text that very many rows repeat lie outside the band. So every text also has signatures over randomised
+parts of all its terms, and the fewer of its terms lie in the band, the more these count in a comparison.
+
 The lexicon is broadcast. Its size is bounded for every corpus: a document has ``T`` distinct terms on average,
 so at most ``T / low`` terms occur in the share ``low`` of all documents.
 """
@@ -26,6 +29,8 @@ from .textnp import NO_TERM, mix, slices, words
 
 LOW, HIGH = 0.0005, 0.1
 SCALES, SUBSETS = 6, 24
+#: With this share of its terms in the band and more, a text is compared by them alone.
+ENOUGH = 0.25
 SEED = 31
 
 
@@ -74,21 +79,21 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> tuple[np.n
     return np.sort(kept["term"].to_numpy(np.int64).view(np.uint64)), n
 
 
-def signatures(texts: list[str | None], lexicon_terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature of 64 bits, parts[text, scale, subset] of 16 bits, 0 for a part without a term) of each text.
+def signatures(texts: list[str | None], lexicon_terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature of 64 bits, parts[text, set, scale, subset] of 16 bits, share of 16 bits) of each text.
 
-    A text without a lexicon term is fingerprinted by all its terms; a text without terms has zeros only.
+    Set 0 has the lexicon terms, set 1 all terms; a part without a term is 0. The share is that of distinct terms
+    in the lexicon, 65535 for all. The signature of a text without a lexicon term hashes all its terms; a text
+    without terms has zeros only.
     """
-    of, h = _terms(texts)
+    of, h = _distinct(*_terms(texts))
     if len(lexicon_terms):
         at = np.minimum(np.searchsorted(lexicon_terms, h), len(lexicon_terms) - 1)
         inside = lexicon_terms[at] == h
     else:
         inside = np.zeros(len(h), bool)
-    some = np.zeros(len(texts), bool)
-    some[of[inside]] = True
-    use = inside | ~some[of]
-    of, h = _distinct(of[use], h[use])
+    n_inside = np.bincount(of[inside], minlength=len(texts))
+    share = n_inside * 65535 // np.maximum(np.bincount(of, minlength=len(texts)), 1)
 
     def sums(member: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Hash of each text's members, 0 without any."""
@@ -98,41 +103,57 @@ def signatures(texts: list[str | None], lexicon_terms: np.ndarray) -> tuple[np.n
         total = mix(running[cuts[1:]] - running[cuts[:-1]])
         return np.where(cuts[1:] > cuts[:-1], total, np.uint64(0))
 
-    whole = sums(np.arange(len(h)), h)
-    parts = np.zeros((len(texts), SCALES, SUBSETS), np.uint16)
+    whole = sums(np.flatnonzero(inside | (n_inside == 0)[of]), h)
+    parts = np.zeros((len(texts), 2, SCALES, SUBSETS), np.uint16)
     for subset in range(SUBSETS):
         u = mix(h + mix(np.arange(subset + 1, subset + 2).astype(np.uint64)))
         member = np.arange(len(h))
-        for scale in range(SCALES):  # a quarter of the lexicon, a sixteenth, ...: each inside the one before
+        for scale in range(SCALES):  # a quarter of the terms, a sixteenth, ...: each inside the one before
             member = member[(u[member] >> np.uint64(2 * scale)) & np.uint64(3) == 0]
-            digest = sums(member, u)
-            parts[:, scale, subset] = np.where(digest > 0, digest % np.uint64(65535) + np.uint64(1), 0)
-    return whole, parts
+            for kind, some in enumerate((member[inside[member]], member)):
+                digest = sums(some, u)
+                parts[:, kind, scale, subset] = np.where(digest > 0, digest % np.uint64(65535) + np.uint64(1), 0)
+    return whole, parts, share.astype(np.uint16)
 
 
-def text_form(whole: np.ndarray, parts: np.ndarray) -> list[str]:
-    """Fingerprints as text: 16 hex digits of the signature, then 4 for every part."""
+def text_form(whole: np.ndarray, parts: np.ndarray, share: np.ndarray) -> list[str]:
+    """Fingerprints as text: 16 hex digits of the signature, then 4 for every part and for the share."""
     lead = whole.astype(">u8").tobytes().hex()
-    rest = parts.reshape(len(whole), -1).astype(">u2").tobytes().hex()
-    n = 4 * SCALES * SUBSETS
+    rest = np.concatenate((parts.reshape(len(whole), -1), share[:, None]), axis=1).astype(">u2").tobytes().hex()
+    n = 4 * (2 * SCALES * SUBSETS + 1)
     return [lead[16 * i : 16 * i + 16] + rest[n * i : n * i + n] for i in range(len(whole))]
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """0 to 1 for each pair of fingerprints: 1 for equal signatures, else the share of parts that agree.
+Signed = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _agreement(a: np.ndarray, b: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """The share of parts[pair, scale, subset] that agree; ``equal`` where there are none.
 
     Counted are parts in which either text has a term, on the scales where that is so in at most four of
     five parts: larger parts hold many terms of a text and all but never agree. If there is no such scale, the
     finest one counts.
     """
-    either = (a[1] > 0) | (b[1] > 0)
-    same = either & (a[1] == b[1])
+    either = (a > 0) | (b > 0)
+    same = either & (a == b)
     filled = either.mean(axis=2)
     use = (filled > 0) & (filled <= 0.8)
     use[:, -1] |= ~use.any(axis=1)
     agree = (same.sum(axis=2) * use).sum(axis=1)
     seen = (either.sum(axis=2) * use).sum(axis=1)
-    return np.where(a[0] == b[0], 1.0, agree / np.maximum(seen, 1))
+    return np.where(seen > 0, agree / np.maximum(seen, 1), equal)
+
+
+def likeness(a: Signed, b: Signed) -> np.ndarray:
+    """0 to 1 for each pair of fingerprints: agreement by lexicon terms, 1 for equal signatures, and by all terms.
+
+    The lexicon terms count by the smaller share of them in the two texts, from ``ENOUGH`` alone.
+    """
+    equal = (a[0] == b[0]).astype(float)
+    band = np.maximum(_agreement(a[1][:, 0], b[1][:, 0], equal), equal)
+    every = _agreement(a[1][:, 1], b[1][:, 1], equal)
+    weight = np.minimum(np.minimum(a[2], b[2]) / (65535 * ENOUGH), 1.0)
+    return np.where(weight < 1, every + weight * (band - every), band)
 
 
 def fingerprint(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:

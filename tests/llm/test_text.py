@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -70,6 +71,22 @@ def test_likeness_tells_edited_from_unrelated(spark):
     assert (long.near_edited > long.near_next).mean() > 0.95
 
 
+def test_likeness_of_a_text_that_a_third_of_the_rows_repeat(spark):
+    rng = random.Random(3)
+    rare = [f"rare{i}" for i in range(3000)]
+    group = " ".join(f"shared{i}" for i in range(120))
+    rows = []
+    for i in range(50):  # by descending id: copy, near copy, copy, other, other
+        others = [" ".join(rng.choice(rare) for _ in range(120)) for _ in range(2)]
+        near = group.replace("shared7 ", rng.choice(rare) + " ")
+        rows += [(10 * i + k, t) for k, t in zip((5, 4, 3, 2, 1), (group, near, group, *others))]
+    got = imatch.edited_likeness(spark.createDataFrame(rows, "doc_id bigint, text string")).toPandas()
+    place = got.doc_id % 10
+    assert got[place.isin([5, 4])].near_next.min() > 0.7  # copy and near copy, either way
+    assert got[place == 3].near_edited.mean() > 0.1 and got[place == 3].near_next.max() < 0.1
+    assert got[place == 2].near_next.max() < 0.2
+
+
 # --- HTML ------------------------------------------------------------------------------
 
 PAGE = (
