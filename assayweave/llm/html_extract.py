@@ -4,7 +4,9 @@ A page is a sequence of words and tags. A word scores by where it stands (its bl
 of the elements around it), a tag by its name; the weights are log odds counted on labelled pages, so words of
 articles score above 0 and tags, menus and the like below. One linear scan finds the contiguous region with the
 highest sum. In the region, blocks of negative score and blocks inside elements that are never article text
-(scripts, forms, sidebars, comments, ...) are left out.
+(scripts, menus, ...) are left out. A form, or a class, id or role that speaks of a sidebar, comments or the like,
+takes from a word's score by how little of the page's text the element holds: one that holds all of it wraps the
+page and takes nothing.
 
 Labelled pages are those that mark their article themselves, with ``article`` or ``main``.
 """
@@ -42,7 +44,11 @@ _INLINE = set(
     "span strike strong sub sup time tt u var wbr img".split()
 )
 _MARKED = {"article", "main"}
-_NEVER = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "button", "head"}
+#: Elements that the lists below do not judge: they hold the page or its article.
+_WHOLE = {"html", "body", *_MARKED}
+_NEVER = {"nav", "footer", "aside", "header", "menu", "dialog", "button", "head"}
+#: What a form or an element of these names takes from the score, times the share of the text that is not in it.
+_ASIDE = 16.0
 _NEVER_NAMES = set(
     "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie "
     "cookies disqus footer menu modal nav navbar navigation newsletter notice pagination popup promo "
@@ -51,16 +57,18 @@ _NEVER_NAMES = set(
 
 
 class _Element:
-    __slots__ = ("name", "marked", "never", "link", "names", "block")
+    __slots__ = ("name", "parent", "marked", "hard", "soft", "never", "penalty", "n_words", "n_marked", "link", "names", "block")
 
     def __init__(self, name: str, parent: _Element | None, names: frozenset[str]):
-        self.name = name
+        self.name, self.parent = name, parent
         self.link = name == "a" or bool(parent and parent.link)
         self.marked = name in _MARKED or bool(parent and parent.marked)
         inside = parent is not None and parent.marked
         # A header inside the article holds its headline; anywhere else it is the page's.
-        own = (name in _NEVER and not (name == "header" and inside)) or bool(names & _NEVER_NAMES) or name in _RAW
-        self.never = own or bool(parent and parent.never)
+        self.hard = name in _NEVER and not (name == "header" and inside)
+        self.soft = name not in _WHOLE and (name == "form" or bool(names & _NEVER_NAMES))
+        self.never, self.penalty = False, 0.0
+        self.n_words = self.n_marked = 0
         self.block = (parent.block if parent else "body") if name in _INLINE else name
         if parent and not names:
             self.names = parent.names
@@ -68,6 +76,31 @@ class _Element:
             self.names = (parent.names if parent else frozenset()) | names
 
 
+def _judge(elements: list[_Element]) -> None:
+    """Set ``never`` and ``penalty`` of a page's elements, parents first, by the words counted in each.
+
+    What a page marks as its article decides, else all words outside ``_NEVER``.
+    """
+    for e in elements:
+        e.never = e.name != "body" and (e.hard or bool(e.parent and e.parent.never))
+    own = [(e, e.n_words) for e in elements]
+    marked = any(e.marked and n for e, n in own)
+    for e, n in own:
+        e.n_words, e.n_marked = (0 if e.never else n), (n if e.marked else 0)
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.n_words += e.n_words
+            e.parent.n_marked += e.n_marked
+    whole = elements[0].n_marked if marked else elements[0].n_words
+    for e in elements:
+        share = (e.n_marked if marked else e.n_words) / whole if whole else 0.0
+        above = e.parent if e.name != "body" else None
+        e.penalty = above.penalty if above else 0.0
+        if e.soft or e.hard and marked:
+            e.penalty = min(e.penalty, -_ASIDE * (1 - share))
+        e.never = bool(above and above.never) or e.penalty <= -_CLIP or e.hard and not marked
+
+
 def _names(rest: str) -> frozenset[str]:
     if "=" not in rest:
         return frozenset()
@@ -78,11 +111,26 @@ def _names(rest: str) -> frozenset[str]:
 def events(page: str) -> Iterator[tuple[str, object, _Element]]:
     """('tag', name, element around it) and ('text', decoded text, element it is in), in page order.
 
+    The page is read to its end before the first is given, for an element is judged by what it holds.
+    """
+    elements: list[_Element] = []
+    found = list(_parsed(page, elements))
+    for kind, value, element in found:
+        if kind == "text":
+            element.n_words += len(value.split())
+    _judge(elements)
+    return iter(found)
+
+
+def _parsed(page: str, elements: list[_Element]) -> Iterator[tuple[str, object, _Element]]:
+    """The events of a page, whose elements are listed in ``elements``.
+
     Raw elements (scripts, styles, ...) yield their tag only. End tags close the nearest element of their name
     and all inside it; a paragraph also ends where the next block begins. Nothing is required to be closed.
     """
     root = _Element("body", None, frozenset())
     stack = [root]
+    elements.append(root)
     open_: Counter = Counter()
     at = 0
     for_search = _TAG.search
@@ -122,6 +170,7 @@ def events(page: str) -> Iterator[tuple[str, object, _Element]]:
         if m["rest"].endswith("/>") and name not in _INLINE:
             continue
         stack.append(_Element(name, stack[-1], _names(m["rest"])))
+        elements.append(stack[-1])
         open_[name] += 1
 
 
@@ -142,6 +191,7 @@ class Weights:
         total = self.base + sum(self.words.get(f, 0.0) for f in _features(element))
         if element.marked:
             total = max(total, 1.0)
+        total += element.penalty
         return max(-_CLIP, min(_CLIP, total))
 
     def tag(self, name: str) -> float:

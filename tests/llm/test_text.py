@@ -134,6 +134,31 @@ def test_extraction_of_odd_pages(weights, page, want):
     assert got == want or (page or "").startswith("<div><div>") and got == ""
 
 
+STORY = "<p>This is the story of the page, and it has many words in it.</p><p>It goes on with a second paragraph of words.</p>"
+STORY_TEXT = "This is the story of the page, and it has many words in it. It goes on with a second paragraph of words."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="no-sidebar"><nav><a href=x>One</a></nav>{}</body>',
+        '<html class="no-comments"><head><body>{}</body></html>',
+        '<body><main class="with-sidebar">{}</main></body>',
+        '<body><article class="social share">{}</article></body>',
+        '<body><div id="search-results">{}</div></body>',
+        '<body><div id="search-results"><article>{}</article></div></body>',
+        '<body><form action="/x"><input>{}</form></body>',
+        '<body><form action="/x"><div class="widget"><main>{}</main></div><footer>All rights reserved</footer></form></body>',
+        '<body><aside><article>{}</article></aside></body>',
+        '<body><article>{}</article><div class="related"><p>Read some more of this.</p></div></body>',
+        '<body><div>{}</div><div class="comments"><p>I liked this a lot.</p></div><form><p>Your mail</p></form></body>',
+    ],
+)
+def test_names_of_a_wrapper_do_not_empty_the_page(weights, page):
+    assert html_extract.extract(page.replace("{}", STORY), weights) == STORY_TEXT
+    assert html_extract.extract(page.replace("{}", STORY), html_extract.PLAIN) == STORY_TEXT
+
+
 def test_extraction_equals_the_marked_articles(spark):
     import html
 
