@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import decontaminate, html_extract, imatch, langid, mixing, negatives, pii, recompression, simhash, spelling, token_output, toxicity
+from . import (
+    decontaminate,
+    html_extract,
+    imatch,
+    langid,
+    mixing,
+    negatives,
+    pii,
+    recompression,
+    simhash,
+    spelling,
+    token_counts,
+    token_output,
+    toxicity,
+)
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +97,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.usable(table(spark, sf_dir, "embeddings")))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", n_bytes)
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_text=False)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_decontaminate": op2_decontaminate,
@@ -96,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling": op11_spelling,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_counts": op13_token_counts,
 }
 
 _A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
