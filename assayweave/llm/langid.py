@@ -114,18 +114,20 @@ class Model:
 
 
 def fit(docs: DataFrame, learns: Column, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
-    """Fit on rows of ``docs`` (text, lang) where ``learns`` holds, about ``sample`` of each language at most.
+    """Fit on rows of ``docs`` (doc_id, text, lang) where ``learns`` holds, about ``sample`` of each language at most.
 
-    Rows are chosen by a hash of text and language; NULL languages and texts without letters teach nothing.
-    The languages are the distinct values of lang: one row each is gathered.
+    Rows are chosen by a hash of id, text and language, so copies of a text under other ids are chosen one by one; NULL
+    languages and texts without letters teach nothing. The languages are the distinct values of lang: one row
+    each is gathered. Every language counts alike, however many rows it has in the table or in the sample.
     """
-    texts = docs.where(learns & F.col("lang").isNotNull()).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    known = docs.where(learns & F.col("lang").isNotNull())
+    texts = known.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("bigint").alias("id"))
     texts = texts.where(F.col("text").rlike(r"\p{L}"))
     counts = {r.lang: r.n for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], None, None)
-    order = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
+    order = F.pmod(F.xxhash64("text", "lang", "id"), F.lit(1 << 30))
 
     def at_most(n: int) -> Column:
         """About ``n`` rows of each language at most: a threshold on the hash per language."""
@@ -133,7 +135,9 @@ def fit(docs: DataFrame, learns: Column, sample: int = SAMPLE, landmarks: int =
         return order < F.create_map(*limits)[F.col("lang")]
 
     rows = materialize(texts.where(at_most(sample)), "languages")
-    chosen = rows.where(at_most(landmarks)).select("text").orderBy("text").collect()
+    # Twice the expected number at most: rows that repeat an id and its text are chosen together.
+    chosen = rows.where(at_most(landmarks)).orderBy(order, "text").limit(2 * landmarks * len(languages)).select("text").collect()
+    taken = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not chosen:  # few rows, and no hash below the threshold
         chosen = rows.orderBy("text").limit(landmarks).select("text").collect()
     marks = Landmarks([r.text for r in chosen])
@@ -144,7 +148,7 @@ def fit(docs: DataFrame, learns: Column, sample: int = SAMPLE, landmarks: int =
             for cut in batches_of(texts_):
                 x = marks.features(texts_[cut])
                 y = np.array([[1.0 if c == lang else -1.0 for c in languages] for lang in langs[cut]])
-                weight = np.array([1 / counts[lang] for lang in langs[cut]])  # every language counts alike
+                weight = np.array([1 / taken[lang] for lang in langs[cut]])  # by its rows in the sample
                 part = np.c_[x.T @ (x * weight[:, None]), x.T @ (y * weight[:, None])]
                 yield pa.RecordBatch.from_arrays([pa.array([part.ravel().tolist()])], ["part"])
 
@@ -158,7 +162,10 @@ def fit(docs: DataFrame, learns: Column, sample: int = SAMPLE, landmarks: int =
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row, where it is read; 'und' with score 0 for texts without a letter."""
+    """(doc_id, lang_pred, score) for every row, where it is read; 'und' with score 0 for texts without a letter.
+
+    NULL and empty texts are 'und'; repeated rows and NULL or repeated ids are rows of their own, equal texts get equal results.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -70,7 +70,7 @@ def bounds(a: Vectors, b: Vectors, level: int) -> tuple[np.ndarray, np.ndarray]:
 
 def exact_scores(a: Vectors, b: Vectors, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Scores of the pairs (i, j), all in 64-bit integers; what does not fit raises."""
-    most = np.abs(a.rows).max(initial=0) * np.abs(b.rows).max(initial=0) * a.rows.shape[1]
+    most = np.prod([np.sqrt(np.square(v.rows).sum(axis=1)).max(initial=0) for v in (a, b)])  # no partial sum is above it
     if most >= 1 << 63:
         raise ArithmeticError("an inner product exceeds 64 bits")
     if most >= _EXACT:

@@ -248,3 +248,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 3, id_col: st
     fps = materialize(fingerprints(docs, width, id_col, text_col), "simhash")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return components(fps, budget, id_col).select(id_col, hexed, "component_id")
+
+
+def deduplicate(docs: DataFrame, width: int = 3, budget: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of linked documents, with all columns of ``docs``.
+
+    Of a group the smallest id stays; NULL ids come last, and of rows that share the id the one read first stays. NULL,
+    empty and wordless texts are one group. Rows are numbered in a written copy, so that repeated rows stay apart and
+    a lost task finds the same numbers.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("number"), row), "numbered")
+    texts = rows.select("number", F.col(f"row.`{text_col}`").alias("text"))
+    fps = materialize(fingerprints(texts, width, "number"), "simhash")
+    ids = rows.select("number", F.col(f"row.`{id_col}`").alias("id"))
+    of = components(fps, budget, "number").join(ids, "number")
+    first = of.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("first"))
+    return rows.join(first.select("first.number"), "number", "left_semi").select("row.*")

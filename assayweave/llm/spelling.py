@@ -25,6 +25,8 @@ from .common import tasks_for
 BLOCK = 1024
 #: Small groups are compared together, up to so many words a tile.
 _TILE = 512
+#: Words of up to so many code points count alike.
+_LONG = 2048
 _FOUND = "word string, n_near bigint, best_n bigint, best string"
 
 
@@ -88,7 +90,7 @@ def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.n
         begin, longest = 0, kept["cls"].to_numpy()
         for i in range(1, len(starts)):
             end, following = starts[i], starts[i + 1] if i + 1 < len(starts) else None
-            if following is None or (following - begin) * max(64, longest[begin:following].max()) > 64 * _TILE:
+            if following is None or (following - begin) * max(_LONG, longest[begin:following].max()) > _LONG * _TILE:
                 number = np.searchsorted(starts, np.arange(begin, end), "right")
                 yield kept.iloc[begin:end], number
                 begin = end
@@ -133,8 +135,8 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     keyed = words.select("word", "n", F.explode(_keys()).alias("o")).select("word", "n", "o.*")
     sizes = keyed.groupBy("cls", "by_suffix", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    # Blocks of long words are smaller, so that a tile's matrices stay as large as those of 64 code points.
-    blocks = F.ceil(F.col("m") * F.greatest(F.col("cls"), F.lit(64)) / (64 * block)).cast("int")
+    # Blocks of very long words are smaller, down to a word, so that a tile's matrices stay in memory.
+    blocks = F.least("m", F.ceil(F.col("m") * F.greatest(F.col("cls"), F.lit(_LONG)) / (_LONG * block))).cast("int")
     placed = (
         keyed.join(sizes, ["cls", "by_suffix", "key"])
         .withColumn("block", F.pmod(F.xxhash64("word"), blocks).cast("int"))

@@ -426,6 +426,8 @@ class Counter:
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
         """Number of tokens of each text."""
+        if not texts:
+            return np.zeros(0, np.int64)
         text = "\n".join(texts) + "\n"  # the character between texts only holds a place
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)

@@ -248,6 +248,17 @@ def test_language_on_held_out_rows(spark):
     assert (got[got.held_out].lang == got[got.held_out].lang_pred).mean() >= 0.99 and got.score.between(0, 1).all()
 
 
+def test_rare_languages_weigh_like_frequent_ones(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and length(text) > 40")
+    common = docs.where("lang <> 'fr'").select(F.explode(F.sequence(F.lit(1), F.lit(200))).alias("copy"), "*")
+    common = common.withColumn("doc_id", F.col("doc_id") + 1_000_000 * F.col("copy")).drop("copy")  # 200 rows for every text
+    rare = docs.where("lang = 'fr'").orderBy("doc_id").limit(20)
+    model = langid.fit(common.union(rare), F.lit(True), sample=60)
+    found = langid.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    right = {r.lang: r.right for r in found.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).collect()}
+    assert len(right) == 4 and min(right.values()) > 0.93, right
+
+
 def test_presence_equals_a_plain_version():
     texts = ["Ab, c", "", None, "éÉ 9 zz", "\U0001f600a"]
     bins = langid.presence(texts)

@@ -215,7 +215,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_pipeline_stages(spark):
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_copies", "decontaminate", "mix", "tokens"]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontaminate", "mix", "tokens"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
     kept = []
