@@ -53,9 +53,14 @@ def one_decimal(x: ColumnOrName) -> Column:
 
 
 def try_int(x: ColumnOrName, target: str = "int") -> Column:
-    """Text or number to integer; '5.0' and '5' are both 5, unreadable text is NULL. Plain integers stay exact."""
+    """Text or number to integer; '5.0' and '5' are both 5, unreadable text is NULL. Plain integers stay exact.
+
+    The text's shape decides how it is read: a cast that fails is caught as an exception, row by row.
+    """
     x = _col(x)
-    return F.coalesce(x.cast("string").try_cast(target), F.rint(x.try_cast("double")).try_cast(target))
+    text = x.cast("string")
+    whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    return F.when(whole, text.try_cast(target)).otherwise(F.rint(x.try_cast("double")).try_cast(target))
 
 
 def molar_potency(value: ColumnOrName, unit: ColumnOrName) -> Column:

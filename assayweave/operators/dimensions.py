@@ -11,8 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .positions import ROWS_PER_RANGE, dense_key
+from .positions import dense_key
 
 COMPOUND_COLUMNS = (
     "molecule_chembl_id",
@@ -35,19 +34,19 @@ COMPOUND_COLUMNS = (
 )
 
 
-def dim_compound(molecules: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    return dense_key(molecules.select(*COMPOUND_COLUMNS), "molecule_chembl_id", "compound_key", rows_per_range)
+def dim_compound(molecules: DataFrame, ranges: int | None = None) -> DataFrame:
+    return dense_key(molecules.select(*COMPOUND_COLUMNS), "molecule_chembl_id", "compound_key", ranges)
 
 
 def dim_target(
-    targets: DataFrame, payload_classes: Sequence[tuple[str, str]], rows_per_range: int = ROWS_PER_RANGE
+    targets: DataFrame, payload_classes: Sequence[tuple[str, str]], ranges: int | None = None
 ) -> DataFrame:
     """Targets with the class from the configured list (as long as the target set)."""
     keyed = dense_key(
         targets.select("target_chembl_id", "pref_name", "target_type", "organism"),
         "target_chembl_id",
         "target_key",
-        rows_per_range,
+        ranges,
     )
     classes = targets.sparkSession.createDataFrame(
         list(payload_classes), "target_chembl_id string, payload_class string"
@@ -57,16 +56,16 @@ def dim_target(
     )
 
 
-def dim_assay(assays: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def dim_assay(assays: DataFrame, ranges: int | None = None) -> DataFrame:
     return dense_key(
         assays.select("assay_chembl_id", "description", "assay_type", "confidence_score"),
         "assay_chembl_id",
         "assay_key",
-        rows_per_range,
+        ranges,
     )
 
 
-def dim_scaffold(cheminfo: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def dim_scaffold(cheminfo: DataFrame, ranges: int | None = None) -> DataFrame:
     """One row per scaffold; the representative generic form is the smallest one."""
     grouped = (
         cheminfo.where(F.col("murcko_scaffold_smiles").isNotNull())
@@ -76,7 +75,7 @@ def dim_scaffold(cheminfo: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
             F.count_distinct("molecule_chembl_id").alias("n_compounds"),
         )
     )
-    return dense_key(materialize(grouped, "scaffolds"), "murcko_scaffold_smiles", "scaffold_key", rows_per_range)
+    return dense_key(grouped, "murcko_scaffold_smiles", "scaffold_key", ranges)
 
 
 def fact_activity(

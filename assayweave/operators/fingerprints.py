@@ -53,8 +53,8 @@ def project_2d(df: DataFrame, key: str, vector: str, min_rows: int = MIN_ROWS_FO
     """Deterministic 2-D coordinates: the two leading principal components.
 
     The covariance is a distributed sum over rows (d x d on the driver, d fixed by the
-    vector length). Each component's sign is fixed by making its largest loading positive.
-    Below ``min_rows`` usable rows the result is empty.
+    vector length). Each component's sign is fixed by making its largest loading positive, of
+    equally large ones the first. Below ``min_rows`` usable rows the result is empty.
     """
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -65,7 +65,7 @@ def project_2d(df: DataFrame, key: str, vector: str, min_rows: int = MIN_ROWS_FO
     centred = StandardScaler(inputCol="_v", outputCol="_c", withMean=True, withStd=False).fit(rows).transform(rows)
     model = PCA(k=2, inputCol="_c", outputCol="_p").fit(centred)
     loadings = model.pc.toArray()
-    signs = [1.0 if abs(loadings[:, k].max()) >= abs(loadings[:, k].min()) else -1.0 for k in range(2)]
+    signs = [1.0 if max(column.tolist(), key=abs) >= 0 else -1.0 for column in loadings.T]
     point = vector_to_array("_p")
     return model.transform(centred).select(
         key, (point[0] * F.lit(signs[0])).alias("x"), (point[1] * F.lit(signs[1])).alias("y")

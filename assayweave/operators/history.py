@@ -100,6 +100,36 @@ def scd2_apply(
     return closed.select(*merged.columns).unionByName(merged)
 
 
+def scd2_changes(
+    opened: DataFrame, current: DataFrame, key: str, check_cols: Sequence[str], now: Column
+) -> DataFrame:
+    """What the next version changes: windows closed and windows opened at ``now`` (``_change``: closed or opened).
+
+    ``opened`` are the open windows. Check columns are compared null-safe; a key that is gone closes its window, a
+    new one opens a window, a changed one does both. Unchanged keys give no row.
+    """
+    attributes = [c for c in current.columns if c != key]
+    old = opened.select(F.col(key), F.struct(*opened.columns).alias("old"))
+    new = current.select(F.col(key), F.struct(*current.columns).alias("new"))
+    same = F.lit(True)
+    for c in check_cols:
+        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
+    has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+
+    def window(change: str, side: str, valid_from: Column, valid_to: Column, name: Column) -> Column:
+        own = [F.col(f"{side}.{c}").alias(c) for c in (key, *attributes)]
+        return F.struct(
+            F.lit(change).alias("_change"), *own, valid_from.alias("valid_from"), valid_to.alias("valid_to"), name.alias("window_id")
+        )
+
+    closed = window("closed", "old", F.col("old.valid_from"), now, F.col("old.window_id"))
+    begun = window("opened", "new", now, F.lit(None).cast("timestamp"), _window_id(key, now))
+    changed = ~(has_old & has_new & same)
+    rows = F.array_compact(F.array(F.when(has_old, closed), F.when(has_new, begun)))
+    joined = old.join(new, key, "full_outer").where(changed)
+    return joined.select(F.explode(rows).alias("_w")).select("_w.*")
+
+
 def scd2_as_of(history: DataFrame, instant: Column) -> DataFrame:
     """Windows valid at an instant."""
     return history.where(

@@ -2,12 +2,16 @@
 
 Exact percentiles keep one counter per distinct value of a group. Potencies live on a
 0.01 grid between 0 and 14 (medians on a 0.005 grid), which bounds that state to a few
-thousand counters per group whatever the number of rows.
+thousand counters per group whatever the number of rows. ``on_grid`` tells whether a table keeps to
+it; where it does not, ``gridded=False`` takes quantiles from ranges of ranked value counts, so that no
+task holds the values of a group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import display_name, round_fp
@@ -15,19 +19,37 @@ from .positions import exact_quantiles
 from .similarity import BLOCK_ROWS, class_pairs, cliffs_of_pairs, set_class
 
 
-def target_sar(fact: DataFrame, compounds: DataFrame, targets: DataFrame) -> DataFrame:
+def on_grid(df: DataFrame, value: str, digits: int = 2) -> bool:
+    """Whether all values of a column are 0 to 14 with ``digits`` decimals, so that their number is bounded."""
+    v = F.col(value)
+    off = (v < 0) | (v > 14) | F.isnan(v) | (F.abs(v - F.round(v, digits)) > 1e-9)
+    return df.where(off).limit(1).isEmpty()
+
+
+def _summary(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float], aggregates: Sequence[Column], gridded: bool
+) -> DataFrame:
+    """The aggregates of every group and the exact quantiles of its values (``_q``)."""
+    if gridded:
+        return df.groupBy(*keys).agg(F.percentile(value, list(probabilities)).alias("_q"), *aggregates)
+    quantiles = exact_quantiles(df, keys, value, probabilities, "_q")
+    return df.groupBy(*keys).agg(*aggregates).join(quantiles, list(keys), "left")
+
+
+def target_sar(fact: DataFrame, compounds: DataFrame, targets: DataFrame, gridded: bool = True) -> DataFrame:
     """Potency summary per (compound, target).
 
     ``fact`` is the natural-key fact. It is aggregated on its two short keys first (with
     map-side combine, and the distinct assays split over their own key), then the much
     smaller result is joined to the dimensions.
     """
-    summary = fact.groupBy("molecule_chembl_id", "target_chembl_id").agg(
-        F.median("pchembl_value").alias("median_pchembl"),
+    aggregates = [
         F.max("pchembl_value").alias("max_pchembl"),
         F.count(F.lit(1)).alias("n_measurements"),
         F.count_distinct("assay_chembl_id").alias("n_assays"),
-    )
+    ]
+    summary = _summary(fact, ["molecule_chembl_id", "target_chembl_id"], "pchembl_value", [0.5], aggregates, gridded)
+    summary = summary.withColumn("median_pchembl", F.col("_q")[0])
     described = targets.select(
         "target_key", "target_chembl_id", F.col("pref_name").alias("target_pref_name"), "payload_class"
     )
@@ -146,7 +168,7 @@ def fingerprint_mart(cheminfo: DataFrame, compounds: DataFrame, scaffolds: DataF
     )
 
 
-def chemical_series(fingerprints: DataFrame, sar: DataFrame, scaffolds: DataFrame) -> DataFrame:
+def chemical_series(fingerprints: DataFrame, sar: DataFrame, scaffolds: DataFrame, gridded: bool = True) -> DataFrame:
     """Size, potency spread and target reach of every scaffold series.
 
     Ties for the most potent member go to the smallest molecule id.
@@ -157,14 +179,14 @@ def chemical_series(fingerprints: DataFrame, sar: DataFrame, scaffolds: DataFram
     profile = members.join(compound_potency(sar), "compound_key", "left")
     best = F.col("best_pchembl")
     strongest = F.min(F.when(best.isNotNull(), F.struct((-best).alias("p"), F.col("molecule_chembl_id").alias("id"))))
-    summary = profile.groupBy("scaffold_key").agg(
+    aggregates = [
         F.count_distinct("compound_key").alias("n_compounds"),
         F.count_distinct(F.when(best.isNotNull(), F.col("compound_key"))).alias("n_measured_compounds"),
-        F.median(best).alias("_median"),
         F.max(best).alias("_max"),
         F.min(best).alias("_min"),
         strongest.getField("id").alias("top_compound"),
-    )
+    ]
+    summary = _summary(profile, ["scaffold_key"], "best_pchembl", [0.5], aggregates, gridded).withColumn("_median", F.col("_q")[0])
     reach = (
         members.join(sar.select("compound_key", "target_key"), "compound_key")
         .groupBy("scaffold_key")
@@ -309,29 +331,24 @@ def compound_catalog(selective: DataFrame, compounds: DataFrame, pdb: DataFrame,
     )
 
 
-def class_profile(sar: DataFrame) -> DataFrame:
+def class_profile(sar: DataFrame, gridded: bool = True) -> DataFrame:
     """Potency profile of every payload class (the class comes with the pair table)."""
-    quartiles = F.percentile("median_pchembl", [0.25, 0.5, 0.75])
-    return (
-        sar.where(F.col("payload_class").isNotNull())
-        .groupBy("payload_class")
-        .agg(
-            F.count_distinct("compound_key").alias("n_compounds"),
-            F.sum("n_measurements").alias("n_measurements"),
-            quartiles.alias("_q"),
-            F.max("max_pchembl").alias("_max"),
-            F.count_distinct(F.when(F.col("max_pchembl") >= 9, F.col("compound_key"))).alias("n_sub_nanomolar"),
-        )
-        .select(
-            "payload_class",
-            "n_compounds",
-            "n_measurements",
-            round_fp(F.col("_q")[1], 3).alias("median_pchembl"),
-            round_fp("_max", 3).alias("max_pchembl"),
-            round_fp(F.col("_q")[0], 3).alias("p25_pchembl"),
-            round_fp(F.col("_q")[2], 3).alias("p75_pchembl"),
-            "n_sub_nanomolar",
-        )
+    aggregates = [
+        F.count_distinct("compound_key").alias("n_compounds"),
+        F.sum("n_measurements").alias("n_measurements"),
+        F.max("max_pchembl").alias("_max"),
+        F.count_distinct(F.when(F.col("max_pchembl") >= 9, F.col("compound_key"))).alias("n_sub_nanomolar"),
+    ]
+    classed = sar.where(F.col("payload_class").isNotNull())
+    return _summary(classed, ["payload_class"], "median_pchembl", [0.25, 0.5, 0.75], aggregates, gridded).select(
+        "payload_class",
+        "n_compounds",
+        "n_measurements",
+        round_fp(F.col("_q")[1], 3).alias("median_pchembl"),
+        round_fp("_max", 3).alias("max_pchembl"),
+        round_fp(F.col("_q")[0], 3).alias("p25_pchembl"),
+        round_fp(F.col("_q")[2], 3).alias("p75_pchembl"),
+        "n_sub_nanomolar",
     )
 
 

@@ -1,15 +1,20 @@
 """Global positions and per-group ranks without a single-task window.
 
-An un-partitioned ``row_number`` sends every row to one task. Here the rows are first
-cut into ranges of the (unique) sort key: boundaries come from a hash-threshold sample,
-so a retried task sees the same boundaries; a row's range is a pure function of its
-key. The position is the row number inside the range plus the range's offset.
+An un-partitioned ``row_number`` sends every row to one task. Global positions come from one write: rows are
+dealt to ranges of the sort key, sorted inside them and written with the number of their range and their place in
+it; the counts of the ranges, read from the written file, give the offsets, and the numbers are a projection of
+the file from then on.
+
+Ranks inside groups are made in ranges of (group, order), whose boundaries come from a hash-threshold sample, so that a
+retried task sees the same boundaries: a row's range is a pure function of its key. The rank is the row number
+inside the range plus what the group has in the ranges before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,40 +59,29 @@ def _sample_bounds(df: DataFrame, order: Sequence[Column], rows_per_range: int)
     ]
 
 
-def global_position(
-    df: DataFrame, order: Sequence[Column | str], name: str, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
+def global_position(df: DataFrame, order: Sequence[Column | str], name: str, ranges: int | None = None) -> DataFrame:
     """Add ``name`` = 1..N in the ascending order of ``order`` (unique, non-null columns).
 
-    For descending numbers pass the negated column; map NULLs to a value at the wanted end.
-    The frame is read three times (count, sample, result), so give it materialised input.
+    For descending numbers pass the negated column; map NULLs to a value at the wanted end. The result reads what is
+    written here, in ``ranges`` files, by default as many as AQE finds fit for their size. The input is shuffled once; only
+    what follows its last shuffle runs a second time, for Spark's sample of the sort key.
     """
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    bounds = _sample_bounds(df, columns, rows_per_range)
-    if not bounds:  # counted: at most rows_per_range rows
-        only = Window.partitionBy(F.lit(0)).orderBy(*columns)
-        return df.withColumn(name, F.row_number().over(only).cast("bigint"))
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
-    ranged = df.withColumn("_range", _range_of(key, bounds))
-    inside = Window.partitionBy("_range").orderBy(*columns)
-    numbered = ranged.withColumn("_inside", F.row_number().over(inside))
-    # At most MAX_RANGES rows: the running sum and the broadcast are bounded.
-    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    return (
-        numbered.join(F.broadcast(offsets), "_range")
-        .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("bigint"))
-        .drop("_range", "_inside", "_offset")
-    )
-
-
-def dense_key(df: DataFrame, order_col: str, name: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    keys = {f"_k{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    keyed = df.withColumns(keys)
+    ranged = keyed.repartitionByRange(*([ranges] if ranges else []), *keys).sortWithinPartitions(*keys)
+    # Without shuffles in between, the low 33 bits of the id are the row's place in its partition.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    written = materialize(ranged.select(*df.columns, F.spark_partition_id().alias("_range"), place.alias("_place")), "positions")
+    counts = {r["_range"]: r["n"] for r in written.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=0) + 1)]  # one number per range
+    offsets = F.lit(np.cumsum([0, *sizes[:-1]], dtype=np.int64))
+    number = F.element_at(offsets, F.col("_range") + 1) + F.col("_place") + 1
+    return written.select(*df.columns, number.alias(name))
+
+
+def dense_key(df: DataFrame, order_col: str, name: str, ranges: int | None = None) -> DataFrame:
     """1..N key in natural-key order, as the first column."""
-    return global_position(df, [order_col], name, rows_per_range).select(name, *df.columns)
+    return global_position(df, [order_col], name, ranges).select(name, *df.columns)
 
 
 def _carried(parts: DataFrame, groups: Sequence[str]) -> DataFrame:

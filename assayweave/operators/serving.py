@@ -24,6 +24,7 @@ from ..functions.scalar import (
 )
 from ..session import materialize
 from .marts import compound_potency
+from .neighbors import nearest_in_index
 from .positions import ROWS_PER_RANGE, global_position, group_rank
 
 # Rule-of-five limits, and method names with their short forms.
@@ -311,15 +312,20 @@ def nearest_neighbors(
     min_similarity: float = 0.0,
     include_self: bool = False,
     nbits: int = 2048,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """The k most similar compounds of one query with their potency difference.
 
     The query's own row is one lookup; its fingerprint becomes a literal, so the rest is
-    a scan with a top-k, whatever the table size. Attributes are joined to k rows only.
+    a scan with a top-k, whatever the table size. Attributes are joined to k rows only. With a
+    popcount ``index`` (``write_popcount_index``) in place of ``fingerprints`` the scan skips
+    bit counts that cannot reach the k-th best.
     """
+    if index is not None:
+        own = index.where(F.col("compound_key") == F.lit(key))
+        top = nearest_in_index(index, own, k, min_similarity, exclude=None if include_self else key, nbits=nbits)
+        return _with_attributes(top.withColumnRenamed("similarity", "_t"), key, catalog)
     query = fingerprints.where(F.col("compound_key") == F.lit(key)).select("ecfp4_hex").limit(1).collect()
-    best = catalog.where(F.col("compound_key") == F.lit(key)).select("best_pchembl").limit(1).collect()
-    reference = F.lit(best[0][0] if best else None).cast("double")
     hexed = F.lit(query[0][0] if query else None).cast("string")
     scored = fingerprints.select(
         "compound_key",
@@ -330,7 +336,13 @@ def nearest_neighbors(
         scored = scored.where(F.lit(False))
     if not include_self:
         scored = scored.where(F.col("compound_key") != F.lit(key))
-    top = scored.orderBy(F.desc("_t"), "molecule_chembl_id").limit(k)
+    return _with_attributes(scored.orderBy(F.desc("_t"), "molecule_chembl_id").limit(k), key, catalog)
+
+
+def _with_attributes(top: DataFrame, key: int | str, catalog: DataFrame) -> DataFrame:
+    """The neighbours with what the catalog says of them, against the query's own potency."""
+    best = catalog.where(F.col("compound_key") == F.lit(key)).select("best_pchembl").limit(1).collect()
+    reference = F.lit(best[0][0] if best else None).cast("double")
     attributes = catalog.select("compound_key", "pref_name", "best_pchembl", "best_target")
     return top.join(attributes, "compound_key", "left").select(
         "molecule_chembl_id",
@@ -361,13 +373,13 @@ def filter_cliffs(
     return view
 
 
-def ranked_cliffs(cliffs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def ranked_cliffs(cliffs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Add the row index by descending SALI (undefined last) and the pair label."""
     last = F.lit(float("inf"))
     order = [F.coalesce(-F.col("sali"), last), "target_key", "compound_key_a", "compound_key_b"]
     label = F.concat("molecule_chembl_id_a", F.lit(" ⇄ "), "molecule_chembl_id_b")
     cliffs = materialize(cliffs, "cliffs")  # the positions read it several times
-    placed = global_position(cliffs, order, "_pos", rows_per_range)
+    placed = global_position(cliffs, order, "_pos", ranges)
     return placed.withColumns({"_row": F.col("_pos") - 1, "pair": label}).drop("_pos")
 
 

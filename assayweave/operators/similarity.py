@@ -349,28 +349,66 @@ def nearest_neighbors_all(
     )
 
 
+def set_signature(elements: str) -> list[Column]:
+    """Four 64-bit words with a bit for each element of a set: a subset's bits are among them."""
+    place = "xxhash64(e) & 255"
+    return [
+        F.expr(
+            f"aggregate({elements}, 0L, (a, e) -> a | if(({place}) div 64 = {w}, shiftleft(1L, cast(({place}) % 64 as int)), 0L))"
+        ).alias(f"_s{w}")
+        for w in range(4)
+    ]
+
+
 def containing_sets(
-    df: DataFrame, key: str, elements: str, queries: DataFrame, query_key: str, query_elements: str
+    df: DataFrame,
+    key: str,
+    elements: str,
+    queries: DataFrame,
+    query_key: str,
+    query_elements: str,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query, entity) pairs where the entity's set contains the query's whole set.
 
-    Each query probes with its rarest element only (an element missing from the data ends
-    the query), then the whole sets are compared. An empty query is contained in nothing
-    here: it would select the entire table.
+    A query meets the entities that hold its rarest element, and of them those that also hold the second rarest one and
+    whose 256-bit signature holds the query's; only these are compared by their whole sets. The postings of
+    an element that more than ``block_rows`` entities hold are cut into blocks, which each of its queries visits. Postings of
+    elements that are no query's rarest are not shuffled. An element missing from the data ends the query, and so does a
+    NULL one; an empty query is contained in nothing here: it would select the entire table.
     """
-    posted = df.select(F.col(key), F.explode(elements).alias("element"))
-    counts = materialize(posted.groupBy("element").count(), "counts")
-    wanted = queries.where(F.size(query_elements) > 0).select(
-        F.col(query_key), F.col(query_elements).alias("_query"), F.explode(query_elements).alias("element")
-    )
-    frequency = wanted.join(counts, "element", "left").withColumn("_f", F.coalesce("count", F.lit(0)))
-    rarest = (
-        frequency.groupBy(query_key)
-        .agg(F.min(F.struct("_f", "element")).alias("_r"))
-        .where("_r._f > 0")
-        .select(query_key, F.col("_r.element").alias("element"))
+    own = queries.where(F.size(query_elements) > 0)
+    wanted = own.select(F.col(query_key), F.explode(F.array_distinct(query_elements)).alias("element"))
+    asked = materialize(wanted.select("element").distinct(), "asked")
+    # Only elements of queries are counted and posted.
+    posted = df.select(F.col(key), F.explode(F.array_distinct(elements)).alias("element")).join(asked, "element", "left_semi")
+    counts = materialize(posted.groupBy("element").agg(F.count(F.lit(1)).alias("_f")), "counts")
+    frequency = wanted.join(counts, "element", "left").select(query_key, F.struct(F.coalesce("_f", F.lit(0)).alias("f"), "element").alias("_e"))
+    first = frequency.groupBy(query_key).agg(F.min("_e").alias("_first")).where("_first.f > 0")
+    rest = frequency.join(first, query_key).where(F.col("_e") != F.col("_first"))
+    second = rest.groupBy(query_key).agg(F.min("_e").alias("_2"))
+    signed = own.select(F.col(query_key), F.col(query_elements).alias("_query")).select(query_key, *set_signature("_query"))
+    last = F.floor(F.col("_first.f") / block_rows).cast("int")
+    probes = (
+        signed.join(first, query_key)
+        .join(second.select(query_key, F.col("_2.element").alias("_second")), query_key, "left")
+        .select("*", F.col("_first.element").alias("element"), F.explode(F.sequence(F.lit(0), last)).alias("_block"))
+        .drop("_first")
     )
-    probes = rarest.join(queries.select(query_key, F.col(query_elements).alias("_query")), query_key)
-    hits = posted.join(probes, "element").select(query_key, key, "_query")
+    probes = materialize(probes, "probes")
+    blocks = F.floor(F.col("_f") / block_rows).cast("bigint") + 1
+    cut = probes.select("element").distinct().join(counts, "element").select("element", blocks.alias("_blocks"))
+    named = [c.alias(f"_e{w}") for w, c in enumerate(set_signature(elements))]
+    # Signed before the sets are taken apart: what stands beside an explode is evaluated for each of its rows.
+    held = df.select(F.col(key), F.array_distinct(elements).alias("_have"), *named)
+    postings = held.select(key, *[f"_e{w}" for w in range(4)], F.explode("_have").alias("element")).join(cut, "element")
+    postings = postings.withColumn("_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"))
+    met = postings.join(probes, ["element", "_block"])
+    for w in range(4):
+        met = met.where(F.col(f"_e{w}").bitwiseAND(F.col(f"_s{w}")) == F.col(f"_s{w}"))
+    hits = met.select(query_key, key, "_second")
+    both = hits.where("_second is not null").join(posted.withColumnRenamed("element", "_second"), [key, "_second"], "left_semi")
+    hits = hits.where("_second is null").select(query_key, key).union(both.select(query_key, key))
     whole = df.select(key, F.col(elements).alias("_have"))
-    return hits.join(whole, key).where(F.size(F.array_except("_query", "_have")) == 0).select(query_key, key)
+    compared = hits.join(own.select(query_key, F.col(query_elements).alias("_query")), query_key).join(whole, key)
+    return compared.where(F.size(F.array_except("_query", "_have")) == 0).select(query_key, key)

@@ -19,6 +19,7 @@ from ..operators import (
     history,
     landing,
     marts,
+    neighbors,
     positions,
     profiling,
     quality,
@@ -26,10 +27,12 @@ from ..operators import (
     similarity,
     staging,
 )
+from ..operators.history_store import HistoryStore
+from ..operators.keyed import KeyedTable
 from ..sources import mapping, raw
 from ..sources.schemas import Rule
 from ..session import materialize, scratch_dir
-from ..streaming import incremental_stream
+from ..streaming import incremental_stream, keyed_stream
 from . import analogs, checks
 from .analogs import ANALOG, NBITS, table, warehouse
 from .oracles import QUERIES, tanimoto, words
@@ -281,7 +284,34 @@ def fingerprint_dropped(spark, sf):
     return fingerprints.count_dropped(table(spark, sf, "documents"), fn.word_set("text"))
 
 
-@query("project_2d")
+def _leading(name: str, start: str, squarings: int = 14) -> str:
+    """CTEs for the leading eigenvector (i, e) of the matrix ``start`` (i, j, v), by squaring it again and again."""
+    steps = [f"{name}0 as materialized (select i, j, v / max(abs(v)) over () as v from {start})"]
+    for k in range(1, squarings + 1):
+        square = f"select a.i, b.j, sum(a.v * b.v) as v from {name}{k - 1} a join {name}{k - 1} b on a.j = b.i group by all"
+        steps.append(f"{name}{k} as materialized (select i, j, v / max(abs(v)) over () as v from ({square}))")
+    last = f"{name}{squarings}"
+    steps.append(
+        f"{name}_u as (select i, v / sqrt(sum(v * v) over ()) as e from {last}"
+        f" where j = (select j from {last} where i = j order by v desc, j limit 1))"
+    )
+    steps.append(f"{name} as materialized (select i, e * (select sign(e) from {name}_u order by abs(e) desc, i limit 1) as e from {name}_u)")
+    return ",\n".join(steps)
+
+
+@query(
+    "project_2d",
+    f"""with v as (select vec_id, unnest(embedding)::double as x, generate_subscripts(embedding, 1) as i
+                  from embeddings where embedding is not null),
+        c as materialized (select vec_id, i, x - avg(x) over (partition by i) as x from v),
+        s as materialized (select a.i, b.i as j, sum(a.x * b.x) as v from c a join c b using (vec_id) group by all),
+        {_leading("p", "s")},
+        l as (select sum(a.e * s.v * b.e) as l from s join p a on a.i = s.i join p b on b.i = s.j),
+        d as materialized (select s.i, s.j, s.v - l.l * a.e * b.e as v from s join p a on a.i = s.i join p b on b.i = s.j, l),
+        {_leading("q", "d")}
+        select vec_id, round(sum(c.x * p.e), 4) as x, round(sum(c.x * q.e), 4) as y
+        from c join p using (i) join q using (i) group by vec_id""",
+)
 def project_2d(spark, sf):
     return tidy(fingerprints.project_2d(table(spark, sf, "embeddings"), "vec_id", "embedding"), 4)
 
@@ -447,12 +477,12 @@ def stage_entry_summary(spark, sf):
 @query("dense_key", "select row_number() over (order by o_orderkey) as order_no, o_orderkey, o_custkey from orders")
 def dense_key(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return positions.dense_key(orders, "o_orderkey", "order_no", rows_per_range=2000)
+    return positions.dense_key(orders, "o_orderkey", "order_no", ranges=8)
 
 
 @query("dim_compound", f"select {_R_MOL} from dim_compound")
 def dim_compound(spark, sf):
-    return tidy(dims.dim_compound(warehouse(spark, sf).stg_molecules, rows_per_range=500))
+    return tidy(dims.dim_compound(warehouse(spark, sf).stg_molecules, ranges=4))
 
 
 @query("dim_target", "select * from dim_target")
@@ -462,7 +492,7 @@ def dim_target(spark, sf):
 
 @query("dim_assay", "select * from dim_assay")
 def dim_assay(spark, sf):
-    return dims.dim_assay(warehouse(spark, sf).stg_assays, rows_per_range=2000)
+    return dims.dim_assay(warehouse(spark, sf).stg_assays, ranges=8)
 
 
 @query("dim_scaffold", "select * from dim_scaffold")
@@ -513,16 +543,57 @@ def incremental_stream_query(spark, sf):
     return spark.read.parquet(f"{folder}/out").drop("_batch")
 
 
-def _history(spark, sf) -> DataFrame:
+def _shuffled_releases(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """First release: four events of five, of any age; second: all of them, with changed values of two old ones."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    changed = events.withColumn("value", F.when(F.col("event_id").isin(1, 2), -1.0).otherwise(F.col("value")))
+    return events.where(F.col("event_id") % 5 != 0), changed
+
+
+@query("keyed_append", "select event_id, user_id, event_type, value from events")
+def keyed_append(spark, sf):
+    loaded = KeyedTable(spark, scratch_dir(spark, "keyed"), "event_id", buckets=16)
+    first, second = _shuffled_releases(spark, sf)
+    for batch in (first, second, second):
+        loaded.append(batch)
+    return loaded.read()
+
+
+@query(
+    "keyed_upsert",
+    "select event_id, user_id, event_type, case when event_type = 'click' then value + 1 else value end as value from events",
+)
+def keyed_upsert(spark, sf):
+    loaded = KeyedTable(spark, scratch_dir(spark, "keyed"), "event_id", buckets=16)
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    loaded.append(events)
+    loaded.upsert(events.where("event_type = 'click'").withColumn("value", F.col("value") + 1.0))
+    return loaded.read()
+
+
+@query("keyed_stream", "select event_id, user_id, event_type, value from events")
+def keyed_stream_query(spark, sf):
+    folder = scratch_dir(spark, "stream")
+    loaded = KeyedTable(spark, f"{folder}/out", "event_id", buckets=16)
+    for batch in _shuffled_releases(spark, sf):
+        batch.write.mode("append").parquet(f"{folder}/in")
+        keyed_stream(spark, f"{folder}/in", batch.schema, loaded, f"{folder}/checkpoint").awaitTermination()
+    return loaded.read()
+
+
+def _customer_releases(spark, sf) -> tuple[DataFrame, DataFrame]:
     customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     key, balance = F.col("c_custkey"), F.col("c_acctbal")
     raised = F.when(key % 10 == 0, F.lit(100.0)).otherwise(F.lit(0.0))
     changed = customers.where(key % 97 != 0).withColumn("c_acctbal", balance + raised)
     added = customers.where(key % 50 == 0).withColumn("c_custkey", key + 1000000)
+    return customers, changed.unionByName(added)
+
+
+def _history(spark, sf) -> DataFrame:
+    customers, changed = _customer_releases(spark, sf)
     loaded = history.scd2_initial(customers, "c_custkey", _ts("2024-01-01"))
-    return history.scd2_apply(
-        loaded, changed.unionByName(added), "c_custkey", ["c_acctbal", "c_mktsegment"], _ts("2024-06-01")
-    )
+    return history.scd2_apply(loaded, changed, "c_custkey", ["c_acctbal", "c_mktsegment"], _ts("2024-06-01"))
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -540,6 +611,17 @@ def scd2_apply(spark, sf):
     return _dated(_history(spark, sf))
 
 
+@query("history_store", _R_SCD)
+def history_store(spark, sf):
+    store = HistoryStore(spark, scratch_dir(spark, "history"), "c_custkey", ["c_acctbal", "c_mktsegment"])
+    customers, changed = _customer_releases(spark, sf)
+    store.apply(customers, _ts("2024-01-01"))
+    store.compact()
+    for month in (6, 7):  # the second time nothing has changed
+        store.apply(changed, _ts(f"2024-0{month}-01"))
+    return _dated(store.read())
+
+
 @query(
     "scd2_as_of",
     _R_SCD + " where valid_from <= timestamp '2024-03-01' and (valid_to is null or valid_to > timestamp '2024-03-01')",
@@ -893,6 +975,14 @@ def nearest_neighbors(spark, sf):
     return tidy(found)
 
 
+@query("nearest_neighbors_indexed", QUERIES["nearest_neighbors"])
+def nearest_neighbors_indexed(spark, sf):
+    w = warehouse(spark, sf)
+    prints = w.mart_compound_fingerprint
+    index = neighbors.write_popcount_index(prints, scratch_dir(spark, "popcount"), nbits=NBITS)
+    return tidy(serving.nearest_neighbors(1, prints, w.mart_compound_catalog, 10, 0.2, nbits=NBITS, index=index))
+
+
 @query(
     "nearest_neighbors_all",
     """with pairs as (

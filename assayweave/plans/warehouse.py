@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TargetSet
 from ..operators import dimensions as dims
-from ..operators import history, marts, staging
-from ..operators.positions import ROWS_PER_RANGE
+from ..operators import marts, staging
+from ..operators.history_store import HistoryStore
+from ..operators.keyed import KeyedTable
 from ..sources.raw import read_raw
 from ..sources.schemas import RAW_SCHEMAS
 
@@ -58,11 +57,13 @@ class Warehouse:
         self,
         raw: Mapping[str, DataFrame],
         config: TargetSet,
-        rows_per_range: int = ROWS_PER_RANGE,
+        ranges: int | None = None,
     ) -> None:
         self.raw = raw
         self.config = config
-        self.rows_per_range = rows_per_range
+        self.ranges = ranges
+        #: Whether potencies keep to their grid; a build measures it on the fact it has stored.
+        self.gridded = True
         self.report: DataFrame | None = None
 
     # staging
@@ -113,19 +114,19 @@ class Warehouse:
     # star schema
     @cached_property
     def dim_compound(self) -> DataFrame:
-        return dims.dim_compound(self.stg_molecules, self.rows_per_range)
+        return dims.dim_compound(self.stg_molecules, self.ranges)
 
     @cached_property
     def dim_target(self) -> DataFrame:
-        return dims.dim_target(self.stg_targets, self.config.payload_classes, self.rows_per_range)
+        return dims.dim_target(self.stg_targets, self.config.payload_classes, self.ranges)
 
     @cached_property
     def dim_assay(self) -> DataFrame:
-        return dims.dim_assay(self.stg_assays, self.rows_per_range)
+        return dims.dim_assay(self.stg_assays, self.ranges)
 
     @cached_property
     def dim_scaffold(self) -> DataFrame:
-        return dims.dim_scaffold(self.stg_compound_cheminfo, self.rows_per_range)
+        return dims.dim_scaffold(self.stg_compound_cheminfo, self.ranges)
 
     @cached_property
     def fact_activity(self) -> DataFrame:
@@ -148,7 +149,7 @@ class Warehouse:
     # marts
     @cached_property
     def mart_target_sar(self) -> DataFrame:
-        return marts.target_sar(self._activities(True), self.dim_compound, self.dim_target)
+        return marts.target_sar(self._activities(True), self.dim_compound, self.dim_target, self.gridded)
 
     @cached_property
     def mart_compound_selectivity(self) -> DataFrame:
@@ -166,7 +167,7 @@ class Warehouse:
 
     @cached_property
     def mart_chemical_series(self) -> DataFrame:
-        return marts.chemical_series(self.mart_compound_fingerprint, self.mart_target_sar, self.dim_scaffold)
+        return marts.chemical_series(self.mart_compound_fingerprint, self.mart_target_sar, self.dim_scaffold, self.gridded)
 
     @cached_property
     def mart_activity_cliff(self) -> DataFrame:
@@ -210,7 +211,7 @@ class Warehouse:
 
     @cached_property
     def mart_payload_class_profile(self) -> DataFrame:
-        return marts.class_profile(self.mart_target_sar)
+        return marts.class_profile(self.mart_target_sar, self.gridded)
 
     @cached_property
     def mart_compound_cytotoxicity(self) -> DataFrame:
@@ -222,61 +223,28 @@ def raw_frames(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return {entity: read_raw(spark, raw_dir, entity) for entity in RAW_SCHEMAS}
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+def _status(spark: SparkSession, out_dir: str) -> HistoryStore:
+    return HistoryStore(spark, f"{out_dir}/compound_status", "molecule_chembl_id", STATUS_COLUMNS)
 
 
-def _versions(spark: SparkSession, out_dir: str) -> dict[int, bool]:
-    """History versions and whether each was written to its end."""
-    context = spark.sparkContext
-    root = context._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/compound_status")
-    files = root.getFileSystem(context._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return {}
-    found = [entry.getPath() for entry in files.listStatus(root)]
-    named = [(p, p.getName()) for p in found if re.fullmatch(r"v[0-9]+", p.getName())]
-    done = context._jvm.org.apache.hadoop.fs.Path
-    return {int(name[1:]): files.exists(done(p, "_SUCCESS")) for p, name in named}
+def compound_status(spark: SparkSession, out_dir: str, version: int | None = None) -> DataFrame | None:
+    """The Type-2 status history as of a finished version, by default the last, or None before the first build."""
+    return _status(spark, out_dir).read(version)
 
 
-def compound_status(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    """Latest finished version of the Type-2 status history, or None before the first build."""
-    finished = [v for v, done in _versions(spark, out_dir).items() if done]
-    return spark.read.parquet(f"{out_dir}/compound_status/v{max(finished)}") if finished else None
-
-
-def _snapshot(spark: SparkSession, out_dir: str, molecules: DataFrame, now: Column) -> None:
-    """Write the next history version beside the others.
+def expire_versions(spark: SparkSession, out_dir: str, keep: int = 2) -> list[int]:
+    """Forget history versions older than the ``keep`` newest finished ones; returns their numbers.
 
-    The highest version with a success marker is the current one. No version is ever
-    overwritten: a run that broke off leaves an unfinished folder, which is skipped for good.
+    The open windows are written together first, so that what older versions had opened can go; closed windows stay.
     """
-    previous = compound_status(spark, out_dir)
-    current = molecules.select("molecule_chembl_id", *STATUS_COLUMNS)
-    following = (
-        history.scd2_initial(current, "molecule_chembl_id", now)
-        if previous is None
-        else history.scd2_apply(previous, current, "molecule_chembl_id", STATUS_COLUMNS, now)
-    )
-    number = max(_versions(spark, out_dir), default=0) + 1
-    following.write.mode("errorifexists").parquet(f"{out_dir}/compound_status/v{number}")
+    store = _status(spark, out_dir)
+    store.compact()
+    return store.expire(keep)
 
 
-def expire_versions(spark: SparkSession, out_dir: str, keep: int = 2) -> list[int]:
-    """Delete history versions older than the ``keep`` newest finished ones; returns what was deleted."""
-    versions = _versions(spark, out_dir)
-    kept = sorted(v for v, done in versions.items() if done)[-keep:]
-    old = [v for v in versions if kept and v < kept[0]]
-    context = spark.sparkContext
-    for v in old:
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/compound_status/v{v}")
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    return sorted(old)
+def facts(spark: SparkSession, out_dir: str) -> KeyedTable:
+    """The stored fact: files by buckets of the activity id, with sketches of their ids."""
+    return KeyedTable(spark, f"{out_dir}/fact_activity", "activity_id")
 
 
 def build(
@@ -291,19 +259,22 @@ def build(
     """
     warehouse = Warehouse(raw_frames(spark, raw_dir), config)
     for model in MODELS:
-        path = f"{out_dir}/{model}"
-        loaded = _existing(spark, path) if model == "fact_activity" else None
-        if loaded is None:
-            getattr(warehouse, model).write.mode("overwrite").parquet(path)
-        else:
+        if model == "fact_activity":
             # Unseen ids first, so that only they meet the dimensions.
-            staged = warehouse.stg_activities
-            unseen = history.new_rows(history.key_range(loaded, staged, "activity_id"), staged, "activity_id")
-            fresh = dims.fact_activity(unseen, warehouse.stg_molecules, warehouse.stg_targets, warehouse.stg_assays)
-            fresh.write.mode("append").parquet(path)
+            stored = facts(spark, out_dir)
+            unseen = stored.unseen(warehouse.stg_activities)
+            stored.append_unseen(dims.fact_activity(unseen, warehouse.stg_molecules, warehouse.stg_targets, warehouse.stg_assays))
+            written = stored.read()
+            written = unseen.limit(0) if written is None else written
+            warehouse.gridded = marts.on_grid(written, "pchembl_value")
+        else:
+            path = f"{out_dir}/{model}"
+            getattr(warehouse, model).write.mode("overwrite").parquet(path)
+            written = spark.read.parquet(path)
         # The property is cached per instance: consumers built later read the written layer.
-        warehouse.__dict__[model] = spark.read.option("mergeSchema", model == "fact_activity").parquet(path)
-    _snapshot(spark, out_dir, warehouse.stg_molecules, F.lit(now).cast("timestamp"))
+        warehouse.__dict__[model] = written
+    current = warehouse.stg_molecules.select("molecule_chembl_id", *STATUS_COLUMNS)
+    _status(spark, out_dir).apply(current, F.lit(now).cast("timestamp"))
     if check:
         from .checks import warehouse_checks
 

@@ -1,3 +1,3 @@
-from .releases import incremental_stream
+from .releases import incremental_stream, keyed_stream
 
-__all__ = ["incremental_stream"]
+__all__ = ["incremental_stream", "keyed_stream"]

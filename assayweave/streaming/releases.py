@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.history import key_range, new_rows
+from ..operators.keyed import KeyedTable
 from ..operators.staging import dedupe
 
 
@@ -52,3 +53,33 @@ def incremental_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def keyed_stream(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    table: KeyedTable,
+    checkpoint: str,
+    upsert: bool = False,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Load newly arrived Parquet files into a keyed table: unseen keys, or with ``upsert`` all of them.
+
+    A micro-batch is the version of its number, so one that is replayed after a failure is loaded once, and only
+    files that may hold one of its keys are read.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        (table.upsert if upsert else table.append)(batch, version=batch_id + 1)
+
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (
+        reader.parquet(source)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -113,24 +113,6 @@ def test_hot_and_cold_tokens_give_the_same_pairs(spark, monkeypatch, hot):
     assert got == want
 
 
-def test_history_survives_a_broken_run(spark, tmp_path):
-    from assayweave.plans import warehouse
-
-    molecules = spark.createDataFrame([("M1", 1.0, True, "x"), ("M2", 2.0, False, "y")], "molecule_chembl_id string, max_phase double, is_approved_drug boolean, pref_name string")
-    out = str(tmp_path)
-    for month in ("01", "02", "03"):
-        changed = molecules.withColumn("max_phase", F.col("max_phase") + int(month))
-        warehouse._snapshot(spark, out, changed, F.lit(f"2024-{month}-01").cast("timestamp"))
-    assert warehouse.compound_status(spark, out).count() == 6
-    broken = tmp_path / "compound_status" / "v4"
-    broken.mkdir()
-    (broken / "part-0.parquet").write_bytes(b"half a file")
-    warehouse._snapshot(spark, out, molecules, F.lit("2024-04-01").cast("timestamp"))
-    found = warehouse.compound_status(spark, out)
-    assert found.count() == 8 and found.where("valid_to is null").count() == 2
-    assert warehouse.expire_versions(spark, out, keep=1) == [1, 2, 3, 4] and warehouse.compound_status(spark, out).count() == 8
-
-
 def test_declared_checks_name_what_is_broken(spark):
     from assayweave.plans import catalog, checks
     from assayweave.plans.analogs import warehouse

@@ -288,7 +288,7 @@ def test_filter_cliffs_and_rank(spark):
     )
     assert serving.filter_cliffs(cliffs, 0.8, 2.0).count() == 2
     assert serving.filter_cliffs(cliffs, 0.8, 2.0, include_identical=False).count() == 1
-    ranked = {r["_row"]: r["pair"] for r in serving.ranked_cliffs(cliffs, rows_per_range=1).collect()}
+    ranked = {r["_row"]: r["pair"] for r in serving.ranked_cliffs(cliffs, ranges=3).collect()}
     assert ranked == {0: "a ⇄ b", 1: "b ⇄ c", 2: "a ⇄ c"}
 
 

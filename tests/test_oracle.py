@@ -11,8 +11,8 @@ from tests.oracle import connection, difference
 SF_DIR = "/root/testdata/sf0.001"
 SQL = oracles.oracle_sql()
 QUERIES = catalog.REGISTRY
-# Multi-dimensional coordinates have no SQL form; test_functions checks their invariants.
-ROWS_ONLY = {"project_2d"}
+# Queries without an SQL form.
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
