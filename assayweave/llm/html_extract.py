@@ -57,10 +57,13 @@ _NEVER_NAMES = set(
 
 
 class _Element:
-    __slots__ = ("name", "parent", "marked", "hard", "soft", "never", "penalty", "n_words", "n_marked", "link", "names", "block")
+    """An element and what holds for its words. ``fresh`` are its names that no element around it has."""
 
-    def __init__(self, name: str, parent: _Element | None, names: frozenset[str]):
-        self.name, self.parent = name, parent
+    __slots__ = ("name", "parent", "marked", "hard", "soft", "never", "penalty", "n_words", "n_marked", "link", "fresh", "block", "named", "words")
+
+    def __init__(self, name: str, parent: _Element | None, names: frozenset[str], fresh: frozenset[str]):
+        self.name, self.parent, self.fresh = name, parent, fresh
+        self.named, self.words = 0.0, [0, 0]
         self.link = name == "a" or bool(parent and parent.link)
         self.marked = name in _MARKED or bool(parent and parent.marked)
         inside = parent is not None and parent.marked
@@ -70,10 +73,6 @@ class _Element:
         self.never, self.penalty = False, 0.0
         self.n_words = self.n_marked = 0
         self.block = (parent.block if parent else "body") if name in _INLINE else name
-        if parent and not names:
-            self.names = parent.names
-        else:
-            self.names = (parent.names if parent else frozenset()) | names
 
 
 def _judge(elements: list[_Element]) -> None:
@@ -108,10 +107,10 @@ def _names(rest: str) -> frozenset[str]:
     return frozenset(n for value in found for n in re.split(r"[^a-z0-9]+", value.lower()) if n)
 
 
-def events(page: str) -> Iterator[tuple[str, object, _Element]]:
-    """('tag', name, element around it) and ('text', decoded text, element it is in), in page order.
+def events(page: str) -> tuple[list[tuple[str, str, _Element]], list[_Element]]:
+    """('tag', name, element around it) and ('text', decoded text, element it is in), in page order, and the elements.
 
-    The page is read to its end before the first is given, for an element is judged by what it holds.
+    The page is read to its end first, for an element is judged by what it holds. Elements come before those they hold.
     """
     elements: list[_Element] = []
     found = list(_parsed(page, elements))
@@ -119,7 +118,7 @@ def events(page: str) -> Iterator[tuple[str, object, _Element]]:
         if kind == "text":
             element.n_words += len(value.split())
     _judge(elements)
-    return iter(found)
+    return found, elements
 
 
 def _parsed(page: str, elements: list[_Element]) -> Iterator[tuple[str, object, _Element]]:
@@ -128,10 +127,18 @@ def _parsed(page: str, elements: list[_Element]) -> Iterator[tuple[str, object,
     Raw elements (scripts, styles, ...) yield their tag only. End tags close the nearest element of their name
     and all inside it; a paragraph also ends where the next block begins. Nothing is required to be closed.
     """
-    root = _Element("body", None, frozenset())
+    root = _Element("body", None, frozenset(), frozenset())
     stack = [root]
     elements.append(root)
     open_: Counter = Counter()
+    open_names: set[str] = set()
+
+    def close() -> _Element:
+        last = stack.pop()
+        open_[last.name] -= 1
+        open_names.difference_update(last.fresh)
+        return last
+
     at = 0
     for_search = _TAG.search
     while True:
@@ -149,34 +156,32 @@ def _parsed(page: str, elements: list[_Element]) -> Iterator[tuple[str, object,
         yield "tag", name, stack[-1]
         if m["end"]:
             if open_[name]:
-                while len(stack) > 1:
-                    last = stack.pop()
-                    open_[last.name] -= 1
-                    if last.name == name:
-                        break
+                while len(stack) > 1 and close().name != name:
+                    pass
             continue
         if name in _VOID:
             continue
         if name not in _INLINE and open_["p"]:
             while len(stack) > 1 and (stack[-1].name in _INLINE or stack[-1].name == "p"):
-                last = stack.pop()
-                open_[last.name] -= 1
-                if last.name == "p":
+                if close().name == "p":
                     break
         if name in _RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            ending = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = ending.end() if ending else len(page)
             continue
         if m["rest"].endswith("/>") and name not in _INLINE:
             continue
-        stack.append(_Element(name, stack[-1], _names(m["rest"])))
+        names = _names(m["rest"])
+        fresh = names - open_names
+        stack.append(_Element(name, stack[-1], names, fresh))
         elements.append(stack[-1])
         open_[name] += 1
+        open_names |= fresh
 
 
-def _features(element: _Element) -> list[str]:
-    """Where a word stands; names of what marks the article itself are left out, for they are the label."""
-    return [f"block {element.block}" if element.block not in _MARKED else "block div", f"link {element.link}", *(f"name {n}" for n in element.names)]
+def _features(element: _Element) -> tuple[str, str]:
+    """Where a word stands, besides the names around it; what marks the article itself is left out, for it is the label."""
+    return f"block {element.block}" if element.block not in _MARKED else "block div", f"link {element.link}"
 
 
 class Weights:
@@ -185,10 +190,16 @@ class Weights:
     def __init__(self, words: dict[str, float], tags: dict[str, float], base: float):
         self.words, self.tags, self.base = words, tags, base
 
+    def name_elements(self, elements: list[_Element]) -> None:
+        """Add up the weights of the names around each element, every name once; parents come first."""
+        for e in elements:
+            e.named = (e.parent.named if e.parent else 0.0) + sum(self.words.get(f"name {n}", 0.0) for n in e.fresh)
+
     def word(self, element: _Element) -> float:
+        """Score of a word in an element that ``name_elements`` has seen."""
         if element.never:
             return -_CLIP
-        total = self.base + sum(self.words.get(f, 0.0) for f in _features(element))
+        total = self.base + element.named + sum(self.words.get(f, 0.0) for f in _features(element))
         if element.marked:
             total = max(total, 1.0)
         total += element.penalty
@@ -205,17 +216,25 @@ def count(page: str) -> tuple[bool, Counter]:
     """Whether the page marks its article, and its (kind, feature, inside) counts of words and tags."""
     found: Counter = Counter()
     labelled = False
-    for kind, value, element in events(page):
+    read, elements = events(page)
+    for kind, value, element in read:
         labelled |= element.marked
         inside = element.marked and not element.never
         if kind == "tag":
             found["tag", value, inside] += 1
         elif (n := len(value.split())) and not element.never:
             found["all", "", inside] += n
+            element.words[inside] += n
             for f in _features(element):
                 found["word", f, inside] += n
         elif n:
             found["all", "", False] += n
+    for e in reversed(elements):  # a name counts for all words in its element
+        for inside in (False, True):
+            if n := e.words[inside]:
+                found.update({("word", f"name {name}", inside): n for name in e.fresh})
+                if e.parent:
+                    e.parent.words[inside] += n
     return labelled, found
 
 
@@ -270,7 +289,9 @@ def extract(page: str | None, weights: Weights) -> str:
     """The text of the best region: blocks in page order, white space and block borders one space each."""
     blocks: list[tuple[list[str], list[float]]] = [([], [])]
     items: list[tuple[float, int]] = []  # score, and the block of the words (-1: a tag)
-    for kind, value, element in events(page or ""):
+    read, elements = events(page or "")
+    weights.name_elements(elements)
+    for kind, value, element in read:
         if kind == "tag":
             items.append((weights.tag(value), -1))
             if value not in _INLINE and blocks[-1][0]:

@@ -21,6 +21,8 @@ WEIGHTS = (3, 1, 2)
 #: Words of a block; where texts are cut, of a longer one.
 BLOCK, TEXT_BLOCK = 16, 256
 ROWS_PER_SHARD = 4096
+#: A source has so many shards at most, for they are ranked together; beyond that its shards grow.
+MAX_SHARDS = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -107,7 +109,7 @@ class Plan:
         sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
         sources = materialize(sources, "sources")
         aimed = targets(sources.select("source", "source_size"), weights, share, most)
-        shards_of = F.ceil(F.col("n_rows") / F.lit(rows_per_shard)).cast("bigint").alias("shards")
+        shards_of = F.least(F.ceil(F.col("n_rows") / F.lit(rows_per_shard)), F.lit(MAX_SHARDS)).cast("bigint").alias("shards")
         counts = sources.select(F.col("source").alias("_s"), shards_of)
         aimed = aimed.join(counts, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
         total = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / F.lit(block))

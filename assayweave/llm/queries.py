@@ -147,7 +147,7 @@ from shared join sizes on ir = sizes.r where n_shared >= 0.8 * n_item
     "op7_mix": f"""
 with sized as (select doc_id, source, len({_WORDS.format("text")}) as size from documents),
 sources as (
-  select source, sum(size)::bigint as source_size, ceil(count(*) / 4096)::bigint as shards,
+  select source, sum(size)::bigint as source_size, least(ceil(count(*) / 4096), 4096)::bigint as shards,
     [3.0, 1.0, 2.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w
   from sized group by source),
 capped as (select *, 2.0 * source_size as cap, sum(source_size) over () * 1.5 as total from sources),

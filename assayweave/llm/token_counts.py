@@ -31,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textnp import BATCH_BYTES, slices
+from .textnp import BATCH_BYTES, mix, slices
 
 #: Characters in a chunk of the splitter, bytes of a piece in lockstep, bytes merged at once, states kept.
 CHUNK = 128
+#: After so many characters of a chunk its states have mostly met.
+MEET = 24
 LONG = 256
 AT_ONCE = 500_000
-STATES = 150_000
+STATES = 400_000
 
 # --- splitter ----------------------------------------------------------------------------
 
@@ -154,16 +156,21 @@ class Splitter:
         rows = np.ascontiguousarray(table.reshape(chunks, chunk).T) * np.uint16(self.states)
         maps = np.tile(np.arange(self.states, dtype=np.uint8), (chunks, 1))
         counts = np.zeros((chunks, self.states), np.uint16)
-        for row in rows[:, :, None]:
-            at = row + maps
-            counts += self.pieces[at]
-            maps = self.flat_step[at]
-        state, before = scan(maps, counts)
         out = np.zeros((chunk, chunks), np.uint8)
-        for row, to in zip(rows, out):
-            at = row + state
-            to[:] = self.flat_begun[at]
-            state = self.flat_step[at]
+        maps = self._follow(rows[:MEET, :, None], maps, counts)
+        # In most chunks all states have met by now, and one of them stands for all.
+        apart = np.flatnonzero((maps != maps[:, :1]).any(axis=1))
+        own = counts[apart]
+        whole = self._follow(rows[MEET:, apart, None], maps[apart], own)
+        more = np.zeros(chunks, np.uint16)
+        maps[:] = self._follow(rows[MEET:], maps[:, 0], more, out[MEET:])[:, None]
+        counts += more[:, None]
+        maps[apart], counts[apart] = whole, own
+        state, before = scan(maps, counts)
+        state = self._follow(rows[:MEET], state, np.zeros(chunks, np.uint16), out[:MEET])
+        rest = np.zeros((max(chunk - MEET, 0), len(apart)), np.uint8)
+        self._follow(rows[MEET:, apart], state[apart], np.zeros(len(apart), np.uint16), rest)
+        out[MEET:, apart] = rest
         begun = np.ascontiguousarray(out.T).ravel()
         starts = (begun & 1).astype(bool)
         starts[:-1] |= begun[1:] > 1
@@ -171,6 +178,16 @@ class Splitter:
         assert len(found) == before[-1]
         return found
 
+    def _follow(self, rows: np.ndarray, state: np.ndarray, counts: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """States after ``rows`` of classes; pieces begun are added to ``counts``, where they begin is written to ``out``."""
+        for i, row in enumerate(rows):
+            at = row + state
+            counts += self.pieces[at]
+            if out is not None:
+                out[i] = self.flat_begun[at]
+            state = self.flat_step[at]
+        return state
+
 
 # --- merger ------------------------------------------------------------------------------
 
@@ -212,28 +229,43 @@ class Merger:
         self.stays: dict[tuple[bytes, bytes], bool] = {}
         self.names: dict[tuple, int] = {((0, b"", 0),): 0}
         self.held: list[tuple] = [((0, b"", 0),)]
-        self.moves: dict[int, int] = {}
+        self.triples: dict[tuple, tuple] = {}
         self.chunks: dict[tuple[int, bytes], tuple[int, int]] = {}
         self._hash(1 << 16)
 
     def _hash(self, size: int) -> None:
         """An open-addressing table of the transitions; a move is ``next * 1024 + change + 512``."""
+        old = (self.keys, self.values) if size > 1 << 16 else None
         self.mask = np.uint64(size - 1)
         self.keys = np.full(size, -1, np.int64)
         self.values = np.zeros(size, np.int64)
-        for key, value in self.moves.items():
-            self._put(key, value)
+        self.n_moves = 0
+        if old is not None:
+            there = old[0] >= 0
+            for key, value in zip(old[0][there].tolist(), old[1][there].tolist()):
+                self._put(key, value)
 
     @staticmethod
     def _slot(key):
         return (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
 
-    def _put(self, key: int, value: int) -> None:
+    def _place(self, key: int) -> int:
+        """Where a key is in the table, or has to be put."""
         size = len(self.keys)
         at = ((key * 0x9E3779B97F4A7C15) % (1 << 64) >> 20) % size
-        while self.keys[at] >= 0:
+        while self.keys[at] >= 0 and self.keys[at] != key:
             at = (at + 1) % size
+        return at
+
+    def _put(self, key: int, value: int) -> None:
+        at = self._place(key)
         self.keys[at], self.values[at] = key, value
+        self.n_moves += 1
+
+    def _move(self, state: int, byte: int) -> int:
+        key = state * 256 + byte
+        at = self._place(key)
+        return int(self.values[at]) if self.keys[at] == key else self._compile(state, byte)
 
     def spine(self, token: bytes, left: bool) -> list[tuple[bytes, float, float]]:
         """Tokens that stand at the end of ``token`` (at its beginning if ``left``) while it is merged: birth and end."""
@@ -286,17 +318,16 @@ class Merger:
                     found = (token, back + 1)
             kept.append((child, last, back))
         token, change = found
-        to = (*((c, last, back - change) for c, last, back in kept if self.child[c]), (0, token, 0))
+        same = self.triples.setdefault  # equal parts of states are one object
+        parts = [(c, last, back - change) for c, last, back in kept if self.child[c]]
+        to = tuple(same(p, p) for p in (*parts, (0, token, 0)))
         name = self.names.setdefault(to, len(self.held))
         if name == len(self.held):
             self.held.append(to)
         move = (name << 10) + change + 512
-        key = state * 256 + byte
-        self.moves[key] = move
-        if 2 * len(self.moves) > len(self.keys):
+        self._put(state * 256 + byte, move)
+        if 2 * self.n_moves > len(self.keys):
             self._hash(4 * len(self.keys))
-        else:
-            self._put(key, move)
         return move
 
     def _step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
@@ -309,8 +340,7 @@ class Merger:
             if gone.any():
                 missing = np.unique(key[open_[gone]])
                 for k in missing.tolist():
-                    if k not in self.moves:
-                        self._compile(k >> 8, k & 255)
+                    self._move(k >> 8, k & 255)
                 return self._step(state, byte)
             at[open_] = (at[open_] + 1) & int(self.mask)
             there[open_] = self.keys[at[open_]]
@@ -323,9 +353,7 @@ class Merger:
         if known is None:
             at, count = state, 0
             for b in data:
-                move = self.moves.get(at * 256 + b)
-                if move is None:
-                    move = self._compile(at, b)
+                move = self._move(at, b)
                 at, count = move >> 10, count + (move & 1023) - 512
             known = at, count
             if len(self.chunks) < 1 << 16:
@@ -352,7 +380,8 @@ class Merger:
         lengths = ends - starts
         for i in np.flatnonzero(lengths > LONG).tolist():
             counts[i] = self._long(data[starts[i] : ends[i]].tobytes())
-        short = np.flatnonzero(lengths <= LONG)
+        known, of = distinct(data, starts, lengths)
+        short = known[lengths[known] <= LONG]
         cuts = np.searchsorted(np.cumsum(lengths[short]), np.arange(AT_ONCE, lengths[short].sum() + AT_ONCE, AT_ONCE))
         for part in np.split(short, np.unique(np.minimum(cuts + 1, len(short)))):
             if len(self.held) > self.most:
@@ -367,7 +396,36 @@ class Merger:
                 state[:n] = move >> 10
                 count[:n] += (move & 1023) - 512
             counts[part] = count
-        return counts
+        return counts[of]
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, of): pieces no two of which are equal, if of up to 16 bytes, and for every piece the one equal to it.
+
+    Pieces are grouped by a hash of their bytes and compared with the first of their group; one that is not equal to it
+    stands for itself, like all longer ones.
+    """
+    at = np.arange(len(starts))
+    few = np.flatnonzero(lengths <= 16)
+    if not len(few):
+        return at, at
+    bytes_ = np.r_[data, np.zeros(16, np.uint8)]
+    eight = np.ndarray(len(data) + 9, "<u8", bytes_, strides=(1,))  # the eight bytes from every place on
+    n = lengths[few]
+    low = eight[starts[few]] & _MASKS[np.minimum(n, 8)]
+    high = eight[starts[few] + 8] & _MASKS[np.maximum(n - 8, 0)]
+    hashed = mix(low ^ mix(high + (n.astype(np.uint64) << np.uint64(56))))
+    order = np.argsort(hashed)
+    new = np.r_[True, hashed[order][1:] != hashed[order][:-1]]
+    first = np.empty(len(few), np.int64)
+    first[order] = order[new][np.cumsum(new) - 1]
+    equal = (low == low[first]) & (high == high[first]) & (n == n[first])
+    of = at.copy()
+    of[few] = np.where(equal, few[first], few)
+    return np.flatnonzero(of == at), of
 
 
 # --- a tokenizer file --------------------------------------------------------------------

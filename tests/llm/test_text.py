@@ -87,6 +87,64 @@ def test_likeness_of_a_text_that_a_third_of_the_rows_repeat(spark):
     assert got[place == 2].near_next.max() < 0.2
 
 
+def mixed(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+    return x ^ (x >> 31)
+
+
+def plain_signature(hashes, lexicon):
+    """Signature, parts and share of one text from the hashes of its distinct terms, by the definition."""
+    inside = hashes & lexicon
+
+    def digest(some):
+        return mixed(sum(map(mixed, some)) % 2**64) if some else 0
+
+    parts = {}
+    for subset in range(imatch.SUBSETS):
+        u = {h: mixed((h + mixed(subset + 1)) % 2**64) for h in hashes}
+        for kind, pool in enumerate((inside, hashes)):
+            for scale in range(imatch.SCALES):
+                member = [u[h] for h in pool if all(u[h] >> 2 * s & 3 == 0 for s in range(scale + 1))]
+                d = digest(member)
+                parts[kind, scale, subset] = d % 65535 + 1 if d else 0
+    return digest(inside or hashes), parts, len(inside) * 65535 // max(len(hashes), 1)
+
+
+def plain_likeness(a, b):
+    def agreement(kind):
+        cells = [[(a[1][kind, s, k], b[1][kind, s, k]) for k in range(imatch.SUBSETS)] for s in range(imatch.SCALES)]
+        filled = [[p for p in row if any(p)] for row in cells]
+        use = [0 < len(f) / imatch.SUBSETS <= 0.8 for f in filled]
+        if not any(use):
+            use[-1] = True
+        seen = [p for f, u in zip(filled, use) if u for p in f]
+        return sum(x == y for x, y in seen) / len(seen) if seen else float(a[0] == b[0])
+
+    band, every = max(agreement(0), float(a[0] == b[0])), agreement(1)
+    weight = min(min(a[2], b[2]) / (65535 * imatch.ENOUGH), 1.0)
+    return every + weight * (band - every) if weight < 1 else band
+
+
+def test_signatures_and_likeness_equal_a_plain_version():
+    rng = random.Random(8)
+    words = [f"Term{i}" for i in range(60)]
+    texts = ["", None, "x", "the same words", "words the same the"]
+    texts += [" ".join(rng.choices(words, k=rng.choice([1, 3, 20, 90]))) for _ in range(25)]
+    of, h = imatch._terms(texts)
+    terms = [set(h[of == i].tolist()) for i in range(len(texts))]
+    known = {w: int(imatch._terms([w])[1][0]) for w in words}
+    lexicon = np.sort(np.array([known[w] for w in words[:20]], np.uint64))
+    whole, parts, share = imatch.signatures(texts, lexicon)
+    plain = [plain_signature(t, set(lexicon.tolist())) for t in terms]
+    for i, (w, p, s) in enumerate(plain):
+        assert whole[i] == w and share[i] == s
+        assert {(k, a, b): int(parts[i, k, a, b]) for k, a, b in p} == p
+    a, b = np.array([(i, j) for i in range(len(texts)) for j in range(len(texts))]).T
+    got = imatch.likeness(tuple(x[a] for x in (whole, parts, share)), tuple(x[b] for x in (whole, parts, share)))
+    assert np.allclose(got, [plain_likeness(plain[i], plain[j]) for i, j in zip(a, b)])
+
+
 # --- HTML ------------------------------------------------------------------------------
 
 PAGE = (
@@ -159,6 +217,46 @@ def test_names_of_a_wrapper_do_not_empty_the_page(weights, page):
     assert html_extract.extract(page.replace("{}", STORY), html_extract.PLAIN) == STORY_TEXT
 
 
+def test_deep_pages_with_many_names_take_linear_time(weights):
+    import time
+
+    def deep(n):
+        return "".join(f'<div class="c{i} k{i % 7}">word {i} ' for i in range(n)) + STORY + "</div>" * n
+
+    began = time.process_time()
+    html_extract.extract(deep(20_000), weights)
+    html_extract.count(deep(20_000))
+    assert time.process_time() - began < 5
+
+
+def test_names_count_once_for_each_word():
+    page = '<article class="a b"><p class="a">one two</p><div id="c">three</div></article><div class="a"><p>four</p></div>'
+    labelled, found = html_extract.count(page)
+    assert labelled
+    names = {k[1:]: v for k, v in found.items() if k[0] == "word" and k[1].startswith("name ")}
+    assert names == {("name a", True): 3, ("name b", True): 3, ("name c", True): 1, ("name a", False): 1}
+    weights = html_extract.Weights({"name a": 0.5, "name c": -0.25}, {}, 1.0)
+    read, elements = html_extract.events(page)
+    weights.name_elements(elements)
+    assert [e.named for _, v, e in read if v == "three"] == [0.25] and [e.named for _, v, e in read if v == "one two"] == [0.5]
+
+
+# Pages that do not mark their article: what counts is the context of words.
+UNMARKED = [
+    "<nav><a href=1>Start</a> <a href=2>News</a></nav><div class=content>{}</div><footer>Imprint</footer>",
+    "<div class=menu><a href=1>One</a><a href=2>Two</a></div><h1></h1>{}<div class=sidebar><p>More from us</p></div>",
+    "<table><tr><td><a href=1>Link</a></td><td>{}</td></tr></table>",
+    "<div id=top><a href=1>Log in</a></div><div><div>{}</div></div><div class=comments><p>I do not agree with it.</p></div>",
+    "{}<form><label>Your name</label><input></form><div class=related><a href=1>Read this as well</a></div>",
+]
+
+
+@pytest.mark.parametrize("page", UNMARKED)
+def test_pages_without_marks(weights, page):
+    assert html_extract.extract(page.replace("{}", STORY), weights) == STORY_TEXT
+    assert html_extract.extract(page.replace("{}", STORY), html_extract.PLAIN) == STORY_TEXT
+
+
 def test_extraction_equals_the_marked_articles(spark):
     import html
 
@@ -248,6 +346,30 @@ def test_language_on_held_out_rows(spark):
     assert (got[got.held_out].lang == got[got.held_out].lang_pred).mean() >= 0.99 and got.score.between(0, 1).all()
 
 
+def test_the_model_equals_a_plain_ridge_regression(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs, F.lit(True), sample=10_000, landmarks=6)
+    rows = [r for r in docs.collect() if r.lang is not None and langid.has_letter(r.text)]
+    marks = [set(np.flatnonzero(c).tolist()) for c in model.landmarks.bins.T]
+
+    def kernel(text):
+        own = set(np.flatnonzero(langid.presence([text])[0]).tolist())
+        return [len(own & m) / (max(len(own), 1) * max(len(m), 1)) ** 0.5 for m in marks]
+
+    x = np.c_[np.array([kernel(r.text) for r in rows]) @ model.landmarks.whiten, np.ones(len(rows))]
+    n_of = {c: sum(r.lang == c for r in rows) for c in model.languages}
+    weight = np.array([1 / n_of[r.lang] for r in rows])
+    y = np.array([[1.0 if c == r.lang else -1.0 for c in model.languages] for r in rows])
+    gram = x.T @ (x * weight[:, None])
+    ridge = langid.RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram))
+    want = np.linalg.solve(gram + ridge, x.T @ (y * weight[:, None]))
+    margins = x @ want
+    assert np.allclose(x @ model.weights, margins, atol=1e-4)
+    odds = np.exp(4 * (margins - margins.max(axis=1, keepdims=True)))
+    for r, m, o, (lang, score) in zip(rows, margins, odds, model.predict([r.text for r in rows])):
+        assert lang == model.languages[m.argmax()] and abs(score - 1 / o.sum()) < 1e-3
+
+
 def test_rare_languages_weigh_like_frequent_ones(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and length(text) > 40")
     common = docs.where("lang <> 'fr'").select(F.explode(F.sequence(F.lit(1), F.lit(200))).alias("copy"), "*")
