@@ -25,6 +25,8 @@ from ..session import materialize
 
 BLOCK_ROWS = 4096
 HOT_TOKEN = 10_000
+#: So many of them are broadcast at most: 16 bytes each.
+HOT_TOKENS = 1_000_000
 _EPS = 1e-9
 
 
@@ -162,10 +164,11 @@ def _similar_tokens(sets: DataFrame, threshold: float, block_rows: int) -> DataF
         "sid", "n", F.xxhash64("_token").alias("e")
     )
     counts = materialize(pieces.groupBy("e").agg(F.count(F.lit(1)).alias("f")), "frequencies")
-    # Tokens of very many sets: at most postings / HOT_TOKEN of them, so they may be broadcast and their
-    # postings stay where they are; all others are joined.
+    # Tokens of very many sets, at most postings / HOT_TOKEN of them. If they are counted to be few, they are broadcast and
+    # their postings stay where they are; all others are joined.
     hot = counts.where(F.col("f") > HOT_TOKEN).withColumnRenamed("f", "hot")
-    marked = pieces.join(F.broadcast(hot), "e", "left")
+    few = hot.limit(HOT_TOKENS + 1).count() <= HOT_TOKENS
+    marked = pieces.join(F.broadcast(hot) if few else hot, "e", "left")
     cold = marked.where("hot is null").drop("hot").join(counts.where(F.col("f") <= HOT_TOKEN), "e")
     known = marked.where("hot is not null").withColumnRenamed("hot", "f").unionByName(cold)
     place = F.row_number().over(Window.partitionBy("sid").orderBy("f", "e"))
