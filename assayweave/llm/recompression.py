@@ -14,24 +14,32 @@ anchors at equal places, hence a window whose anchor occurs once in all texts oc
    find each window's first occurrence;
 3. mark the words of all later occurrences and drop them.
 
-Texts are dealt once to chunks, ranges of ids; the three steps read that one exchange. Between the steps
-go packed arrays: one row for a chunk and a hash bucket. In a chunk an anchor or a window counts once, so a
-passage that a third of all texts share sends a row part per chunk, not per text.
+Texts are dealt once to chunks, ranges of (id, text) of about equal size in bytes; the three steps read that one
+exchange. An id that a third of all rows share, or lack, is many chunks, and so are equal rows. Between the steps go
+packed arrays: one row for a chunk and a hash bucket. In a chunk an anchor or a window counts once, so a passage that
+a third of all texts share sends a row part per chunk, not per text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FIRST_KEY, flat, pack, range_bounds, range_number, tasks_for
+from .common import FIRST_KEY, flat, pack, tasks_for
 from .textnp import Runs, Words, mix, slices, words
 
 WINDOW = 20
 ROUNDS = 3
 NAME, FIRST, SECOND = 101, 202, 303
+#: Text of a chunk; a longer text is in a chunk of its own, or with the rest of one.
+CHUNK_BYTES = 16 << 20
+#: Code points of a text that order rows of one id, before a hash of the whole text does.
+PREFIX = 256
+_SAMPLED = 256
 _NO = np.iinfo(np.int64).max
 
 
@@ -164,24 +172,64 @@ def _intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), ends.tolist()))
 
 
+def _order_key() -> dict[str, Column]:
+    """The order of rows: id, how the text begins, a hash of it; rows equal in all that are equal, and the split each is
+    read in cuts a group of very many of them."""
+    text = F.coalesce("text", F.lit(""))
+    return {"_id": F.col("doc_id"), "_head": F.left(text, F.lit(PREFIX)), "_hash": F.xxhash64(text), "_split": F.spark_partition_id()}
+
+
+def _chunk_bounds(rows: DataFrame, least: int) -> list[tuple]:
+    """Ascending order keys that cut the rows into parts of about equal bytes: ``least`` parts or as many as bring a part to
+    ``CHUNK_BYTES``. They come from about ``_SAMPLED`` sampled rows for each of ``least`` parts."""
+    n = rows.count()
+    share = min(1.0, _SAMPLED * least / max(n, 1))
+    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    sampled = rows.sample(share, seed=0) if share < 1 else rows
+    found = sorted(tuple(r) for r in sampled.select(*[c.alias(k) for k, c in _order_key().items()], size.alias("size")).collect())
+    if not found:
+        return []
+    through = np.cumsum([r[-1] for r in found])
+    parts = max(least, int(through[-1] / share) // CHUNK_BYTES + 1)
+    at = np.searchsorted(through, through[-1] * np.arange(1, parts) / parts)
+    return sorted({found[i][:-1] for i in at.tolist()})
+
+
+def _chunk_number(bounds: Sequence[tuple]) -> Column:
+    """Number of boundaries <= the row's order key, as a balanced CASE tree."""
+    key, types = F.struct(*_order_key()), ("bigint", "string", "bigint", "int")
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        bound = F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(bounds[mid], types, _order_key())])
+        return F.when(key >= bound, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds))
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, chunks: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text): texts without the words that an earlier equal window covers.
 
     Earlier means a smaller doc_id, or an earlier start in the same text; NULL ids come first. Rows that
-    share an id are ordered by their texts, and of equal rows all but one count as later. NULL texts have no
-    words; a text shorter than a window keeps all of them. The kept words are joined by one space, in a text
-    that loses nothing as well. ``chunks`` sets how many parts the texts are dealt to.
+    share an id are ordered by the first ``PREFIX`` code points of their texts, then by a hash of them, and of equal
+    rows all but one count as later. NULL texts have no words; a text shorter than a window keeps all of them. The
+    kept words are joined by one space, in a text that loses nothing as well. ``chunks`` sets how many parts the texts are
+    dealt to at least.
     """
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST_KEY))
     slim = docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = chunks or 2 * tasks_for(docs)
-    # Chunks are ranges of ids: a place is a chunk and a word's number in it, and places have the order of the rule.
-    dealt = slim.withColumn("chunk", range_number(F.col("doc_id"), range_bounds(slim, "doc_id", parts)))
+    bounds = _chunk_bounds(slim, chunks or 2 * tasks_for(docs))
+    parts = len(bounds) + 1
+    # Chunks are ranges of the order: a place is a chunk and a word's number in it, and places have the order of the rule.
+    keyed = slim.withColumns(_order_key())
+    dealt = keyed.select("doc_id", "text", F.col("_hash").alias("hash"), _chunk_number(bounds).alias("chunk")).repartition(parts, "chunk")
 
     def in_order(pdf: pd.DataFrame) -> tuple[np.ndarray, list[str | None]]:
-        ids = pdf["doc_id"].to_numpy(np.int64)
+        ids, hashes = (pdf[c].to_numpy(np.int64) for c in ("doc_id", "hash"))
         texts = [t if isinstance(t, str) else None for t in pdf["text"]]
-        order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i] or ""))
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], (texts[i] or "")[:PREFIX], hashes[i]))
         return ids[order], [texts[i] for i in order]
 
     def bucket_of(hashes: np.ndarray) -> np.ndarray:

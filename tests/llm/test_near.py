@@ -213,6 +213,24 @@ def test_repeats_in_odd_rows(spark):
     assert recompression.without_repeats(odd.empty(spark)).count() == 0
 
 
+def test_rows_of_one_id_are_many_chunks(spark, monkeypatch):
+    """A third of the rows have no id and another third are equal; neither is one chunk, and the result is that of the rule."""
+    monkeypatch.setattr(recompression, "CHUNK_BYTES", 2000)
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+
+    def own(i: int) -> str:
+        return " ".join(f"w{i}x{rng.randrange(9)}" for _ in range(25))
+
+    rows = [(None, f"{own(i)} {passage if i % 3 == 0 else own(i + 1000)}") for i in range(60)]
+    rows += [(7, passage + " end")] * 60
+    rows += [(100 + i, f"{own(i + 2000)} {passage}" if i % 4 == 0 else own(i + 3000)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    bounds = recompression._chunk_bounds(df.withColumn("doc_id", F.coalesce("doc_id", F.lit(common.FIRST_KEY))), 4)
+    assert sum(b[0] == common.FIRST_KEY for b in bounds) > 3 and sum(b[0] == 7 for b in bounds) > 3
+    assert result(recompression.without_repeats(df, 20, 3)) == removed_by_rule(rows, 20)
+
+
 @given(st.lists(st.sampled_from(["a", "b", "ab", "c"]), max_size=80), st.integers(0, 20))
 @settings(max_examples=150, deadline=None)
 def test_equal_windows_have_equal_anchors(own, gap):
