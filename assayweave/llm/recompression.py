@@ -38,8 +38,8 @@ NAME, FIRST, SECOND = 101, 202, 303
 #: Text of a chunk; a longer text is in a chunk of its own, or with the rest of one.
 CHUNK_BYTES = 16 << 20
 #: Code points of a text that order rows of one id, before a hash of the whole text does.
-PREFIX = 256
-_SAMPLED = 256
+PREFIX = 64
+_SAMPLED = 64
 _NO = np.iinfo(np.int64).max
 
 
