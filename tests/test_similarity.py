@@ -150,3 +150,43 @@ def test_hot_copies_do_not_blow_up(spark):
     pairs = similarity.class_pairs(df, "bits", 0.75, 64, 100)
     found = similarity.cliffs_of_pairs(members, pairs, "grp", "id", "v", 1.0, 100)
     assert found.count() == 3999
+
+
+@pytest.mark.parametrize("threshold,delta", [(0.3, 0.5), (0.6, 1.0), (0.6, 0.0)])
+@pytest.mark.parametrize("universe", [64, None])
+def test_group_pairs_give_the_cliffs_of_all_pairs(spark, threshold, delta, universe):
+    """Few bits at a low threshold, copies, NULL groups and values, sets without members."""
+    sets = random_sets(21, 50, 64)
+    rng = random.Random(4)
+    rows = [
+        (rng.choice(["x", "y", None]), i, rng.choice([4.0, 4.4, 5.0, 6.1, None]), sorted(s))
+        for i, s in sets.items()
+        for _ in range(rng.randint(0, 3))
+    ]
+    df = spark.createDataFrame(rows, "grp string, id bigint, v double, bits array<int>")
+    members = df.where(F.size("bits") > 0).select("grp", "id", "v", similarity.set_class("bits").alias("cls"))
+    out = []
+    for pairs in (
+        similarity.group_pairs(frame(spark, sets), "bits", threshold, members, "grp", "v", delta, universe, 4),
+        similarity.class_pairs(frame(spark, sets), "bits", threshold, universe, 4),
+    ):
+        found = similarity.cliffs_of_pairs(members, pairs, "grp", "id", "v", delta, 4).collect()
+        out.append(sorted((r["grp"], *sorted([tuple(r["a"]), tuple(r["b"])]), r["similarity"], r["delta"]) for r in found))
+    assert out[0] == out[1] and out[0]
+
+
+def test_sets_that_share_few_rare_elements_are_not_fetched(spark, monkeypatch):
+    """Each two of these share a rare element within their prefixes, but no two are similar."""
+    own = lambda i: {f"p{min(i, j)}-{max(i, j)}" for j in range(30) if j != i}
+    rows = [(i, sorted(own(i) | {f"common{k}" for k in range(71)})) for i in range(30)]
+    df = spark.createDataFrame(rows, "id bigint, words array<string>")
+    written = {}
+    kept = similarity.materialize
+
+    def materialize(frame, purpose):
+        written[purpose] = kept(frame, purpose)
+        return written[purpose]
+
+    monkeypatch.setattr(similarity, "materialize", materialize)
+    assert similarity.similar_classes(similarity.distinct_sets(df, "words"), 0.75).count() == 0
+    assert written["prefixes"].count() > 0 and written["candidates"].count() == 0
