@@ -137,9 +137,12 @@ def xref_summary(xref: DataFrame, keys: DataFrame | int) -> DataFrame:
 
 
 def pdb_entries(pdb: DataFrame, keys: DataFrame | int) -> DataFrame:
-    """Distinct entries of compounds."""
+    """Distinct entries of compounds.
+
+    They come in tasks of one ligand code each, which may hold very many: they are dealt anew before any is compared.
+    """
     columns = ["compound_key", "ligand_code", "pdb_id", "title", "method", "year", "resolution"]
-    return _by_keys(pdb, "compound_key", keys).select(*columns).distinct().orderBy(
+    return _by_keys(pdb, "compound_key", keys).select(*columns).repartition(*columns).distinct().orderBy(
         "compound_key", "pdb_id", "ligand_code"
     )
 

@@ -357,3 +357,13 @@ def test_stream_equals_batch_append(spark, tmp_path):
         incremental_stream(spark, source, schema, target, str(tmp_path / "cp"), "id").awaitTermination()
     loaded = sorted(map(tuple, spark.read.parquet(target).drop("_batch").collect()))
     assert loaded == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_entries_are_dealt_anew_before_they_are_compared(spark):
+    """One ligand's rows stand in one task; no task may collect them all as distinct rows."""
+    columns = "compound_key long, ligand_code string, pdb_id string, title string, method string, year int, resolution double"
+    pdb = spark.createDataFrame([(1, "L1", f"P{i % 50}", "t", "m", None, 1.5) for i in range(100)], columns).coalesce(1)
+    found = serving.pdb_entries(pdb, spark.createDataFrame([(1,)], "compound_key long"))
+    assert found.count() == 50
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RepartitionByExpression")
