@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from . import boosting
 
-#: Bound on the documents that trees and thresholds are fitted to.
-SAMPLE = 10_000
 PRECISION = 0.98
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -305,17 +303,12 @@ class Finder:
         return out
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Finder:
-    """Fit trees and thresholds on about ``sample`` documents at most, chosen by a hash of id and text.
+def fit(docs: DataFrame, precision: float = PRECISION) -> Finder:
+    """Fit trees and thresholds on all documents: every example of every text counts, equal ones as one row with a weight.
 
-    Only texts with a digit or an @ can teach anything, so only they are counted and chosen from; what is counted at the
-    levels of scores are all examples of the chosen rows that grew no tree.
+    Texts without a digit or an @ hold no example.
     """
-    known = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("id")).where(F.col("text").rlike("[0-9@]"))
-    n = known.count()
-    if n > sample:
-        known = known.where(F.pmod(F.xxhash64("text", "id"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
-    texts = known.select("text")
+    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,17 +319,19 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) ->
                 types = [pa.string(), pa.list_(pa.float64()), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "x", "y", "part"])
 
-    rows = materialize(texts.mapInArrow(make, "kind string, x array<double>, y int, part int"), "candidates")
-    trees = boosting.fit(rows, F.col("part") == 0)
+    made = texts.mapInArrow(make, "kind string, x array<double>, y int, part int")
+    rows = materialize(made.groupBy("kind", "x", "y", "part").agg(F.count(F.lit(1)).alias("weight")), "candidates")
+    trees = boosting.fit(rows, F.col("part") == 0, weight="weight")
 
     def rate(batches):
         for batch in batches:
             if len(batch):
-                yield batch.assign(score=trees.score(np.array(batch["x"].tolist(), float)).round(6))[["kind", "score", "y"]]
+                yield batch.assign(score=trees.score(np.array(batch["x"].tolist(), float)).round(6))[["kind", "score", "y", "weight"]]
 
     # Calibrated scores have few levels, so the counts below are few rows.
-    rated = rows.where("part = 0").select("kind", "x", "y").mapInPandas(rate, "kind string, score double, y int")
-    levels = rated.groupBy("kind", "score").agg(F.sum("y").alias("yes"), F.count(F.lit(1)).alias("n")).toPandas()
+    rated = rows.where("part = 0").select("kind", "x", "y", "weight").mapInPandas(rate, "kind string, score double, y int, weight bigint")
+    yes = F.sum(F.col("y") * F.col("weight")).alias("yes")
+    levels = rated.groupBy("kind", "score").agg(yes, F.sum("weight").alias("n")).toPandas()
     thresholds = {}
     for kind in KINDS:
         own = levels[levels["kind"] == kind].sort_values("score", ascending=False)

@@ -534,3 +534,17 @@ def test_personal_data_of_odd_tables(spark):
     got = pii.spans(odd.docs(spark), finder)
     assert got.count() == len(odd.rows()) and got.where("spans is null").count() == 0
     assert pii.spans(odd.empty(spark), pii.fit(odd.empty(spark))).count() == 0
+
+
+def test_personal_data_is_learned_from_every_document(spark, monkeypatch):
+    docs = spark.range(10_500).select(F.col("id").alias("doc_id"), F.format_string("tel +49 %d or 12.%d", F.col("id") + 10**8, F.col("id") % 90).alias("text"))
+    kept, written = pii.materialize, []
+
+    def materialize(frame, purpose):
+        written.append(kept(frame, purpose))
+        return written[-1]
+
+    monkeypatch.setattr(pii, "materialize", materialize)
+    pii.fit(docs)
+    made = sum(len(list(pii.examples(r.text))) for r in docs.collect())
+    assert written[0].agg(F.sum("weight")).first()[0] == made > written[0].count()
