@@ -23,6 +23,8 @@ from .common import FIRST_KEY, range_bounds, range_number, tasks_for
 from .textnp import TaskCache
 
 SEGMENT = 2_500_000
+#: Pieces that go to the library at once: its encodings are far larger than the ids kept of them.
+AT_ONCE = 10_000
 END = 2
 #: The pre-tokenizer of byte-level BPE files without a prefix space. Fixed by these files.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,7 +54,11 @@ class Encoder:
         self.pieces = regex.compile(PIECES)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[np.ndarray] = []
+        for at in range(0, len(texts), AT_ONCE):
+            coded = self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in coded]
+        return out
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
