@@ -70,37 +70,32 @@ def _read_out(model) -> Trees:
     return Trees(*columns, depth, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
 
-def fit(
-    rows: DataFrame, calibrates: Column, rounds: int = 20, depth: int = 3, seed: int = 7, weight: str | None = None
-) -> Trees:
+def fit(rows: DataFrame, calibrates: Column, rounds: int = 20, depth: int = 3, seed: int = 7) -> Trees:
     """Trees for (``x`` array<double>, ``y`` 0 or 1); rows where ``calibrates`` holds fit the calibration only.
 
-    ``rows`` is written by the caller; each counts once, or as often as its column ``weight`` says. With a single label the score is that label; without
+    ``rows`` is written by the caller. With a single label the score is that label; without
     rows it is 0. Should the calibration rows hold a single label, all rows calibrate.
     """
     counted = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counted) < 2:
         return _constant(float(next(iter(counted), 0)))
-    weighed = [F.col(weight).cast("double").alias("weight")] if weight else []
-    column = {"weightCol": "weight"} if weight else {}
-    data = rows.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), "x", calibrates.alias("apart"), *weighed)
+    data = rows.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), "x", calibrates.alias("apart"))
     grow = data.where(~F.col("apart"))
     if grow.select("label").distinct().count() < 2:
         grow = data
-    gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=32, minInstancesPerNode=2, seed=seed, **column)
-    trees = _read_out(gbt.fit(grow.drop("x", "apart")))
+    gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, maxBins=32, minInstancesPerNode=2, seed=seed)
+    trees = _read_out(gbt.fit(grow.select("features", "label")))
 
     def raw(batches):
         for batch in batches:
             x = np.array(batch["x"].tolist(), float)
             if len(x):
-                yield batch.assign(raw=1 / (1 + np.exp(-2 * trees.margin(x))))[["raw", "label", *column.values()]]
+                yield batch.assign(raw=1 / (1 + np.exp(-2 * trees.margin(x))))[["raw", "label"]]
 
     held = data.where("apart")
     if held.select("label").distinct().count() < 2:
         held = data
-    kept = T.StructType().add("raw", "double").add("label", "double")
-    scored = held.drop("features", "apart").mapInPandas(raw, kept.add("weight", "double") if weight else kept)
-    isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", **column).fit(scored)
+    scored = held.select("x", "label").mapInPandas(raw, T.StructType().add("raw", "double").add("label", "double"))
+    isotonic = IsotonicRegression(featuresCol="raw", labelCol="label").fit(scored)
     trees.levels, trees.calibrated = isotonic.boundaries.toArray(), isotonic.predictions.toArray()
     return trees

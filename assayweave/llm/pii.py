@@ -304,9 +304,9 @@ class Finder:
 
 
 def fit(docs: DataFrame, precision: float = PRECISION) -> Finder:
-    """Fit trees and thresholds on all documents: every example of every text counts, equal ones as one row with a weight.
+    """Fit trees and thresholds on all documents: every example of every text counts.
 
-    Texts without a digit or an @ hold no example.
+    Texts without a digit or an @ teach nothing. Rows are written once; trees and calibration go over them with Spark ML.
     """
     texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
 
@@ -319,19 +319,17 @@ def fit(docs: DataFrame, precision: float = PRECISION) -> Finder:
                 types = [pa.string(), pa.list_(pa.float64()), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["kind", "x", "y", "part"])
 
-    made = texts.mapInArrow(make, "kind string, x array<double>, y int, part int")
-    rows = materialize(made.groupBy("kind", "x", "y", "part").agg(F.count(F.lit(1)).alias("weight")), "candidates")
-    trees = boosting.fit(rows, F.col("part") == 0, weight="weight")
+    rows = materialize(texts.mapInArrow(make, "kind string, x array<double>, y int, part int"), "candidates")
+    trees = boosting.fit(rows, F.col("part") == 0)
 
     def rate(batches):
         for batch in batches:
             if len(batch):
-                yield batch.assign(score=trees.score(np.array(batch["x"].tolist(), float)).round(6))[["kind", "score", "y", "weight"]]
+                yield batch.assign(score=trees.score(np.array(batch["x"].tolist(), float)).round(6))[["kind", "score", "y"]]
 
     # Calibrated scores have few levels, so the counts below are few rows.
-    rated = rows.where("part = 0").select("kind", "x", "y", "weight").mapInPandas(rate, "kind string, score double, y int, weight bigint")
-    yes = F.sum(F.col("y") * F.col("weight")).alias("yes")
-    levels = rated.groupBy("kind", "score").agg(yes, F.sum("weight").alias("n")).toPandas()
+    rated = rows.where("part = 0").select("kind", "x", "y").mapInPandas(rate, "kind string, score double, y int")
+    levels = rated.groupBy("kind", "score").agg(F.sum("y").alias("yes"), F.count(F.lit(1)).alias("n")).toPandas()
     thresholds = {}
     for kind in KINDS:
         own = levels[levels["kind"] == kind].sort_values("score", ascending=False)

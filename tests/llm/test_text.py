@@ -547,4 +547,4 @@ def test_personal_data_is_learned_from_every_document(spark, monkeypatch):
     monkeypatch.setattr(pii, "materialize", materialize)
     pii.fit(docs)
     made = sum(len(list(pii.examples(r.text))) for r in docs.collect())
-    assert written[0].agg(F.sum("weight")).first()[0] == made > written[0].count()
+    assert written[0].count() == made > 0
