@@ -24,6 +24,8 @@ from .textnp import LOWER, NO_TERM, Words, slices, words
 
 #: Bound on the labelled rows that lexicon, trees and calibration are fitted to.
 SAMPLE = 20_000
+#: Characters and rows whose features a task holds at once when it scores: features take some 90 times their texts' memory.
+SCORED, ROWS = 1_000_000, 512
 FOLDS = 4
 STEMS = (4, 5, 6)
 SEED = 53
@@ -165,7 +167,7 @@ def _lexicons(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             texts, part, y = (c.to_pylist() for c in batch.columns)
             cell = np.array(part, np.int64) * 2 + np.array(y, np.int64)
             terms, cells = [], []
-            for cut in slices(texts):
+            for cut in slices(texts, SCORED):
                 w = words(texts[cut], lower=True, between=NO_TERM)
                 of = np.tile(w.text_of_word(), 1 + len(STEMS))
                 keys = np.concatenate(_keys(w))
@@ -226,7 +228,7 @@ class Model:
         self.terms, self.weights, self.trees = terms, weights, trees
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        return [s for cut in slices(texts) for s in self.trees.score(features(texts[cut], self.terms, self.weights)).tolist()]
+        return [s for cut in slices(texts, SCORED) for s in self.trees.score(features(texts[cut], self.terms, self.weights)).tolist()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, learns: Column, sample: int = SAMPLE) -> Model:
@@ -253,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, sample: int = SAMPLE
             texts, part, y = (c.to_pylist() for c in batch.columns)
             for p in sorted(set(part)):
                 at = [i for i, q in enumerate(part) if q == p]
-                for cut in slices([texts[i] for i in at]):
+                for cut in slices([texts[i] for i in at], SCORED):
                     x = features([texts[i] for i in at[cut]], *own[p])
                     columns = [pa.array(list(x)), pa.array([y[i] for i in at[cut]], pa.int32()), pa.array([p] * len(x), pa.int32())]
                     yield pa.RecordBatch.from_arrays(columns, ["x", "y", "part"])
@@ -262,11 +264,18 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, sample: int = SAMPLE
     return Model(*_lexicon(terms, weights, FOLDS), boosting.fit(examples, F.col("part") == 0))
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS`` rows: only so many texts are Python strings, and rows of a result, at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) for every row, where it is read. NULL, empty and wordless texts get the score of no features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = model.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
@@ -279,7 +288,7 @@ def rejecting(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = model.scores(batch.column(place).to_pylist())
             yield batch.filter(pa.array([s < threshold for s in found], pa.bool_()))
 

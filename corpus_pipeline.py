@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from assayweave.llm import decontaminate, mixing, simhash, token_output, toxicity
 from assayweave.llm.common import table
-from assayweave.session import materialize, scratch_dir
+from assayweave.session import materialize, scratch_dir, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -23,6 +23,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the model of all labelled rows does not reject. NULL and empty texts have a score like any other, repeated
     rows the same one; labels of unknown, NULL or repeated ids are no error, and without labels nothing goes."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.rejecting(docs, model)
 
@@ -30,12 +31,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, the one of the smallest id. NULL, empty and wordless texts are one group, repeated rows
     another; NULL ids come last."""
+    small_batches(spark)
     return simhash.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item. NULL and empty texts hold none; repeated rows stay or go together; items
     that are NULL, empty or repeated change nothing."""
+    small_batches(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -48,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token files: a row for each row of ``docs``, with ids in ascending order and NULL ids first. NULL and
     empty texts have their end id only; an empty table gives no rows."""
+    small_batches(spark)
     path = scratch_dir(spark, "tokens")
     token_output.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_output.digests(spark, path)
