@@ -7,7 +7,9 @@ Three adaptive models predict the symbol: without context, from the last rank, a
 distributions are mixed by weights that follow which of them has done best lately, and the mix drives the
 coder. All state is reset at the start of a block and all of it is integers, so a block decodes anywhere.
 
-The blocks of a segment are the lanes of the arrays below: one step codes one rank of every block.
+The blocks of a segment are the lanes of the arrays below: one step codes one rank of every block. A distribution is 12
+cumulative frequencies of 16 bits in three 64-bit words, which are mixed, moved and compared four at a time; no
+frequency exceeds its 16 bits, so none reaches into the next.
 """
 
 from __future__ import annotations
@@ -21,167 +23,236 @@ GROUPS = 9
 HIT_2, HIT_1, SYMBOLS = GROUPS, GROUPS + 1, GROUPS + 2
 #: Contexts of the second and third model, and slots for what followed one and two ranks; powers of two.
 CONTEXTS_1, CONTEXTS_2, SLOTS_1, SLOTS_2 = 64, 256, 1024, 2048
-SCALE, RATES, FLOOR = 14, (5, 4, 4), 12
-_ROW = np.dtype((np.void, 2 * SYMBOLS))
-_WORD, _STATE = np.uint64(16), np.uint64((1 << 48) - 1)
-_TOP, _BOTTOM, _LOW_WORD = np.uint64(1 << 32), np.uint64(1 << 16), np.uint64(0xFFFF)
-#: First rank of each group, and the bits of a place in it.
+WORDS = 3
+#: Total of a model (WEIGHTS of them stay below 2^16) and of the mix, and the least width of a symbol in the mix.
+FULL, WEIGHTS, SCALE, FLOOR = 8160, 8, 15, 11
+#: Of a frequency and its target, a sixteenth of the distance is gone at each step.
+RATE = 4
+#: The coder moves 32 bits out when its range falls below 2^30; a symbol and a place leave at least 1 of that.
+_BITS, _LEAST, _DIGIT = np.uint64(30), np.uint64(1 << 30), np.uint64(32)
+_ONE, _SCALE, _TWO = np.uint64(1), np.uint64(SCALE), np.uint64(2)
+_EACH, _HIGH, _HALF = (np.uint64(0x0001000100010001 * k) for k in (1, 0x8000, 0x7FFF))
+#: First rank of each group (0 for hits), and the bits of a place in it.
 FIRST = np.array([0, *(4 ** (g + 1) for g in range(GROUPS))], np.int64)[:GROUPS]
-BITS = np.array([2 * (g + 1) for g in range(GROUPS)], np.int64)
+FIRST_OF = np.r_[FIRST, 0, 0]
+BITS_OF = np.array([*(2 * (g + 1) for g in range(GROUPS)), 0, 0], np.uint64)
+MOST_OF = (_ONE << BITS_OF) - _ONE
+
+
+def _words(fields: np.ndarray) -> np.ndarray:
+    """12 frequencies as three words; further axes stay."""
+    parts = np.asarray(fields, np.uint64).reshape(WORDS, 4, *np.shape(fields)[1:])
+    return (parts << (np.uint64(16) * np.arange(4, dtype=np.uint64)).reshape(4, *[1] * (parts.ndim - 2))).sum(axis=1, dtype=np.uint64)
+
+
+_FIELD = np.arange(4 * WORDS)
+_EVEN = _words(FULL * _FIELD // SYMBOLS)
+_BASE = _words(np.where(_FIELD < SYMBOLS, FLOOR * _FIELD, (1 << SCALE) - (FULL * WEIGHTS >> 1)))[:, None]
+#: What a symbol adds to each frequency, and the bits that a frequency keeps when it is shifted.
+_TARGET = _words(np.where(_FIELD[:, None] > np.arange(SYMBOLS), FULL >> RATE, 0))
+_RATE, _KEEP = np.uint64(RATE), np.uint64(0xFFFF >> RATE) * _EACH
+_HASH_1, _HASH_2, _HASH = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 
 
 class _Predictor:
     """The models of ``lanes`` blocks."""
 
     def __init__(self, lanes: int):
-        even = ((np.arange(1, SYMBOLS + 1) << SCALE) // SYMBOLS).astype(np.int16)
-        self.lane = np.arange(lanes)
-        # A row of cumulative frequencies is moved as one item.
-        self.tables = [np.tile(even, lanes * n).view(_ROW) for n in (1, CONTEXTS_1, CONTEXTS_2)]
-        self.base = [self.lane * n for n in (CONTEXTS_1, CONTEXTS_2, SLOTS_1, SLOTS_2)]
-        self.after_1 = np.full(lanes * SLOTS_1, -1, np.int32)
-        self.after_2 = np.full(lanes * SLOTS_2, -1, np.int32)
+        lane = np.arange(lanes)
+        self.shift_rows = np.array([[26], [24]], np.uint32)
+        self.shift_slots = np.array([[22], [21]], np.uint32)
+        # All rows of a block stand beside each other, as do the slots for what followed.
+        contexts, slots = 1 + CONTEXTS_1 + CONTEXTS_2, SLOTS_1 + SLOTS_2
+        self.table = np.tile(_EVEN, lanes * contexts)
+        self.rows = WORDS * (contexts * lane + np.array([[0], [1], [1 + CONTEXTS_1]]))
+        self.slots = slots * lane + np.array([[0], [SLOTS_1]])
+        self.after = np.full(lanes * slots, -1, np.int32)
         self.gains = np.zeros((2, lanes), np.int32)
         self.last = np.zeros((2, lanes), np.uint32)
-        self.targets = np.triu(np.full((SYMBOLS, SYMBOLS), 1 << SCALE, np.int16)).reshape(-1).view(_ROW)
-        self.floor = (FLOOR * np.arange(1, SYMBOLS + 1)).astype(np.int32)
-
-    def predict(self, n: int) -> np.ndarray:
-        """Cumulative frequencies [lane, symbol] for the first ``n`` lanes; sets the ranks that hits stand for."""
-        h1 = self.last[0, :n] * np.uint32(0x9E3779B1)
-        h2 = (h1 + self.last[1, :n] * np.uint32(0x85EBCA6B)) * np.uint32(0xC2B2AE35)
-        c1, c2, s1, s2 = (base[:n] for base in self.base)
-        self.at = [slice(0, n), c1 + (h1 >> np.uint32(26)), c2 + (h2 >> np.uint32(24))]
-        self.slot_1, self.slot_2 = s1 + (h1 >> np.uint32(22)), s2 + (h2 >> np.uint32(21))
-        self.hit_1, self.hit_2 = self.after_1.take(self.slot_1), self.after_2.take(self.slot_2)
-        rows = [self.tables[0][:n], self.tables[1].take(self.at[1]), self.tables[2].take(self.at[2])]
-        self.own = [r.view(np.int16).reshape(n, SYMBOLS) for r in rows]
-        w1, w2 = 1 + (self.gains[:, :n] * 60 >> 10)
-        mixed = self.own[1] * w1[:, None]
-        mixed += self.own[2] * w2[:, None]
-        mixed += self.own[0] * (64 - w1 - w2)[:, None]
-        mixed >>= 6
-        mixed *= (1 << SCALE) - FLOOR * SYMBOLS
-        mixed >>= SCALE
-        mixed += self.floor
-        return mixed
-
-    def learn(self, n: int, symbol: np.ndarray, rank: np.ndarray) -> None:
-        here = self.base_of(n) + symbol
-        before = here - (symbol > 0)
-        given = [own.reshape(-1).take(here) - own.reshape(-1).take(before) * (symbol > 0) for own in self.own]
-        gains = self.gains[:, :n]
-        gains[0] += (((given[1] > given[0]) & (given[1] >= given[2])) * np.int32(1024) - gains[0]) >> 4
-        gains[1] += (((given[2] > given[0]) & (given[2] > given[1])) * np.int32(1024) - gains[1]) >> 4
-        target = self.targets.take(symbol).view(np.int16).reshape(n, SYMBOLS)
-        for table, at, own, rate in zip(self.tables, self.at, self.own, RATES):
-            step = target - own
-            step >>= rate
-            step += own
-            table[at] = step.reshape(-1).view(_ROW)
-        self.after_1[self.slot_1] = rank
-        self.after_2[self.slot_2] = rank
-        self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = rank
-
-    def base_of(self, n: int) -> np.ndarray:
-        return self.lane[:n] * SYMBOLS
-
-
-def _bounds(cumulative: np.ndarray, base: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    here, some = base + symbol, symbol > 0
-    low = cumulative.reshape(-1).take(here - some) * some
-    return low.astype(np.uint64), (cumulative.reshape(-1).take(here) - low).astype(np.uint64)
+        self.n = -1
+
+    def only(self, n: int) -> None:
+        """From now on the first ``n`` lanes."""
+        if n != self.n:
+            self.n = n
+            self.rows, self.slots, self.gains, self.last = (np.ascontiguousarray(x[:, :n]) for x in (self.rows, self.slots, self.gains, self.last))
+            self.hashed = np.zeros((2, n), np.uint32)
+            self.weights = np.zeros((3, 1, n), np.uint64)
+            # Words of the three models and of the mix, and the frequencies in them.
+            self.own = np.empty((4, WORDS, n), np.uint64)
+            self.fields = self.own.view(np.uint16).reshape(4, -1)
+            self.lane = 4 * np.arange(n)
+            self.place = (_FIELD >> 2) * 4 * n + (_FIELD & 3)
+            self.at_rows = self.rows[:, None, :] + np.arange(WORDS)[:, None]
+            self.at_flat = self.at_rows.reshape(-1)
+            self.begin = self.at_rows[1:].copy()
+
+    def predict(self) -> None:
+        """Mix the models; sets the ranks that hits stand for."""
+        h = self.hashed
+        np.multiply(self.last[0], _HASH_1, out=h[0])
+        np.multiply(self.last[1], _HASH_2, out=h[1])
+        h[1] += h[0]
+        h[1] *= _HASH
+        rows = h >> self.shift_rows
+        rows *= np.uint32(WORDS)
+        np.add(self.begin, rows[:, None, :], out=self.at_rows[1:])
+        self.at_slots = self.slots + (h >> self.shift_slots)
+        self.hit_1, self.hit_2 = self.after.take(self.at_slots)
+        own, mixed = self.own[:3], self.own[3]
+        np.take(self.table, self.at_flat, out=own.reshape(-1), mode="clip")
+        weights = self.gains * np.int32(WEIGHTS - 1)
+        weights += 512
+        weights >>= 10
+        self.weights[1:, 0] = weights
+        self.weights[0, 0] = WEIGHTS - weights[0] - weights[1]
+        np.add.reduce(own * self.weights, axis=0, out=mixed)
+        mixed >>= _ONE
+        mixed &= _HALF
+        mixed += _BASE
+
+    def symbol_at(self, value: np.ndarray) -> np.ndarray:
+        """The symbols in whose part of the mix the values lie."""
+        above = value * _EACH
+        above |= _HIGH
+        held = above - self.own[3]
+        held &= _HIGH
+        counts = np.bitwise_count(held)
+        return (counts[0] + counts[1] + counts[2]).astype(np.int64) - 1
+
+    def bounds(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, width) of the symbols in the mix."""
+        low = self.fields.take(self.place.take(symbol) + self.lane, axis=1)
+        self.given = self.fields.take(self.place[1:].take(symbol) + self.lane, axis=1) - low
+        return low[3].astype(np.uint64), self.given[3].astype(np.uint64)
+
+    def learn(self, symbol: np.ndarray, rank: np.ndarray) -> None:
+        """After ``bounds``."""
+        zero, one, two, _ = self.given
+        best = np.stack([(one > zero) & (one >= two), (two > zero) & (two > one)])
+        step = best * np.int32(1024)
+        step -= self.gains
+        step >>= 4
+        self.gains += step
+        own = self.own[:3]
+        fall = own >> _RATE
+        fall &= _KEEP
+        own -= fall
+        own += _TARGET.take(symbol, axis=1)
+        self.table[self.at_flat] = own.reshape(-1)
+        self.after[self.at_slots] = rank
+        self.last[1] = self.last[0]
+        self.last[0] = rank
 
 
 class _Writer:
+    """Digits of 32 bits; a carry stays in the upper half of its digit until all are there."""
+
     def __init__(self, lanes: int, steps: int):
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, _STATE, np.uint64)
-        self.out = np.zeros((lanes, 4 * steps + 8), np.uint16)
-        self.size = np.zeros(lanes, np.int64)
-
-    def put(self, n: int, low: np.ndarray, width: np.ndarray, bits: np.ndarray | np.uint64) -> None:
-        unit = self.range[:n] >> bits
-        self.low[:n] += unit * low
-        self.range[:n] = unit * width
-        self._shift(n)
-
-    def _shift(self, n: int) -> None:
-        at, low, size = None, self.low[:n], self.range[:n]
-        while True:
-            settled = (low ^ (low + size)) < _TOP
-            small = ~settled & (size < _BOTTOM)
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                return
-            at, low, size, small = move if at is None else at[move], low[move], size[move], small[move]
-            size = np.where(small, (~low + np.uint64(1)) & _LOW_WORD, size)
-            self.out[at, self.size[at]] = (low >> np.uint64(32)).astype(np.uint16)
-            self.size[at] += 1
-            low, size = (low << _WORD) & _STATE, size << _WORD
-            self.low[at], self.range[at] = low, size
+        self.range = np.full(lanes, 1 << 62, np.uint64)
+        self.out = np.zeros((lanes, steps + 1), np.uint64)
+        self.flat = self.out.reshape(-1)
+        self.begin = np.arange(lanes) * (steps + 1)
+        self.at = self.begin.copy()
+
+    def put(self, n: int, low: np.ndarray, width: np.ndarray, place: np.ndarray, bits: np.ndarray) -> None:
+        """A symbol by its bounds, then a place of so many bits."""
+        bottom, size, at = self.low[:n], self.range[:n], self.at[:n]
+        size >>= _SCALE
+        low *= size
+        bottom += low
+        size *= width
+        size >>= bits
+        bottom += size * place
+        digit = bottom >> _BITS
+        self.flat[at] = digit  # counts only if the lane moves on
+        move = size < _LEAST
+        at += move
+        shift = move * _DIGIT
+        digit *= move
+        digit <<= _BITS
+        bottom -= digit
+        bottom <<= shift
+        size <<= shift
 
     def close(self) -> list[bytes]:
-        for k in (32, 16, 0):
-            self.out[np.arange(len(self.low)), self.size] = ((self.low >> np.uint64(k)) & _LOW_WORD).astype(np.uint16)
-            self.size += 1
-        little = self.out.astype("<u2")
-        return [little[i, :s].tobytes() for i, s in enumerate(self.size)]
+        # The least value of whole digits in the range: 2^30 fit in it.
+        self.flat[self.at] = (self.low + _LEAST - _ONE) >> _BITS
+        sizes = self.at - self.begin + 1
+        out = self.out[:, : int(sizes.max())]
+        while (carry := out >> _DIGIT).any():
+            out &= np.uint64(0xFFFFFFFF)
+            out[:, :-1] += carry[:, 1:]
+        little = out.astype("<u4")
+        return [little[i, :s].tobytes() for i, s in enumerate(sizes.tolist())]
 
 
 class _Reader:
     def __init__(self, blocks: list[bytes]):
-        lengths = np.array([len(b) // 2 for b in blocks])
-        self.data = np.zeros((len(blocks), int(lengths.max(initial=0)) + 8), np.uint16)
-        for row, b in zip(self.data, blocks):
-            row[: len(b) // 2] = np.frombuffer(b, "<u2")
-        self.low = np.zeros(len(blocks), np.uint64)
-        self.range = np.full(len(blocks), _STATE, np.uint64)
-        head = self.data[:, :3].astype(np.uint64)
-        self.code = (head[:, 0] << np.uint64(32)) | (head[:, 1] << _WORD) | head[:, 2]
-        self.place = np.full(len(blocks), 3, np.int64)
-
-    def value(self, n: int, bits: np.ndarray | np.uint64) -> np.ndarray:
-        self.unit = self.range[:n] >> bits
-        most = (np.uint64(1) << bits) - np.uint64(1)
-        return np.minimum(((self.code[:n] - self.low[:n]) & _STATE) // self.unit, most)
-
-    def take(self, n: int, low: np.ndarray, width: np.ndarray) -> None:
-        self.low[:n] += self.unit * low
-        self.range[:n] = self.unit * width
-        at, low_, size = None, self.low[:n], self.range[:n]
-        while True:
-            settled = (low_ ^ (low_ + size)) < _TOP
-            small = ~settled & (size < _BOTTOM)
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                return
-            at, low_, size, small = move if at is None else at[move], low_[move], size[move], small[move]
-            size = np.where(small, (~low_ + np.uint64(1)) & _LOW_WORD, size)
-            word = self.data[at, np.minimum(self.place[at], self.data.shape[1] - 1)].astype(np.uint64)
-            self.code[at] = ((self.code[at] << _WORD) & _STATE) | word
-            self.place[at] += 1
-            low_, size = (low_ << _WORD) & _STATE, size << _WORD
-            self.low[at], self.range[at] = low_, size
+        most = max(len(b) // 4 for b in blocks) + 3
+        data = np.zeros((len(blocks), most), np.uint64)
+        for row, b in zip(data, blocks):
+            row[: len(b) // 4] = np.frombuffer(b, "<u4")
+        # 62 bits are in the coder, so later digits begin two bits before a word's end.
+        self.code = (data[:, 0] << _BITS) | (data[:, 1] >> _TWO)
+        self.range = np.full(len(blocks), 1 << 62, np.uint64)
+        later = data[:, 1:-1] & np.uint64(3)
+        later <<= _BITS
+        later |= data[:, 2:] >> _TWO
+        self.data = later.reshape(-1)
+        self.at = np.arange(len(blocks)) * later.shape[1]
+
+    def value(self, n: int) -> np.ndarray:
+        self.range[:n] >>= _SCALE
+        return np.minimum(self.code[:n] // self.range[:n], np.uint64((1 << SCALE) - 1))
+
+    def take(self, n: int, low: np.ndarray, width: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """After ``value``: take the symbol out, and the place in it, which is returned."""
+        code, size, at = self.code[:n], self.range[:n], self.at[:n]
+        low *= size
+        code -= low
+        size *= width
+        size >>= BITS_OF.take(symbol)
+        place = np.minimum(code // size, MOST_OF.take(symbol))
+        code -= size * place
+        move = size < _LEAST
+        shift = move * _DIGIT
+        code <<= shift
+        code |= self.data.take(at, mode="clip") * move
+        size <<= shift
+        at += move
+        return place.astype(np.int64)
+
+
+def _ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids by falling frequency, the rank of every id)."""
+    if int(ids.max()) < 1 << 20:
+        times = np.bincount(ids)
+        values = np.flatnonzero(times)
+        values = values[np.lexsort((values, -times[values]))]
+        rank_of = np.zeros(len(times), np.int32)
+        rank_of[values] = np.arange(len(values))
+        return values.astype(np.uint32), rank_of.take(ids)
+    values, of, times = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.lexsort((values, -times))
+    rank_of = np.empty(len(values), np.int32)
+    rank_of[order] = np.arange(len(values))
+    return values[order], rank_of[of]
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, list[bytes]]:
     """(dictionary: ids by falling frequency, coded blocks of ``block`` ids each, the last one shorter).
 
-    A block is the crc32 of its ids as little-endian unsigned 32-bit integers, then the range coder's words.
+    A block is the crc32 of its ids as little-endian unsigned 32-bit integers, then the range coder's digits.
     """
     ids = np.ascontiguousarray(ids, np.uint32)
     if not len(ids):
         return np.zeros(0, np.uint32), []
-    values, of, times = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((values, -times))
-    rank_of = np.empty(len(values), np.int32)
-    rank_of[order] = np.arange(len(values))
+    values, flat_ranks = _ranked(ids)
+    groups = np.searchsorted(FIRST, np.arange(len(values)), "right") - 1
     lanes, steps = -(-len(ids) // block), min(block, len(ids))
     ranks = np.zeros((steps, lanes), np.int32)
-    flat_ranks = rank_of[of]
-    del of
     full = len(ids) // block
     ranks[:, :full] = flat_ranks[: full * block].reshape(full, -1).T if full else 0
     tail = flat_ranks[full * block :]
@@ -191,18 +262,19 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, list[bytes]
     models, out = _Predictor(lanes), _Writer(lanes, steps)
     for t in range(steps):
         n = lanes if not len(tail) or t < len(tail) else full
-        r, base = ranks[t, :n].astype(np.int64), models.base_of(n)
-        group = np.searchsorted(FIRST, r, "right") - 1
-        mixed = models.predict(n)
-        symbol = np.where(models.hit_2 == r, HIT_2, np.where(models.hit_1 == r, HIT_1, group))
-        out.put(n, *_bounds(mixed, base, symbol), np.uint64(SCALE))
-        plain = symbol < GROUPS
-        bits = np.where(plain, BITS[group], 0).astype(np.uint64)
-        out.put(n, np.where(plain, r - FIRST[group], 0).astype(np.uint64), np.uint64(1), bits)
-        models.learn(n, symbol, r)
+        r = ranks[t, :n]
+        models.only(n)
+        models.predict()
+        symbol = groups.take(r)
+        np.copyto(symbol, HIT_1, where=models.hit_1 == r)
+        np.copyto(symbol, HIT_2, where=models.hit_2 == r)
+        place = (r - FIRST_OF.take(symbol)).astype(np.uint64)
+        place &= MOST_OF.take(symbol)  # none for hits
+        out.put(n, *models.bounds(symbol), place, BITS_OF.take(symbol))
+        models.learn(symbol, r)
     little = ids.astype("<u4")
     sums = [zlib.crc32(little[i : i + block].tobytes()) for i in range(0, len(ids), block)]
-    return values[order], [s.to_bytes(4, "little") + b for s, b in zip(sums, out.close())]
+    return values, [s.to_bytes(4, "little") + b for s, b in zip(sums, out.close())]
 
 
 def decode(dictionary: np.ndarray, blocks: list[bytes], n_ids: int, block: int = BLOCK) -> np.ndarray:
@@ -215,20 +287,15 @@ def decode(dictionary: np.ndarray, blocks: list[bytes], n_ids: int, block: int =
     ranks = np.zeros((steps, lanes), np.int32)
     for t in range(steps):
         n = lanes if not tail or t < tail else full
-        base = models.base_of(n)
-        mixed = models.predict(n)
-        value = source.value(n, np.uint64(SCALE))
-        symbol = (mixed <= value.astype(np.int32)[:, None]).sum(axis=1)
-        symbol = np.minimum(symbol, SYMBOLS - 1)
-        source.take(n, *_bounds(mixed, base, symbol))
-        plain = symbol < GROUPS
-        group = np.where(plain, symbol, 0)
-        bits = np.where(plain, BITS[group], 0).astype(np.uint64)
-        place = source.value(n, bits)
-        source.take(n, place, np.uint64(1))
-        r = np.where(plain, FIRST[group] + place.astype(np.int64), np.where(symbol == HIT_2, models.hit_2, models.hit_1))
+        models.only(n)
+        models.predict()
+        symbol = models.symbol_at(source.value(n))
+        r = source.take(n, *models.bounds(symbol), symbol)
+        r += FIRST_OF.take(symbol)
+        np.copyto(r, models.hit_1, where=symbol == HIT_1)
+        np.copyto(r, models.hit_2, where=symbol == HIT_2)
         ranks[t, :n] = r
-        models.learn(n, symbol, r)
+        models.learn(symbol, r)
     flat_ranks = np.concatenate([ranks[:, :full].T.reshape(-1), ranks[:tail, full] if tail else ranks[:0, 0]])
     if flat_ranks.min() < 0 or flat_ranks.max() >= len(dictionary):
         raise ValueError("a block holds an unknown rank")

@@ -9,11 +9,14 @@ a range of doc_ids and knows the ids before it in its range.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +26,32 @@ from .common import FIRST_KEY, range_bounds, range_number, tasks_for
 from .textnp import TaskCache
 
 SEGMENT = 2_500_000
-#: Pieces that go to the library at once: its encodings are far larger than the ids kept of them.
-AT_ONCE = 10_000
+#: Texts that go to the library whole at once: its encodings are far larger than the ids kept of them.
+AT_ONCE = 1000
+#: Pieces a task knows the ids of; when there are more it begins anew.
+KNOWN = 250_000
 END = 2
 #: The pre-tokenizer of byte-level BPE files without a prefix space. Fixed by these files.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A place in a text where a piece begins whatever stands around it.
+CUT = re.compile(r"(?= \S)")
 _open = TaskCache()
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level BPE files: printable bytes for themselves, the others from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library. Equal pieces of a batch are encoded once.
+    """Ids of texts by the tokenizers library. Equal pieces are encoded once, as long as they are known.
 
-    Byte-level BPE encodes the pieces of a text one by one, so their ids laid end to end are the text's.
-    Texts with an added token, and tokenizers of another make, go to the library whole.
+    Byte-level BPE encodes the pieces of a text one by one, so their ids laid end to end are the text's; the library's model
+    is asked for each. A piece always begins at a blank that something else than white space follows, so texts are cut there
+    first, and only different chunks of a batch are taken apart. Texts with an added token, and tokenizers of another make,
+    go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -52,6 +68,12 @@ class Encoder:
         self.by_piece = byte_level and not made.get("normalizer") and made["model"]["type"] == "BPE"
         self.added = [t["content"] for t in made.get("added_tokens", [])]
         self.pieces = regex.compile(PIECES)
+        self.letters = _byte_letters()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -60,30 +82,69 @@ class Encoder:
             out += [np.array(e.ids, np.uint32) for e in coded]
         return out
 
+    def _number(self, piece: str) -> int:
+        """Number of a piece that is not known yet."""
+        if piece.isascii() and piece.isprintable():
+            letters = piece.replace(" ", self.letters[32])
+        else:
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+        self.ids.extend([t.id for t in self.model.tokenize(letters)])
+        self.ends.append(len(self.ids))
+        number = self.known[piece] = len(self.known)
+        return number
+
+    def _taken_apart(self, chunks: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after the other, and how many each has."""
+        known, numbers, counts = self.known, array("q"), array("q")
+        self.model = self.tokenizer.model
+        for c in chunks:
+            # Most are one word.
+            own = [c] if c in known or c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else self.pieces.findall(c)
+            for p in own:
+                n = known.get(p)
+                numbers.append(self._number(p) if n is None else n)
+            counts.append(len(own))
+        ids, sizes = _runs(np.array(self.ids, np.uint32), np.array(self.ends), np.array(numbers))
+        ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(counts)].astype(np.int64)]
+        return ids, np.diff(ends)
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
-        known: dict[str, int] = {}
-        counts, numbers = [], []
-        for t, ok in zip(texts, plain):
-            own = [known.setdefault(p, len(known)) for p in self.pieces.findall(t)] if ok else []
-            counts.append(len(own))
-            numbers += own
-        coded = self._whole(list(known))
-        sizes = np.array([len(c) for c in coded], np.int64)
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        number = np.array(numbers, np.int64)
-        size = sizes[number] if len(number) else number
-        begin = (np.cumsum(sizes) - sizes)[number] if len(number) else number
-        ends = np.cumsum(size)
-        ids = flat[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
-        cuts = np.r_[0, ends][np.cumsum([0, *counts])]
-        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        if len(self.known) > KNOWN:
+            self._forget()
+        parts = pc.split_pattern(pa.array([t if ok else "" for t, ok in zip(texts, plain)], pa.large_string()), " ")
+        cuts, values = parts.offsets.to_numpy(), parts.flatten()
+        first = values.take(pa.array(cuts[:-1])).dictionary_encode()
+        after = values.dictionary_encode()
+        words, begins = after.dictionary.to_pylist(), first.dictionary.to_pylist()
+        # A blank that white space or nothing follows is no place to cut: such texts are cut by the pattern.
+        loose = np.array([not w or w[0].isspace() for w in words], bool)
+        chunks = ["" if no else " " + w for w, no in zip(words, loose.tolist())] + begins
+        number = after.indices.to_numpy().astype(np.int64)
+        is_loose = loose[number]
+        is_loose[cuts[:-1]] = False
+        number[cuts[:-1]] = len(words) + first.indices.to_numpy()
+        ids, sizes = self._taken_apart(chunks)
+        ids, sizes = _runs(ids, np.r_[0, np.cumsum(sizes)], number)
+        at = np.r_[0, np.cumsum(sizes)][cuts]
+        out = [ids[a:b] for a, b in zip(at, at[1:])]
+        for i in np.flatnonzero(np.diff(np.r_[0, np.cumsum(is_loose)][cuts])).tolist():
+            out[i] = self._taken_apart(CUT.split(texts[i]))[0]
         for i, ok in enumerate(plain):
             if not ok:
                 out[i] = self._whole([texts[i]])[0]
         return out
 
 
+def _runs(ids: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ids[ends[k]:ends[k + 1]] of the numbers k one after the other, and their lengths."""
+    sizes = np.diff(ends)[numbers]
+    begins = np.cumsum(sizes) - sizes
+    shift = np.repeat(ends[numbers] - begins, sizes)
+    shift += np.arange(len(shift))
+    return ids[shift], sizes
+
+
 def encoder(path: str) -> Encoder:
     if path not in _open:
         _open[path] = Encoder(path)

@@ -77,6 +77,15 @@ def test_pieces_encode_like_whole_texts(name):
     assert [x.tolist() for x in token_output.Encoder(public_tokenizers.path(name))(texts)] == want
 
 
+def test_pieces_of_texts_before_are_known():
+    encode = token_output.Encoder(TOKENIZER)
+    texts = ["  two  blanks", " one", "one", "a\tb \tc", " \nd  e ", " ", "", "one one.\nOne  ", "x\x1c y", "née à\u00a0b"] * 3
+    assert [x.tolist() for x in encode(texts)] == [whole(t) for t in texts]
+    known = len(encode.known)
+    assert [x.tolist() for x in encode(texts[::-1])] == [whole(t) for t in texts[::-1]]
+    assert len(encode.known) == known > 0
+
+
 @pytest.mark.parametrize(("segment", "block"), [(4_000_000, 2048), (50, 8)])
 def test_files_round_trip(spark, segment, block):
     path = scratch_dir(spark, "tokens-test")
