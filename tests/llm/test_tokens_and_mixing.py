@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -86,6 +87,27 @@ def test_pieces_of_texts_before_are_known():
     assert len(encode.known) == known > 0
 
 
+def test_the_most_frequent_pieces_stay_known(monkeypatch):
+    monkeypatch.setattr(token_output, "KNOWN", 8)
+    encode = token_output.Encoder(TOKENIZER)
+    texts = ["now often, often; rare! often: it's x,y\n often née? \u0663\u0664, a\u00a0b,", "so often; 'tis one. two three. four five six seven"]
+    for t in texts * 2:
+        assert [x.tolist() for x in encode([t])] == [whole(t)]
+        assert " often" in encode.known
+    encode._forget()
+    assert " often" in encode.known and len(encode.known) == 4
+
+
+def test_a_worker_keeps_its_tokenizer():
+    shipped = cloudpickle.loads(cloudpickle.dumps(token_output.encoder))
+    assert shipped(TOKENIZER) is token_output.encoder(TOKENIZER)
+
+
+def test_more_ids_than_places_are_refused():
+    with pytest.raises(ValueError):
+        rangecoder.encode(np.arange(600_000, dtype=np.uint32), 2**16)
+
+
 @pytest.mark.parametrize(("segment", "block"), [(4_000_000, 2048), (50, 8)])
 def test_files_round_trip(spark, segment, block):
     path = scratch_dir(spark, "tokens-test")
