@@ -190,3 +190,53 @@ def test_sets_that_share_few_rare_elements_are_not_fetched(spark, monkeypatch):
     monkeypatch.setattr(similarity, "materialize", materialize)
     assert similarity.similar_classes(similarity.distinct_sets(df, "words"), 0.75).count() == 0
     assert written["prefixes"].count() > 0 and written["candidates"].count() == 0
+
+
+@pytest.mark.parametrize("threshold,delta", [(0.3, 0.5), (0.5, 0.3), (0.6, 0.0), (1.0, 1.0)])
+@pytest.mark.parametrize("block_rows", [1, 4096])
+def test_cliffs_in_tiles_equal_brute_force(spark, threshold, delta, block_rows):
+    """Several tiles or one; copies, NULL groups and values, sets without members."""
+    sets = random_sets(23, 60, 64)
+    rng = random.Random(6)
+    rows = [
+        (rng.choice(["x", "y", "z", None]), 10 * i + k, rng.choice([4.0, 4.4, 4.5, 5.0, 6.1, None]), sorted(s), rng.choice(["q", None]))
+        for i, s in sets.items()
+        for k in range(rng.randint(0, 3))
+    ]
+    df = spark.createDataFrame(rows, "grp string, id bigint, v double, bits array<int>, more string")
+    members = df.where(F.size("bits") > 0).select("grp", "id", "v", "more", similarity.set_class("bits").alias("cls"))
+    packed = similarity.distinct_sets(frame(spark, sets), "bits", 64)
+    found = similarity.cliffs_in_tiles(members, packed, threshold, 64, "grp", "id", "v", delta, block_rows).collect()
+    expected = []
+    for g, i, v, s, m in rows:
+        for h, j, w, u, o in rows:
+            t = jaccard(set(s), set(u))
+            if g is not None and g == h and i < j and None not in (v, w) and t >= threshold and abs(v - w) >= delta:
+                expected.append((g, t, (i, v, m), (j, w, o), abs(v - w)))
+    told = [(r["grp"], r["similarity"], tuple(r["a"]), tuple(r["b"]), r["delta"]) for r in found]
+    assert sorted(told, key=repr) == sorted(expected, key=repr) and told
+
+
+def test_cliffs_of_few_bits_score_members_of_a_group_only(spark, monkeypatch):
+    """Compounds of other targets do not meet: before, all classes met in blocks."""
+    rng = random.Random(8)
+    fp = [(i, f"M{i}", sorted(rng.sample(range(64), 32)), "s") for i in range(60)]
+    fp += [(60 + i, f"M{60 + i}", fp[i][2], "s") for i in range(5)]
+    prints = spark.createDataFrame(
+        fp, "compound_key bigint, molecule_chembl_id string, ecfp4_onbits array<int>, murcko_scaffold_smiles string"
+    )
+    sar = [(i % 3, i, rng.choice([4.0, 4.6, 5.3])) for i in range(65)]
+    measured = spark.createDataFrame(sar, "target_key bigint, compound_key bigint, median_pchembl double")
+    monkeypatch.setattr(similarity, "_meet", lambda *_: pytest.fail("all classes meet"))
+    found = marts.cliff_pairs(measured, prints, 0.3, 0.5, 64).collect()
+    bits = {i: set(b) for i, _, b, _ in fp}
+    expected = [
+        (g, i, j, jaccard(bits[i], bits[j]))
+        for g, i, v in sar
+        for h, j, w in sar
+        if g == h and i < j and abs(v - w) >= 0.5 and jaccard(bits[i], bits[j]) >= 0.3
+    ]
+    assert sorted((r["target_key"], r["a"]["compound_key"], r["b"]["compound_key"], r["similarity"]) for r in found) == sorted(expected)
+    wrong = prints.withColumn("ecfp4_onbits", F.expr("array(1, 70)"))
+    with pytest.raises(Exception, match="not in"):
+        marts.cliff_pairs(measured, wrong, 0.3, 0.5, 64)
