@@ -240,3 +240,45 @@ def test_cliffs_of_few_bits_score_members_of_a_group_only(spark, monkeypatch):
     wrong = prints.withColumn("ecfp4_onbits", F.expr("array(1, 70)"))
     with pytest.raises(Exception, match="not in"):
         marts.cliff_pairs(measured, wrong, 0.3, 0.5, 64)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 1.0])
+def test_token_sets_meet_in_blocks_and_are_scored_in_parts(spark, monkeypatch, threshold):
+    """Families of near copies, NULL elements, many blocks and parts; before, every meeting in a word was sent as a pair."""
+    monkeypatch.setattr(similarity, "_meet", lambda *_: pytest.fail("meetings are sent"))
+    monkeypatch.setattr(similarity, "MEETINGS", 40)
+    monkeypatch.setattr(similarity, "TOLD", 5)
+    rng = random.Random(12)
+    words = lambda s: sorted(f"w{e}" if e else "" for e in s)
+    sets = random_sets(31, 90, 400)
+    family = set(range(40, 70))
+    sets |= {200 + i: family ^ {rng.randrange(400)} ^ {rng.randrange(400)} for i in range(40)}
+    rows = [(i, words(s) + ([None] if i % 9 == 0 else [])) for i, s in sets.items()]
+    df = spark.createDataFrame(rows, "id bigint, words array<string>")
+    names = {tuple(r["words"]): r["cls"] for r in df.select("words", similarity.set_class("words").alias("cls")).collect()}
+    # A class is a text of elements, which leaves NULL out: one row of each.
+    distinct = list({names[tuple(w)]: (w, names[tuple(w)]) for _, w in rows if w}.values())
+    frame_ = spark.createDataFrame([(w,) for w, _ in distinct], "words array<string>")
+    expected = []
+    for i, (a, x) in enumerate(distinct):
+        for b, y in distinct[i + 1 :]:
+            t = jaccard(set(a), set(b))
+            if t >= threshold:
+                expected.append((*sorted((x, y)), t))
+    for block_rows in (1, 4096):
+        pairs = similarity.similar_classes(similarity.distinct_sets(frame_, "words"), threshold, None, block_rows).collect()
+        assert sorted((r["cls_a"], r["cls_b"], r["similarity"]) for r in pairs) == sorted(expected)
+    assert expected or threshold == 1.0
+
+
+def test_a_size_block_meets_all_blocks_of_sizes_that_can_be_similar():
+    counts = {1: 3, 2: 40, 3: 1, 4: 2, 7: 9, 8: 5, 30: 1}
+    for threshold in (0.3, 0.75, 1.0):
+        cut = similarity._size_blocks(counts, threshold, 10)
+        at = {n: int((cut["size"] <= n).sum()) - 1 for n in counts}
+        of = {n: range(int(cut["first"][k]), int(cut["first"][k] + cut["blocks"][k])) for n, k in at.items()}
+        assert len(of[2]) == 4
+        for a in counts:
+            for b in counts:
+                if a <= b and a >= threshold * b:
+                    assert all(cut["from"][y] <= x <= cut["to"][y] and cut["from"][x] <= y <= cut["to"][x] for x in of[a] for y in of[b])
